@@ -5,18 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gleaner.llm import quality_rules
+from gleaner.llm import line_dedup, quality_rules
 from gleaner.llm.common import read_documents
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(read_documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.add_quality(read_documents(spark, sf_dir).select("doc_id", "text")).select(*quality_rules.COLUMNS)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op8_quality_rules": op8_quality_rules}
+    return {"op4_line_dedup": op4_line_dedup, "op8_quality_rules": op8_quality_rules}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_quality_rules": quality_rules.oracle()}
+    return {"op4_line_dedup": line_dedup.oracle(), "op8_quality_rules": quality_rules.oracle()}
