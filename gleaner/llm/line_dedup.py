@@ -21,8 +21,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import cut
-
 #: A chunk ends where the rolling hash is 0 modulo this: chunks have this many lines on average, and two at least.
 MEAN_LINES = 4
 #: Line hashes are the first 32 bits of MD5; the rolling hash is (previous * MULTIPLIER + this) modulo 2**32.
@@ -48,18 +46,25 @@ def chunked(df: DataFrame, text: str = "text", mean_lines: int = MEAN_LINES) ->
     return df.drop("_h", "_ends")
 
 
-def chunk_rows(docs: DataFrame, key: str, text: str, mean_lines: int) -> DataFrame:
+def chunk_places(docs: DataFrame, key: str, text: str, mean_lines: int) -> DataFrame:
+    """(key, _first, _n, _hash) of every chunk: numbers only."""
     # explode_outer: explode would make the optimizer copy the whole chunk expression into a filter below it
-    rows = chunked(docs.select(key, text), text, mean_lines).select(key, "_lines", F.explode_outer("_chunks").alias("_c"))
-    body = F.array_join(F.slice("_lines", F.col("_c.first") + 1, F.col("_c.n")), "\n")
-    return rows.filter("_c is not null").select(key, F.col("_c.first").alias("_first"), F.col("_c.n").alias("_n"), body.alias("_body")).withColumn("_hash", F.xxhash64("_body"))
+    rows = chunked(docs.select(key, text), text, mean_lines).select(key, "_lines", F.explode_outer("_chunks").alias("_c")).filter("_c is not null")
+    return rows.select(key, F.col("_c.first").alias("_first"), F.col("_c.n").alias("_n"), F.xxhash64(_body("_c.first", "_c.n")).alias("_hash"))
+
+
+def _body(first: str, n: str):
+    return F.array_join(F.slice("_lines", F.col(first) + 1, F.col(n)), "\n")
 
 
 def repeated_chunks(docs: DataFrame, key: str = "doc_id", text: str = "text", mean_lines: int = MEAN_LINES) -> DataFrame:
     """(key, _first, _n) of every place to remove: its bytes equal those of a chunk at an earlier place."""
-    rows = chunk_rows(docs, key, text, mean_lines)
+    rows = chunk_places(docs, key, text, mean_lines)
     often = rows.groupBy("_hash").agg(F.count("*").alias("_times")).filter("_times > 1").select("_hash")
-    places = rows.join(often, "_hash", "left_semi")
+    marked = rows.join(often, "_hash", "left_semi").groupBy(key).agg(F.collect_list(F.struct("_first", "_n", "_hash")).alias("_marks")).withColumnRenamed(key, "_key")
+    # a left join on purpose: the exchange of docs is the one that dedup_lines uses again
+    lines = docs.select(key, text).join(marked, F.col(key) == F.col("_key"), "left").select(key, F.split(text, "\n", -1).alias("_lines"), F.explode_outer("_marks").alias("_c"))
+    places = lines.filter("_c is not null").select(key, F.col("_c._first").alias("_first"), F.col("_c._n").alias("_n"), F.col("_c._hash").alias("_hash"), _body("_c._first", "_c._n").alias("_body"))
     place = F.struct(F.col(key).alias("k"), F.col("_first").alias("l"))
     first = places.groupBy("_hash", "_body").agg(F.min(place).alias("_keep"), F.count("*").alias("_times")).filter("_times > 1").select("_hash", "_body", "_keep")
     later = places.alias("p").join(first.alias("f"), (F.col("p._hash") == F.col("f._hash")) & (F.col("p._body") == F.col("f._body")))
@@ -71,9 +76,8 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", mean_l
 
     A document that loses every line keeps its row with an empty text.
     """
-    gone = cut(repeated_chunks(docs, key, text, mean_lines)).groupBy(key).agg(F.collect_list(F.struct("_first", "_n")).alias("_gone")).withColumnRenamed(key, "_key")
-    out = chunked(docs, text, mean_lines)
-    out = out.join(gone, F.col(key) == F.col("_key"), "left")
+    gone = repeated_chunks(docs, key, text, mean_lines).groupBy(key).agg(F.collect_list(F.struct("_first", "_n")).alias("_gone")).withColumnRenamed(key, "_key")
+    out = chunked(docs.join(gone, F.col(key) == F.col("_key"), "left"), text, mean_lines)
     steps = [
         ("n_lines", F.greatest(F.size("_lines"), F.lit(0)).cast("long")),
         ("n_chunks", F.size("_chunks").cast("long")),
