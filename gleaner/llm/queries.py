@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import line_dedup, quality_rules
+from gleaner.llm import best_fit_packing, byte_bpe, line_dedup, quality_rules
 from gleaner.llm.common import read_documents
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return best_fit_packing.pack(read_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(read_documents(spark, sf_dir).select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -20,8 +26,14 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.add_quality(read_documents(spark, sf_dir).select("doc_id", "text")).select(*quality_rules.COLUMNS)
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return byte_bpe.encode_decode(read_documents(spark, sf_dir), public_tokenizers.path(byte_bpe.PATTERN_FILE), public_tokenizers.PATTERN)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_line_dedup": op4_line_dedup, "op8_quality_rules": op8_quality_rules}
+    return {f.__name__: f for f in (op2_best_fit_packing, op4_line_dedup, op8_quality_rules, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
