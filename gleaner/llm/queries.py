@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import best_fit_packing, byte_bpe, line_dedup, quality_rules
+from gleaner.llm import best_fit_packing, byte_bpe, language_id, license_scan, line_dedup, quality_rules
 from gleaner.llm.common import read_documents
 
 
@@ -22,6 +22,14 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read_documents(spark, sf_dir))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read_documents(spark, sf_dir)).drop("spans")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.add_quality(read_documents(spark, sf_dir).select("doc_id", "text")).select(*quality_rules.COLUMNS)
 
@@ -33,7 +41,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_best_fit_packing, op4_line_dedup, op8_quality_rules, op10_byte_bpe)}
+    return {f.__name__: f for f in (op2_best_fit_packing, op4_line_dedup, op6_language_id, op7_license_scan, op8_quality_rules, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
