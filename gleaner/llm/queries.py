@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import best_fit_packing, byte_bpe, language_id, license_scan, line_dedup, quality_rules
+from gleaner.llm import best_fit_packing, byte_bpe, language_id, license_scan, line_dedup, quality_rules, simhash
 from gleaner.llm.common import read_documents
 
 
@@ -17,6 +17,11 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing.pack(read_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.near_duplicates(read_documents(spark, sf_dir))
+    return out.select("doc_id", simhash.to_hex("fp").alias("fingerprint"), F.col("component").alias("component_id"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(read_documents(spark, sf_dir).select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -41,7 +46,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_best_fit_packing, op4_line_dedup, op6_language_id, op7_license_scan, op8_quality_rules, op10_byte_bpe)}
+    return {f.__name__: f for f in (op2_best_fit_packing, op3_simhash, op4_line_dedup, op6_language_id, op7_license_scan, op8_quality_rules, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
