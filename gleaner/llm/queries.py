@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import best_fit_packing, byte_bpe, language_id, license_scan, line_dedup, quality_rules, simhash
+from gleaner.llm import best_fit_packing, byte_bpe, language_id, license_scan, line_dedup, quality_rules, simhash, vector_graph
 from gleaner.llm.common import read_documents
 
 
@@ -27,6 +27,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op5_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_graph.link_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(read_documents(spark, sf_dir))
 
@@ -46,7 +50,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_best_fit_packing, op3_simhash, op4_line_dedup, op6_language_id, op7_license_scan, op8_quality_rules, op10_byte_bpe)}
+    return {f.__name__: f for f in (op2_best_fit_packing, op3_simhash, op4_line_dedup, op5_vector_graph, op6_language_id, op7_license_scan, op8_quality_rules, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
