@@ -7,10 +7,11 @@ neighbours may.  So the last token of each prefix is the one token ending there
 that may follow the last token of what is before it, and the encoding can be read
 from left to right: the nondeterministic machine guesses where tokens begin, and
 its determinisation keeps the *open* beginnings, those from which some token may
-still grow: (node of the vocabulary's trie, tokens since the last certain point).
-Tokens that all open beginnings share are certain and are emitted, which bounds
+still grow: (node of the vocabulary's trie, last token before it).  A transition
+says which beginnings stay open and which of them ends in a token here; when one
+beginning is left, the tokens before it are certain and are emitted, which bounds
 the lookahead by the longest token.  Subset states are made when first met and
-kept in a table (state, byte) -> (state, output), emptied at a size bound.
+kept in a table (state, byte) -> transition, emptied at a size bound.
 
 Decoding.  ``Utf8Stream`` takes tokens one after another and gives text as soon as
 code points are complete; the state is the unfinished sequence of at most 3 bytes.
@@ -65,18 +66,17 @@ class Transducer:
                     self.token.append(None)
                 node = to
             self.token[node] = i
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}
         self.made: dict[int, bool] = {}
         self.halves: dict[int, tuple[int, int] | None] = {}
         self.max_states = max_states
         self.reset()
 
     def reset(self) -> None:
-        start = ((0, ()),)
+        start = ((0, -1),)
         self.ids: dict[tuple, int] = {start: 0}
         self.sets: list[tuple] = [start]
-        self.step: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
-        self.ends: list[tuple[int, ...] | None] = [()]
+        self.step: list[dict[int, tuple[int, tuple[int, ...] | None, int, int]]] = [{}]
 
     def _whole(self, t: int) -> bool:
         """Whether the merges turn the token's own bytes into the token."""
@@ -99,7 +99,7 @@ class Transducer:
         if (x := self.fits.get((a, b))) is None:
             if len(self.fits) > 1_000_000:
                 self.fits.clear()
-            x = self.fits[a, b] = self._apart(a, b)
+            x = self.fits[a << 20 | b] = self._apart(a, b)
         return x
 
     def _apart(self, a: int, b: int) -> bool:
@@ -118,52 +118,58 @@ class Transducer:
             else:
                 before, b = b + 1, right[0]
 
-    def _determinise(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """The subset after one more byte: open beginnings grow, the one that ends in a fitting token opens a new beginning."""
-        grown, whole = [], None
-        for node, tokens in self.sets[state]:
+    def _determinise(self, state: int, byte: int) -> tuple[int, tuple[int, ...] | None, int, int]:
+        """(next state, which open beginnings stay (None: all), the one whose token ends here, that token)."""
+        subset, stay, source, token = [], [], -1, -1
+        for i, (node, last) in enumerate(self.sets[state]):
             to = self.next[node].get(byte)
             if to is None:
                 continue
-            grown.append((to, tokens))
+            if self.next[to]:  # open only while longer tokens can grow from it
+                subset.append((to, last))
+                stay.append(i)
             t = self.token[to]
-            if t is not None and whole is None and self._whole(t) and (not tokens or self._may_follow(tokens[-1], t)):
-                whole = (*tokens, t)
-        if whole is None:
+            if source < 0 and t is not None and self._whole(t) and (last < 0 or self._may_follow(last, t)):
+                source, token = i, t
+        if source < 0:
             raise ValueError("the vocabulary does not hold every byte")
-        # a beginning stays open only while longer tokens can grow from it
-        subset = [(n, ts) for n, ts in grown if self.next[n]]
-        subset.append((0, whole))
-        # certain tokens: the common prefix, but for the last of them, which neighbours are judged by
-        common = min((ts for _, ts in subset), key=len)
-        n = len(common)
-        for _, ts in subset:
-            k = 0
-            while k < n and ts[k] == common[k]:
-                k += 1
-            n = k
-        n = max(n - 1, 0)
-        out = common[:n]
-        key = tuple((node, ts[n:]) for node, ts in subset)
+        subset.append((0, token))
+        key = tuple(subset)
         to = self.ids.get(key)
         if to is None:
             to = self.ids[key] = len(self.sets)
             self.sets.append(key)
             self.step.append({})
-            self.ends.append(key[-1][1])
-        found = self.step[state][byte] = (to, out)
+        found = self.step[state][byte] = (to, None if len(stay) == len(self.sets[state]) else tuple(stay), source, token)
         return found
 
-    def encode(self, piece: bytes) -> tuple[int, ...]:
+    def encode(self, piece: bytes) -> list[int]:
+        """The ids; what every open beginning shares is put out as soon as one beginning is left."""
         if len(self.sets) > self.max_states:
             self.reset()
-        state, out = 0, []
+        step, state, out = self.step, 0, []
+        waiting: list = [None]  # by open beginning: the tokens before it, as (the ones before, token)
         for byte in piece:
-            found = self.step[state].get(byte) or self._determinise(state, byte)
-            state = found[0]
-            if found[1]:
-                out += found[1]
-        return (*out, *self.ends[state])
+            state, stay, source, token = step[state].get(byte) or self._determinise(state, byte)
+            chain = (waiting[source], token)
+            if stay is None:
+                waiting.append(chain)
+            elif stay:
+                waiting = [waiting[i] for i in stay]
+                waiting.append(chain)
+            else:
+                out += unwound(chain)
+                waiting = [None]
+        return out + unwound(waiting[-1])
+
+
+def unwound(chain) -> list[int]:
+    out = []
+    while chain is not None:
+        chain, token = chain
+        out.append(token)
+    out.reverse()
+    return out
 
 
 class Utf8Stream:
@@ -194,7 +200,7 @@ class Utf8Stream:
 class Codec:
     """Texts to ids and back; segments (white space and the word after it) are kept with their ids up to ``max_cached``."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_cached: int = 200_000, max_states: int = 200_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_cached: int = 400_000, max_states: int = 250_000):
         import regex
 
         self.pattern = regex.compile(pattern)
@@ -207,8 +213,18 @@ class Codec:
         self.bytes_of = self.fst.text
 
     def _encode_segment(self, segment: str) -> tuple[int, ...]:
-        encode = self.fst.encode
-        return tuple(i for m in self.pattern.findall(segment) for i in encode(m.encode()))
+        found = self.pattern.findall(segment)
+        if len(found) == 1:
+            return tuple(self.fst.encode(segment.encode()))
+        out: list[int] = []
+        for m in found:  # a match is a segment of its own elsewhere, most often
+            ids = self.kept.get(m) or self.older.get(m)
+            if ids is None:
+                ids = tuple(self.fst.encode(m.encode()))
+                if len(m) <= 64:
+                    self.kept[m] = ids
+            out += ids
+        return tuple(out)
 
     def segments(self, text: str) -> list[str]:
         """Parts that the pattern cannot match across: no match holds white space after something else."""
