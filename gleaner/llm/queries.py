@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import best_fit_packing, byte_bpe, language_id, license_scan, line_dedup, quality_rules, simhash, vector_graph
+from gleaner.llm import best_fit_packing, byte_bpe, language_id, license_scan, line_dedup, lm_scoring, quality_rules, simhash, vector_graph
 from gleaner.llm.common import read_documents
 
 
@@ -43,6 +43,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.add_quality(read_documents(spark, sf_dir).select("doc_id", "text")).select(*quality_rules.COLUMNS)
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(read_documents(spark, sf_dir))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -50,7 +54,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_best_fit_packing, op3_simhash, op4_line_dedup, op5_vector_graph, op6_language_id, op7_license_scan, op8_quality_rules, op10_byte_bpe)}
+    return {f.__name__: f for f in (op2_best_fit_packing, op3_simhash, op4_line_dedup, op5_vector_graph, op6_language_id, op7_license_scan, op8_quality_rules, op9_lm_scoring, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
