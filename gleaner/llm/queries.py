@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import best_fit_packing, byte_bpe, language_id, license_scan, line_dedup, lm_scoring, quality_rules, simhash, vector_graph
+from gleaner.llm import best_fit_packing, byte_bpe, language_id, license_scan, line_dedup, lm_scoring, quality_rules, simhash, suffix_dedup, vector_graph
 from gleaner.llm.common import read_documents
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.dedup(read_documents(spark, sf_dir))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -54,7 +59,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_best_fit_packing, op3_simhash, op4_line_dedup, op5_vector_graph, op6_language_id, op7_license_scan, op8_quality_rules, op9_lm_scoring, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_best_fit_packing, op3_simhash, op4_line_dedup, op5_vector_graph, op6_language_id, op7_license_scan, op8_quality_rules, op9_lm_scoring, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
