@@ -36,8 +36,6 @@ incomplete code points).
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -449,5 +447,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, key: str = "d
     return joined.mapInArrow(run, schema)
 
 
-def digest(kept: bytes) -> str:
-    return hashlib.sha256(kept).hexdigest()
+def kept_text(column: str):
+    """The bytes as text; bytes of code points that were cut are left out."""
+    sound = F.expr(f"try_validate_utf8(cast({column} as string))")
+    return F.coalesce(sound, F.expr(f"replace(make_valid_utf8(cast({column} as string)), '\\uFFFD', '')"))
