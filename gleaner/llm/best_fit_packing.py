@@ -35,23 +35,22 @@ class Tokens:
     """A tokenizers file's ids as little-endian 32-bit bytes, by segments (white space and what follows it) that are kept.
 
     The vocabulary's pattern never matches across the start of white space, so a
-    text's ids are those of its segments; ``max_cached`` bounds the kept ones.
+    text's ids are those of its segments; ``max_cached`` bounds the kept
+    ones, in two generations: what was used lately stays.
     """
 
-    def __init__(self, path: str, max_cached: int = 240_000):
+    def __init__(self, path: str, max_cached: int = 700_000):
         import os
 
-        import re
-
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.odd = re.compile(r"^\s|\s$|\s\x20|\x20\s|<\|")
         self.feed = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
         self.max_cached = max_cached
         self.kept: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.first: dict[str, bytes] = {}  # by what a text begins with, which has no space before
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -74,29 +73,38 @@ class Tokens:
         return out | dict(zip(rest, self._ids(rest), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Texts in which special tokens or white space next to a space occur go to the tokenizer whole."""
+        """Texts are cut at spaces; one in which white space or a special token touches a space goes to the tokenizer whole."""
         out: list[bytes] = [b""] * len(texts)
-        whole = [i for i, t in enumerate(texts) if t and self.odd.search(t)]
-        for i, ids in zip(whole, self._ids([texts[i] for i in whole]), strict=True):
-            out[i] = ids
-        whole_set = set(whole)
         if len(self.kept) > self.max_cached // 2:
             self.older, self.kept = self.kept, {}
-        kept, older = self.kept, self.older
-        parts = {}
+            self.first.clear()
+        kept, older, first = self.kept, self.older, self.first
+        parts: dict[int, list[str]] = {}
+        whole: list[int] = []
         missing: dict[str, None] = {}
         for i, t in enumerate(texts):
-            if t and i not in whole_set:
-                first, *rest = t.split(" ")
-                parts[i] = p = [first, *[" " + x for x in rest]]
-                for x in set(p).difference(kept):
-                    if x in older:
-                        kept[x] = older[x]
-                    else:
-                        missing[x] = None
-        kept |= self._segments(list(missing))
+            if not t:
+                continue
+            p = t.split(" ")
+            new = set(p).difference(kept)  # kept ones have been looked at
+            if new and any(not x or x[0].isspace() or x[-1].isspace() or "<|" in x for x in new):
+                whole.append(i)
+                continue
+            parts[i] = p
+            for x in new:
+                if x in older:
+                    kept[x] = older[x]
+                else:
+                    missing[x] = None
+        for i, ids in zip(whole, self._ids([texts[i] for i in whole]), strict=True):
+            out[i] = ids
+        for x, ids in self._segments([" " + x for x in missing]).items():
+            kept[x[1:]] = ids
+        heads = [x for x in {p[0] for p in parts.values()} if x not in first]
+        first |= self._segments(heads)
+        get = kept.__getitem__
         for i, p in parts.items():
-            out[i] = b"".join(map(kept.__getitem__, p))
+            out[i] = first[p[0]] + b"".join(map(get, p[1:]))
         return out
 
 

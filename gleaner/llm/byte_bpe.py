@@ -198,18 +198,22 @@ class Utf8Stream:
 
 
 class Codec:
-    """Texts to ids and back; segments (white space and the word after it) are kept with their ids up to ``max_cached``."""
+    """Texts to ids and back; segments (a space and what follows it up to the next) are kept with their ids up to ``max_cached``.
+
+    No match of the pattern holds white space after something else, so segments that
+    neither begin nor end with white space are encoded by themselves.
+    """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, max_cached: int = 400_000, max_states: int = 250_000):
         import regex
 
         self.pattern = regex.compile(pattern)
-        self.odd = regex.compile(r"^\s|\s$|\s\x20|\x20\s")
         self.segment = regex.compile(r"\s*\S+|\s+")
         self.fst = Transducer(ranks, max_states)
         self.max_cached = max_cached
         self.kept: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
+        self.matches: dict[str, tuple[int, ...]] = {}
         self.bytes_of = self.fst.text
 
     def _encode_segment(self, segment: str) -> tuple[int, ...]:
@@ -217,27 +221,22 @@ class Codec:
         if len(found) == 1:
             return tuple(self.fst.encode(segment.encode()))
         out: list[int] = []
-        for m in found:  # a match is a segment of its own elsewhere, most often
-            ids = self.kept.get(m) or self.older.get(m)
+        for m in found:
+            ids = self.matches.get(m)
             if ids is None:
+                if len(self.matches) > self.max_cached // 4:
+                    self.matches.clear()
                 ids = tuple(self.fst.encode(m.encode()))
                 if len(m) <= 64:
-                    self.kept[m] = ids
+                    self.matches[m] = ids
             out += ids
         return tuple(out)
 
-    def segments(self, text: str) -> list[str]:
-        """Parts that the pattern cannot match across: no match holds white space after something else."""
-        if self.odd.search(text):
-            return self.segment.findall(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + x for x in rest]]
-
     def encode(self, text: str) -> list[tuple[int, ...]]:
-        """The ids by segment."""
+        """The ids by segment: a text is cut at its spaces, unless white space touches one of them."""
         if not text:
             return []
-        parts = self.segments(text)
+        parts = text.split(" ")
         kept = self.kept
         out = list(map(kept.get, parts))
         if None in out:
@@ -249,10 +248,13 @@ class Codec:
                     part = parts[k]
                     ids = kept.get(part)
                     if ids is None:
-                        ids = self.older.get(part) or self._encode_segment(part)
+                        if not part or part[0].isspace() or part[-1].isspace():
+                            return [self._encode_segment(x) for x in self.segment.findall(text)]
+                        ids = self.older.get(part) or self._encode_segment(" " + part)
                         if len(part) <= 64:
                             kept[part] = ids
                     out[k] = ids
+        out[0] = self._encode_segment(parts[0])  # no space before
         return out
 
     def decode(self, ids: list[int], step: int = 65536) -> Iterator[str]:
