@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import gc
+import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +33,37 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_stashed: set[tuple[int, str]] = set()
+
+
+def stash(df: DataFrame) -> DataFrame:
+    """Like ``cut``, for wide or long rows: a compressed Parquet table in the shared checkpoint folder, removed when the driver ends."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/gleaner-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if not _stashed:
+        atexit.register(_drop_stashed, spark)
+    _stashed.add((os.getpid(), path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _drop_stashed(spark: SparkSession) -> None:
+    try:
+        for pid, path in _stashed:
+            if pid == os.getpid():
+                p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+                p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:  # the session may have ended before
+        pass
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more; else they stay until the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

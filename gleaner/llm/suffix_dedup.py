@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import cut, shuffle_partitions
+from gleaner.llm.common import release, shuffle_partitions, stash
 from gleaner.session import ship
 
 LENGTH = 50
@@ -218,10 +218,29 @@ def lpf(suffixes: list[bytes], docs: np.ndarray, length: int = LENGTH) -> np.nda
     return back
 
 
+def reaches(text: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Whether the longest previous factor of each suffix (row of bytes) is its whole row.
+
+    Suffixes with equal rows stand together and are in order of documents, so the previous smaller document of
+    one is at the start of its stretch of full common prefixes, if that is a smaller one.
+    """
+    n, length = text.shape
+    if not n:
+        return np.zeros(0, bool)
+    keys = text if (text == 0).any() else np.ascontiguousarray(text).view(f"S{length}").reshape(-1)
+    order = np.lexsort((docs, keys) if keys.ndim == 1 else (docs, *text.T[::-1]))
+    t, d = text[order], docs[order]
+    full = np.r_[False, (t[1:] == t[:-1]).all(1)]
+    start = np.maximum.accumulate(np.where(full, 0, np.arange(n)))
+    out = np.empty(n, bool)
+    out[order] = d > d[start]
+    return out
+
+
 def removed_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(_doc, marks): for each document with removals, the structs (gram, run, first, mask) that say which windows are removed.
+    """(_doc, pairs, masks): for each document with removals, which windows are removed.
 
-    mask: bit i is window first + i; first < 0: every window of the document's runs with this gram and run hash.
+    pairs: hashes of (gram, run), all windows of these runs; masks: structs (first, mask) whose bit i is window first + i.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -301,74 +320,74 @@ def removed_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, key:
             keep = copy | suspect
             out.append((e["gram"][keep], e["run"][keep], e["doc"][keep], copy[keep]))
         cols = [np.concatenate(x) for x in zip(*out)] if out else [np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.int64), np.zeros(0, bool)]
-        return pa.table({"g": cols[0].astype(np.int64), "r": cols[1].astype(np.int64), "doc": cols[2].astype(np.int64), "copy": cols[3].astype(bool)})
+        copy = cols[3].astype(bool)
+        # of a copy the pair of hashes is all that is asked for later; a suspect is met again by its gram
+        return pa.table({"pair": _pair(cols[0], cols[1]).view(np.int64), "g": pa.array(cols[0].astype(np.int64), mask=copy), "doc": cols[2].astype(np.int64)})
 
     body = docs.select(F.col(key).alias("_doc"), F.col(text).alias("_text")).filter(F.col("_doc").isNotNull())
-    found = cut(body.mapInArrow(anchors, kinds).groupBy("bucket").applyInArrow(meet, "g long, r long, doc long, copy boolean"))
-    _collect_garbage(spark)
+    found = stash(body.mapInArrow(anchors, kinds).groupBy("bucket").applyInArrow(meet, "pair long, g long, doc long"))
+    release(spark)
 
-    # the bytes of suspects
-    suspects = found.filter("not copy").groupBy("doc").agg(F.collect_set("g").alias("grams"), F.collect_set(F.struct("g", "r")).alias("runs"))
-    asked = body.join(suspects, F.col("_doc") == F.col("doc")).select("_doc", "_text", "runs")
+    # the bytes of suspects; those of crowded grams window by window
+    suspects = found.filter("g is not null")
+    crowded = suspects.groupBy("g").agg(F.count("*").alias("n")).filter(F.col("n") > HOT).select("g", F.lit(True).alias("hot"))
+    asked = suspects.join(crowded, "g", "left").groupBy("doc").agg(F.collect_list("pair").alias("pairs"), F.collect_list(F.when(F.col("hot"), F.col("pair"))).alias("hots"))
+    asked = body.join(asked, F.col("_doc") == F.col("doc")).select("_doc", "_text", "pairs", "hots")
+    groups = 4 * buckets
 
     def cut_out(batches):
+        def batch(cols):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.bool_()))], ["b", "doc", "first", "bytes", "hot"])
+
+        cols: tuple[list, ...] = ([], [], [], [], [])
         for b in batches:
-            cols: tuple[list, ...] = ([], [], [], [])
-            for doc, t, runs in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
+            for doc, t, pairs, hots in zip(b.column(0).to_pylist(), b.column(1), b.column(2), b.column(3)):
                 x = t.as_py().encode()
                 first, size, value, run = anchored(np.frombuffer(x, np.uint8), length, gram)
-                wanted = runs.values.flatten()
-                wanted = _pair(wanted[0].to_numpy().view(np.uint64), wanted[1].to_numpy().view(np.uint64))
-                at = np.flatnonzero(np.isin(_pair(_short(value), _short(run)), wanted))
-                for i in at.tolist():
+                own = _pair(_short(value), _short(run))
+                at = np.flatnonzero(np.isin(own, pairs.values.to_numpy().view(np.uint64)))
+                hot = np.isin(own[at], hots.values.to_numpy().view(np.uint64)) if len(hots) else np.zeros(len(at), bool)
+                where = (_mix(_short(value[at])) % np.uint64(groups)).astype(np.int64)
+                for i, k, h in zip(at.tolist(), where.tolist(), hot.tolist()):
                     a, n = int(first[i]), int(size[i])
-                    cols[0].append(int(_short(value[i : i + 1])[0]))
+                    cols[0].append(k)
                     cols[1].append(doc)
                     cols[2].append(a)
                     cols[3].append(x[a : a + n + length - 1])
-                if len(cols[0]) > 50_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.binary())], ["g", "doc", "first", "bytes"])
-                    cols = ([], [], [], [])
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.binary())], ["g", "doc", "first", "bytes"])
+                    cols[4].append(h)
+                if len(cols[0]) > 20_000:
+                    yield batch(cols)
+                    cols = ([], [], [], [], [])
+        yield batch(cols)
 
-    rows = cut(asked.mapInArrow(cut_out, "g long, doc long, first int, bytes binary"))
-    _collect_garbage(spark)
-    crowded = rows.groupBy("g").agg(F.count("*").alias("n")).filter(F.col("n") > HOT).select("g")
+    rows = stash(asked.mapInArrow(cut_out, "b int, doc long, first int, bytes binary, hot boolean"))
+    del asked
+    release(spark)
 
     def sort_suffixes(_, table):
-        runs = table.column("bytes").to_pylist()
-        grams, docs_, firsts = (table.column(c).to_numpy() for c in ("g", "doc", "first"))
-        out: tuple[list, ...] = ([], [], [])
-        order = np.argsort(grams, kind="stable")
-        bounds = np.flatnonzero(np.r_[True, grams[order][1:] != grams[order][:-1], True]) if len(order) else []
+        runs = table.column("bytes").combine_chunks()
+        ends = np.frombuffer(runs.buffers()[1], np.int32, len(runs) + 1, 4 * runs.offset).astype(np.int64)
+        data = np.frombuffer(runs.buffers()[2], np.uint8)
+        docs_, firsts = table.column("doc").to_numpy(), table.column("first").to_numpy()
+        windows = np.diff(ends) - (length - 1)
+        own = np.repeat(np.arange(len(windows)), windows)
+        at = np.arange(len(own)) - np.repeat(np.cumsum(windows) - windows, windows)
         # suffixes of all grams of the bucket are sorted at once: equal windows have equal grams
-        owner, suffixes = [], []
-        for i in range(len(runs)):
-            x = runs[i]
-            k = len(x) - length + 1
-            owner += [i] * k
-            suffixes += [x[j : j + length] for j in range(k)]
-        del bounds
-        if suffixes:
-            own = np.array(owner)
-            hit = lpf(suffixes, docs_[own], length) >= length
-            at = np.arange(len(own)) - np.searchsorted(own, own)
-            mask = np.zeros(len(runs), np.int64)
-            np.bitwise_or.at(mask, own[hit], np.int64(1) << at[hit])
-            some = np.flatnonzero(mask)
-            out = (docs_[some], firsts[some], mask[some])
-        return pa.table({"doc": pa.array(out[0], pa.int64()), "first": pa.array(out[1], pa.int32()), "mask": pa.array(out[2], pa.int64())})
-
-    spread = rows.join(crowded, "g", "left_anti").withColumn("b", F.pmod(F.xxhash64("g"), F.lit(4 * buckets)).cast("int"))
-    sorted_ = spread.groupBy("b").applyInArrow(sort_suffixes, "doc long, first int, mask long")
+        suffixes = np.lib.stride_tricks.sliding_window_view(data, length)[ends[:-1][own] + at]
+        hit = reaches(suffixes, docs_[own])
+        mask = np.zeros(len(windows), np.int64)
+        np.bitwise_or.at(mask, own[hit], np.int64(1) << at[hit])
+        some = np.flatnonzero(mask)
+        return pa.table({"doc": pa.array(docs_[some], pa.int64()), "first": pa.array(firsts[some], pa.int32()), "mask": pa.array(mask[some], pa.int64())})
+
+    sorted_ = rows.filter("not hot").drop("hot").groupBy("b").applyInArrow(sort_suffixes, "doc long, first int, mask long")
     # crowded grams: equal windows are one row of the aggregate, and the join splits what is left
-    windows = rows.join(crowded, "g", "left_semi").select("doc", "first", F.posexplode(F.expr(f"transform(sequence(1, length(bytes) - {length - 1}), i -> substring(bytes, i, {length}))")).alias("i", "w"))
+    windows = rows.filter("hot").select("doc", "first", F.posexplode(F.expr(f"transform(sequence(1, length(bytes) - {length - 1}), i -> substring(bytes, i, {length}))")).alias("i", "w"))
     least = windows.groupBy("w").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter("least < most").select("w", "least")
-    hot = windows.join(least, "w").filter("doc > least").groupBy("doc", "first").agg(F.bit_or(F.expr("shiftleft(1L, i)")).alias("mask"))
-    marks = found.filter("copy").select("doc", F.struct("g", "r", F.lit(-1).alias("first"), F.lit(0).cast("long").alias("mask")).alias("m")).unionAll(
-        sorted_.unionAll(hot.select("doc", "first", "mask")).select("doc", F.struct(F.lit(0).cast("long").alias("g"), F.lit(0).cast("long").alias("r"), "first", "mask").alias("m"))
-    )
-    return marks.groupBy(F.col("doc").alias("_doc")).agg(F.collect_list("m").alias("marks"))
+    crowd = windows.join(least, "w").filter("doc > least").groupBy("doc", "first").agg(F.bit_or(F.expr("shiftleft(1L, i)")).alias("mask"))
+    single = sorted_.unionAll(crowd.select("doc", "first", "mask")).select("doc", F.lit(None).cast("long").alias("pair"), F.struct("first", "mask").alias("m"))
+    whole = found.filter("g is null").select("doc", "pair", F.lit(None).cast("struct<first:int,mask:bigint>").alias("m"))
+    return whole.unionAll(single).groupBy(F.col("doc").alias("_doc")).agg(F.collect_list("pair").alias("pairs"), F.collect_list("m").alias("masks"))
 
 
 def _six(x: np.ndarray) -> bytes:
@@ -390,28 +409,18 @@ def _pair(gram: np.ndarray, run: np.ndarray) -> np.ndarray:
         return _mix(gram * _BASE + run)
 
 
-def _collect_garbage(spark) -> None:
-    """Let go of the shuffle files of what has been checkpointed."""
-    import gc
-
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
-def removed_windows(text: bytes, marks, length: int, gram: int) -> np.ndarray:
+def removed_windows(text: bytes, pairs: np.ndarray, firsts: np.ndarray, masks: np.ndarray, length: int, gram: int) -> np.ndarray:
     """Whether each byte is removed."""
     n = len(text)
     cover = np.zeros(n + 1, np.int64)
-    g, r, first, mask = marks
-    by_run = first < 0
-    if by_run.any():
+    if len(pairs):
         f, size, value, run = anchored(np.frombuffer(text, np.uint8), length, gram)
-        hit = np.isin(_pair(_short(value), _short(run)), _pair(g[by_run].view(np.uint64), r[by_run].view(np.uint64)))
+        hit = np.isin(_pair(_short(value), _short(run)), pairs.view(np.uint64))
         np.add.at(cover, f[hit], 1)
         np.add.at(cover, f[hit] + size[hit] + length - 1, -1)
-    f, m = first[~by_run].astype(np.int64), mask[~by_run]
-    for i in range(64) if len(f) else ():
-        at = f[(m >> i) & 1 == 1] + i
+    firsts = firsts.astype(np.int64)
+    for i in range(64) if len(firsts) else ():
+        at = firsts[(masks >> i) & 1 == 1] + i
         if len(at):
             np.add.at(cover, at, 1)
             np.add.at(cover, at + length, -1)
@@ -430,11 +439,11 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, key: str = "d
     def run(batches):
         for b in batches:
             rows: tuple[list, ...] = ([], [], [], [])
-            for t, m in zip(b.column("_text"), b.column("marks")):
+            for t, p, m in zip(b.column("_text"), b.column("pairs"), b.column("masks")):
                 x = (t.as_py() or "").encode()
                 removed, spans, kept = 0, 0, x
-                if m.is_valid and len(x) >= length:
-                    gone = removed_windows(x, [c.to_numpy() for c in m.values.flatten()], length, gram)
+                if p.is_valid and len(x) >= length:
+                    gone = removed_windows(x, p.values.to_numpy(), *(c.to_numpy() for c in m.values.flatten()), length, gram)
                     removed = int(gone.sum())
                     spans = int((gone & ~np.r_[False, gone[:-1]]).sum())
                     kept = np.frombuffer(x, np.uint8)[~gone].tobytes()
