@@ -1,20 +1,560 @@
-"""The query catalogue: one entry for each operator, with DuckDB SQL where SQL can express it."""
+"""The query catalogue: one entry for each operator, with DuckDB SQL where SQL can express it.
+
+All queries read whole tables; limits stand only where they are the operator.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gleaner.functions import lexicons as L
+from gleaner.functions import text as T
+from gleaner.operators import cards as C
+from gleaner.operators import concepts as K
+from gleaner.operators import provider, qa, sections, similarity
+from gleaner.plans import deep, legacy
+from gleaner.plans import oracle as O
+from gleaner.session import cut, ensure_checkpoint_dir
+from gleaner.streaming import documents as stream
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql is not None:
+            _ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def docs(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/documents.parquet").withColumn("text", F.coalesce("text", F.lit("")))
+
+
+def said(spark: SparkSession, d: str) -> DataFrame:
+    """(doc_id, lang, source, i, s): the sentences of all documents, from 1."""
+    return docs(spark, d).select("doc_id", "lang", "source", F.posexplode(T.sentences(F.col("text"))).alias("i", "s")).withColumn("i", F.col("i") + 1)
+
+
+SAID = f"WITH b AS (SELECT doc_id, lang, source, {O.sentences("coalesce(text, '')")} AS ss FROM documents), said AS (SELECT doc_id, lang, source, i, ss[i] AS s FROM (SELECT *, unnest(range(1, len(ss) + 1)) AS i FROM b))"
+
+
+# --- scalar functions ---------------------------------------------------------------------
+
+
+@query(f"SELECT doc_id, sha1({O.norm("coalesce(text, '')")}) AS norm_sha, CAST(length({O.norm("coalesce(text, '')")}) AS INT) AS n FROM documents")
+def normalize_text(spark, d):
+    n = T.normalize_text(F.col("text"))
+    return docs(spark, d).select("doc_id", F.sha1(n).alias("norm_sha"), F.length(n).alias("n"))
+
+
+@query(f"SELECT doc_id, {O.stable_id('doc', 'CAST(doc_id AS VARCHAR)')} AS id, {O.stable_id('sec', "CAST(doc_id AS VARCHAR) || ':0:' || CAST(length(coalesce(text, '')) AS VARCHAR) || ':root'")} AS section_id FROM documents")
+def stable_ids(spark, d):
+    name = F.col("doc_id").cast("string")
+    return docs(spark, d).select("doc_id", T.stable_id("doc", name).alias("id"), T.stable_id("sec", F.concat(name, F.lit(":0:"), F.length("text").cast("string"), F.lit(":root"))).alias("section_id"))
+
+
+@query(SAID + " SELECT lang, count(*) AS n_sentences, CAST(sum(length(s)) AS BIGINT) AS n_chars FROM said GROUP BY lang")
+def sentences(spark, d):
+    return said(spark, d).groupBy("lang").agg(F.count("*").alias("n_sentences"), F.sum(F.length("s")).cast("long").alias("n_chars"))
+
+
+@query(
+    f"""WITH t AS (SELECT doc_id, lower(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z][A-Za-z0-9_\\-]{{2,}}|[{O.CJK}]{{2,}}'))) AS w FROM documents),
+c AS (SELECT doc_id, w, count(*) AS n FROM t WHERE w NOT IN {O.names(L.KEYWORD_STOPWORDS)} GROUP BY doc_id, w),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, w) AS k FROM c)
+SELECT doc_id, string_agg(w, ',' ORDER BY k) AS keywords FROM r WHERE k <= 8 GROUP BY doc_id"""
+)
+def keywords_topk(spark, d):
+    counts = docs(spark, d).select("doc_id", F.explode(T.keyword_tokens(F.col("text"))).alias("w")).groupBy("doc_id", "w").agg(F.count("*").alias("n"))
+    top = counts.withColumn("k", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("n"), "w"))).filter("k <= 8")
+    return top.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "w"))), lambda x: x["w"]), ",").alias("keywords"))
+
+
+TURNS = "WITH c AS (SELECT conv_id, turn, role, text, lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS before FROM conversations)"
+
+
+def turns(spark, d):
+    return spark.read.parquet(f"{d}/conversations.parquet").withColumn("before", F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn")))
+
+
+@query(TURNS + f" SELECT conv_id, turn, round({O.overlap('text', 'before')}, 6) AS share, {O.loose('text', O.norm('before'))} AS loose FROM c WHERE before IS NOT NULL")
+def token_overlaps(spark, d):
+    return turns(spark, d).filter("before is not null").select("conv_id", "turn", F.round(T.token_overlap(F.col("text"), F.col("before")), 6).alias("share"), T.loose_overlap(F.col("text"), T.normalize_text(F.col("before"))).alias("loose"))
+
+
+@query(SAID + f", t AS (SELECT doc_id, i, {O.section_tokens('s')} AS t FROM said) SELECT doc_id, CAST(sum(len(t)) AS BIGINT) AS n_tokens, CAST(sum(len(list_distinct(t))) AS BIGINT) AS n_distinct FROM t GROUP BY doc_id")
+def section_tokens(spark, d):
+    t = said(spark, d).select("doc_id", T.section_tokens(F.col("s")).alias("t"))
+    return t.groupBy("doc_id").agg(F.sum(F.size("t")).cast("long").alias("n_tokens"), F.sum(F.size(F.array_distinct("t"))).cast("long").alias("n_distinct"))
+
+
+@query(f"SELECT conv_id, turn, {O.question('text')} AS question, {O.over_specific('text')} AS over_specific, {O.has('lower(text)', L.QUESTION_SHAPE_EN)} OR {O.has('text', L.QUESTION_SHAPE_ZH)} AS shaped FROM conversations WHERE role = 'user'")
+def question_shape(spark, d):
+    rows = spark.read.parquet(f"{d}/conversations.parquet").filter("role = 'user'")
+    return rows.select("conv_id", "turn", T.clean_question(F.col("text")).alias("question"), T.is_over_specific(F.col("text")).alias("over_specific"), T.has_question_shape(F.col("text")).alias("shaped"))
+
+
+@query(f"SELECT conv_id, turn, {O.short('text')} AS short, {O.specific('text')} AS specific FROM conversations")
+def short_labels(spark, d):
+    return spark.read.parquet(f"{d}/conversations.parquet").select("conv_id", "turn", T.clean_short(F.col("text")).alias("short"), T.specific_enough(F.col("text")).alias("specific"))
+
+
+@query("SELECT event_id, json_extract_string(try_cast(props AS JSON), '$.k') AS k, try_cast(props AS JSON) IS NOT NULL AS is_json FROM events")
+def json_objects(spark, d):
+    v = T.json_object(F.concat(F.lit("reply: "), F.col("props"), F.lit(" .")))
+    return spark.read.parquet(f"{d}/events.parquet").select("event_id", F.try_variant_get(v, "$.k", "string").alias("k"), v.isNotNull().alias("is_json"))
+
+
+# --- cleaning and segmentation --------------------------------------------------------------
+
+LINES = "WITH l AS (SELECT doc_id, i, ls[i] AS line, len(ls) AS n FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '\\r\\n?', chr(10), 'g'), chr(10)) AS ls FROM documents)))"
+
+
+@query(LINES + f", f AS (SELECT *, {O.collapse("replace(line, chr(173), '')")} AS flat FROM l), c AS (SELECT *, count(*) OVER (PARTITION BY doc_id, flat) AS times FROM f) SELECT doc_id, count(*) AS n_lines, CAST(sum(length(line)) AS BIGINT) AS n_chars FROM c WHERE NOT {O.is_page_number('flat')} AND NOT (flat <> '' AND length(flat) <= 90 AND times >= greatest(3, n // 80) AND NOT {O.is_heading('flat')}) GROUP BY doc_id")
+def repeated_line_filter(spark, d):
+    kept = sections.drop_repeated_lines(sections.lines(docs(spark, d)))
+    return kept.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.sum(F.length("line")).cast("long").alias("n_chars"))
+
+
+@query(LINES + f", f AS (SELECT doc_id, {O.collapse("replace(line, chr(173), '')")} AS flat FROM l) SELECT doc_id, CAST(count(*) FILTER (WHERE contains(flat, '@') OR {O.has('lower(flat)', L.NOISE_PHRASES)}) AS BIGINT) AS n_noise, CAST(count(*) FILTER (WHERE {O.is_heading('flat')}) AS BIGINT) AS n_headings, CAST(count(*) FILTER (WHERE {O.is_page_number('flat')}) AS BIGINT) AS n_page_numbers FROM f GROUP BY doc_id")
+def page_noise(spark, d):
+    flat = sections.lines(docs(spark, d)).select("doc_id", T.normalize_line(F.col("line")).alias("f"))
+    return flat.groupBy("doc_id").agg(F.count_if(T.is_noise_line(F.col("f"))).alias("n_noise"), F.count_if(T.is_heading(F.col("f"))).alias("n_headings"), F.count_if(T.is_page_number(F.col("f"))).alias("n_page_numbers"))
+
+
+@query(
+    "WITH c AS (SELECT doc_id, greatest(1, round_even(length(coalesce(text, '')) / 40000 * 10, 0), ceil(length(coalesce(text, '')) / 6500)) AS t FROM documents), r AS (SELECT doc_id, t, greatest(1, floor(t * (1 - 0.35))) AS low FROM c) SELECT doc_id, CAST(low AS INT) AS low, CAST(greatest(low, ceil(t * (1 + 0.35))) AS INT) AS high FROM r"
+)
+def section_targets(spark, d):
+    r = T.target_section_range(F.length("text"))
+    return docs(spark, d).select("doc_id", r["low"].alias("low"), r["high"].alias("high"))
+
+
+@query()
+def clean_pdf_text(spark, d):
+    return sections.cleaned(docs(spark, d).select("doc_id", "text")).select("doc_id", F.sha1("text").alias("sha"), F.length("text").alias("n"))
+
+
+def _section_row(df: DataFrame) -> DataFrame:
+    return df.select("section_id", "doc_id", "title", "level", F.array_join("section_path", " > ").alias("path"), F.sha1("text").alias("sha"), "char_start", "char_end", "ordinal")
+
+
+def _marked(spark, d) -> DataFrame:
+    """Documents as Markdown: a heading for the source and one for the language above the text, which closes with a third."""
+    t = F.concat(F.lit("# "), "source", F.lit("\n## "), "lang", F.lit("\n"), "text", F.lit("\n# End\nof "), "lang")
+    return sections.documents(docs(spark, d).select("doc_id", t.alias("text"))).withColumn("file_type", F.lit(".md"))
+
+
+@query(
+    f"""WITH m AS (SELECT 'doc_' || substring(sha1(CAST(doc_id AS VARCHAR)), 1, 10) AS doc_id, source, lang, coalesce(text, '') AS text, '# ' || source || chr(10) || '## ' || lang || chr(10) || coalesce(text, '') || chr(10) || '# End' || chr(10) || 'of ' || lang AS t FROM documents),
+p AS (SELECT *, length(source) + length(lang) + 7 AS a, length(source) + length(lang) + 7 + length(text) + 1 AS e FROM m),
+r AS (SELECT doc_id, lang AS title, 2 AS level, source || ' > ' || lang AS path, {O.strip('text')} AS body, a AS char_start, e AS char_end FROM p
+UNION ALL SELECT doc_id, 'End', 1, 'End', 'of ' || lang, e + 6, length(t) FROM p)
+SELECT {O.stable_id('sec', "doc_id || ':' || char_start || ':' || char_end || ':' || title")} AS section_id, doc_id, title, level, path, sha1(body) AS sha, CAST(char_start AS BIGINT) AS char_start, CAST(char_end AS BIGINT) AS char_end, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY char_start) AS INT) AS ordinal FROM r WHERE body <> ''"""
+)
+def markdown_sections(spark, d):
+    return _section_row(sections.markdown_sections(_marked(spark, d)))
+
+
+@query()
+def text_sections(spark, d):
+    return _section_row(sections.text_sections(sections.documents(docs(spark, d))))
+
+
+@query()
+def heading_sections(spark, d):
+    both = sections.documents(docs(spark, d)).unionByName(_marked(spark, d).withColumn("doc_id", F.concat("doc_id", F.lit("m"))))
+    return _section_row(sections.heading_sections(both))
+
+
+@query()
+def semantic_sections(spark, d):
+    return _section_row(sections.semantic_sections(sections.documents(docs(spark, d))))
+
+
+@query()
+def deep_units(spark, d):
+    parts = sections.units(sections.semantic_sections(sections.documents(docs(spark, d))))
+    return parts.select("section_id", "doc_id", "unit_ord", F.length("text").alias("n"))
+
+
+@query(
+    SAID
+    + f""", t AS (SELECT doc_id, i, unnest({O.section_tokens('s')}) AS w FROM said), n AS (SELECT doc_id, count(*) AS n FROM said GROUP BY doc_id),
+f AS (SELECT doc_id, w, count(DISTINCT i) AS df FROM t GROUP BY doc_id, w)
+SELECT doc_id, count(*) AS n_terms, round(sum(ln((1 + n) / (1 + df)) + 1), 4) AS sum_idf FROM f JOIN n USING (doc_id) GROUP BY doc_id"""
+)
+def sentence_idf(spark, d):
+    s = said(spark, d)
+    total = s.groupBy("doc_id").agg(F.count("*").alias("n"))
+    df = s.select("doc_id", F.explode(F.array_distinct(T.section_tokens(F.col("s")))).alias("w")).groupBy("doc_id", "w").agg(F.count("*").alias("df"))
+    idf = F.ln((1 + F.col("n")) / (1 + F.col("df"))) + 1
+    return df.join(total, "doc_id").groupBy("doc_id").agg(F.count("*").alias("n_terms"), F.round(F.sum(idf), 4).alias("sum_idf"))
+
+
+@query(
+    SAID
+    + f""", t AS (SELECT doc_id, i, unnest({O.section_tokens('s')}) AS w FROM said), n AS (SELECT doc_id, count(*) AS n FROM said GROUP BY doc_id),
+c AS (SELECT doc_id, i, w, count(*) AS c FROM t GROUP BY doc_id, i, w), f AS (SELECT doc_id, w, count(*) AS df FROM c GROUP BY doc_id, w),
+v AS (SELECT doc_id, i, w, c * (ln((1 + n) / (1 + df)) + 1) AS x FROM c JOIN f USING (doc_id, w) JOIN n USING (doc_id)),
+m AS (SELECT doc_id, i, sqrt(sum(x * x)) AS m FROM v GROUP BY doc_id, i),
+p AS (SELECT a.doc_id, b.i, sum(a.x * b.x) AS dot FROM v a JOIN v b ON a.doc_id = b.doc_id AND a.w = b.w AND b.i = a.i + 1 GROUP BY a.doc_id, b.i)
+SELECT p.doc_id, CAST(p.i AS INT) AS i, round(dot / (l.m * r.m), 4) AS cosine FROM p JOIN m l ON l.doc_id = p.doc_id AND l.i = p.i - 1 JOIN m r ON r.doc_id = p.doc_id AND r.i = p.i"""
+)
+def sentence_cosine(spark, d):
+    """Cosine of the tf-idf vectors of neighbouring sentences that share a token."""
+    s = said(spark, d)
+    total = s.groupBy("doc_id").agg(F.count("*").alias("n"))
+    c = s.select("doc_id", "i", F.explode(T.section_tokens(F.col("s"))).alias("w")).groupBy("doc_id", "i", "w").agg(F.count("*").alias("c"))
+    by_word = Window.partitionBy("doc_id", "w")
+    v = c.withColumn("df", F.count("*").over(by_word)).join(total, "doc_id").withColumn("x", F.col("c") * (F.ln((1 + F.col("n")) / (1 + F.col("df"))) + 1))
+    near = by_word.orderBy("i")
+    pairs = v.withColumn("_i", F.lag("i").over(near)).withColumn("_x", F.lag("x").over(near)).filter(F.col("_i") == F.col("i") - 1)
+    dot = pairs.groupBy("doc_id", "i").agg(F.sum(F.col("x") * F.col("_x")).alias("dot"))
+    m = v.groupBy("doc_id", "i").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("m"))
+    out = dot.join(m, ["doc_id", "i"]).join(m.select("doc_id", (F.col("i") + 1).alias("i"), F.col("m").alias("l")), ["doc_id", "i"])
+    return out.select("doc_id", "i", F.round(F.col("dot") / (F.col("m") * F.col("l")), 4).alias("cosine"))
+
+
+@query(
+    SAID
+    + f""", t AS (SELECT doc_id, i, list_filter({O.section_tokens('s')}, lambda w: length(w) >= 4) AS t FROM said),
+w AS (SELECT doc_id, i, list_distinct(flatten(list(t) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING))) AS a, list_distinct(flatten(list(t) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING))) AS b FROM t)
+SELECT doc_id, CAST(i AS INT) AS i, round(CASE WHEN len(a) > 0 AND len(b) > 0 THEN 1 - len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))) ELSE 0.0 END, 4) AS shift FROM w WHERE i > 1"""
+)
+def boundary_keyword_shift(spark, d):
+    t = said(spark, d).select("doc_id", "i", F.filter(T.section_tokens(F.col("s")), lambda w: F.length(w) >= 4).alias("t"))
+    by = Window.partitionBy("doc_id").orderBy("i")
+    frame = lambda a, b: F.array_distinct(F.flatten(F.collect_list("t").over(by.rowsBetween(a, b))))
+    w = t.withColumn("a", frame(-3, -1)).withColumn("b", frame(0, 2)).filter("i > 1")
+    shift = F.when((F.size("a") > 0) & (F.size("b") > 0), 1 - F.size(F.array_intersect("a", "b")) / F.size(F.array_union("a", "b"))).otherwise(F.lit(0.0))
+    return w.select("doc_id", "i", F.round(shift, 4).alias("shift"))
+
+
+# --- cards ---------------------------------------------------------------------------------
+
+CANDIDATES = SAID + f", c AS (SELECT *, {O.card_type('s')} AS card_type FROM said WHERE {O.is_card_sentence('s')})"
+
+
+def candidates(spark, d) -> DataFrame:
+    return said(spark, d).filter(T.is_card_sentence(F.col("s"))).withColumn("card_type", T.card_type(F.col("s")))
+
+
+@query(CANDIDATES + " SELECT doc_id, count(*) AS n_candidates FROM c GROUP BY doc_id")
+def card_candidates(spark, d):
+    return candidates(spark, d).groupBy("doc_id").agg(F.count("*").alias("n_candidates"))
+
+
+CARD_SUMMARY = CANDIDATES + f" SELECT lang, card_type, count(*) AS n_cards, round(sum({O.card_quality('s', 'card_type')}), 2) AS sum_quality FROM c GROUP BY lang, card_type"
+
+
+@query(CARD_SUMMARY)
+def card_summary(spark, d):
+    return stream.type_counts(stream.sentence_cards(docs(spark, d)))
+
+
+@query(CARD_SUMMARY)
+def streamed_card_summary(spark, d):
+    """The same from a stream of the table's files that has been written to a table once."""
+    ensure_checkpoint_dir(spark)
+    root = f"{spark.sparkContext.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
+    stream.run_once(stream.sentence_cards(stream.document_stream(spark, f"{d}/documents.parquet*")), f"{root}/table", f"{root}/state")
+    return stream.type_counts(spark.read.schema("doc_id long, lang string, claim string, card_type string, quality double").parquet(f"{root}/table"))
+
+
+_FOUND = f"regexp_extract_all(s, '[A-Z][A-Za-z0-9_\\-]{{2,}}(?:\\s+[A-Z][A-Za-z0-9_\\-]{{2,}})*|[{O.CJK}A-Za-z0-9_\\-]{{2,12}}')"
+
+
+@query(
+    CANDIDATES
+    + f""", u AS (SELECT *, coalesce(list_filter(list_transform({_FOUND}, lambda x: {O.short('x')}), lambda x: {O.specific('x')})[1], '') AS subject FROM c),
+e AS (SELECT *, trim(CASE WHEN subject <> '' AND strpos(s, subject) > 0 THEN substring(s, 1, strpos(s, subject) - 1) || substring(s, strpos(s, subject) + length(subject)) ELSE s END, ' ，,。.;；') AS rest FROM u)
+SELECT doc_id, CAST(i AS INT) AS i, card_type, subject, CASE WHEN length(rest) <= 60 THEN rest ELSE rtrim(substring(rest, 1, 60), ' ，,。.;；') END AS event, {O.card_quality('s', 'card_type')} AS quality FROM e"""
+)
+def card_subjects(spark, d):
+    none = F.array().cast("array<string>")
+    c = candidates(spark, d).withColumn("subject", T.infer_subject(F.col("s"), F.lit(""), none))
+    return c.select("doc_id", "i", "card_type", "subject", T.infer_event(F.col("s"), F.col("subject")).alias("event"), T.card_quality(F.col("s"), F.col("card_type")).alias("quality"))
+
+
+def _cards(spark, d) -> DataFrame:
+    return C.heuristic_cards(sections.units(sections.semantic_sections(sections.documents(docs(spark, d)))))
+
+
+@query()
+def evidence_cards_heuristic(spark, d):
+    return _cards(spark, d).select("card_id", "doc_id", "section_id", "card_type", "subject", "event_or_topic", "quality_score", F.col("evidence_ids")[0].alias("evidence_id"), "evidence_start", "evidence_end")
+
+
+@query()
+def card_dedupe(spark, d):
+    kept = C.dedupe_cards(C.numbered(_cards(spark, d), "doc_id", "ordinal", "unit_ord", "ord"))
+    return kept.select("card_id", "card_type", "quality_score", "pos")
+
+
+@query()
+def evidence_semijoin(spark, d):
+    cards = cut(_cards(spark, d))
+    return C.used_evidence(C.evidence_of(cards), cards.filter("card_type <> 'core_claim'")).select("evidence_id", "section_id", "char_start", "char_end")
+
+
+@query(
+    CANDIDATES
+    + f", r AS (SELECT doc_id, i, card_type, {O.card_quality('s', 'card_type')} AS quality FROM c ORDER BY quality DESC, doc_id, i LIMIT 120) SELECT doc_id, CAST(i AS INT) AS i, card_type, quality, CAST((row_number() OVER (ORDER BY quality DESC, doc_id, i) - 1) // 18 AS INT) AS batch FROM r"
+)
+def planning_batches(spark, d):
+    c = candidates(spark, d).withColumn("quality_score", T.card_quality(F.col("s"), F.col("card_type")))
+    c = c.select("doc_id", "i", "card_type", "quality_score", F.col("quality_score").alias("reasoning_depth"), F.col("quality_score").alias("centrality"), (F.col("doc_id") * 1_000_000 + F.col("i")).alias("pos"))
+    return C.planning_batches(c).select("doc_id", "i", "card_type", F.col("quality_score").alias("quality"), "batch")
+
+
+def _doc_cards(spark, d) -> DataFrame:
+    """The first four candidate sentences of each document as cards of one section."""
+    c = candidates(spark, d).withColumn("k", F.row_number().over(Window.partitionBy("doc_id").orderBy("i"))).filter("k <= 4")
+    none = F.array().cast("array<string>")
+    c = c.withColumn("subject", T.infer_subject(F.col("s"), F.lit(""), none))
+    return c.select("doc_id", "k", F.concat_ws("-", "doc_id", "k").alias("card_id"), F.col("source").alias("section_id"), "subject", F.col("s").alias("claim"), T.infer_event(F.col("s"), F.col("subject")).alias("event_or_topic"), "card_type")
+
+
+@query()
+def card_clusters(spark, d):
+    cards = cut(_doc_cards(spark, d))
+    groups = cards.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "card_id"))), lambda x: x["card_id"]).alias("card_ids"))
+    return C.supported_clusters(groups, "doc_id", cards.drop("doc_id", "k"))
+
+
+@query(
+    CANDIDATES
+    + f", p AS (SELECT a.doc_id, a.i, a.s AS x, b.s AS y, a.card_type AS ta, b.card_type AS tb FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.i = a.i + 1) SELECT doc_id, CAST(i AS INT) AS i, round({O.overlap('x', 'y')}, 6) AS share, least(ta, tb) || '+' || greatest(ta, tb) IN {O.names('+'.join(sorted(p)) for p in L.COMPATIBLE_TYPES)} AS compatible FROM p"
+)
+def neighbour_claims(spark, d):
+    c = candidates(spark, d)
+    p = c.select("doc_id", "i", F.col("s").alias("x"), F.col("card_type").alias("ta")).join(c.select("doc_id", (F.col("i") - 1).alias("i"), F.col("s").alias("y"), F.col("card_type").alias("tb")), ["doc_id", "i"])
+    return p.select("doc_id", "i", F.round(T.token_overlap(F.col("x"), F.col("y")), 6).alias("share"), C.compatible(F.col("ta"), F.col("tb")).alias("compatible"))
+
+
+# --- concepts, facts, combinations ------------------------------------------------------------
+
+
+@query(SAID + f" SELECT lang, {O.fact_type('s')} AS fact_type, count(*) AS n, round(sum({O.fact_confidence('s')}), 2) AS confidence FROM said GROUP BY 1, 2")
+def fact_types(spark, d):
+    s = said(spark, d)
+    return s.groupBy("lang", T.fact_type(F.col("s")).alias("fact_type")).agg(F.count("*").alias("n"), F.round(F.sum(T.fact_confidence(F.col("s"))), 2).alias("confidence"))
+
+
+@query(SAID + f" SELECT lang, {O.document_fact_type('s')} AS fact_type, count(*) AS n, round(sum({O.document_fact_confidence('s')}), 2) AS confidence FROM said GROUP BY 1, 2")
+def document_fact_types(spark, d):
+    s = said(spark, d)
+    return s.groupBy("lang", T.document_fact_type(F.col("s")).alias("fact_type")).agg(F.count("*").alias("n"), F.round(F.sum(T.document_fact_confidence(F.col("s"))), 2).alias("confidence"))
+
+
+_NAMES = "SELECT p_name AS name, 'part' AS kind FROM part UNION ALL SELECT n_name, 'nation' FROM nation UNION ALL SELECT s_name, 'supplier' FROM supplier UNION ALL SELECT concat_ws(' ', upper(substring(n_name, 1, 1)) || lower(substring(n_name, 2)), 'Layer') , 'made' FROM nation"
+
+
+def _names(spark, d):
+    t = lambda n: spark.read.parquet(f"{d}/{n}.parquet")
+    made = F.concat_ws(" ", F.concat(F.upper(F.substring("n_name", 1, 1)), F.lower(F.substring("n_name", 2, 1000))), F.lit("Layer"))
+    rows = t("part").select(F.col("p_name").alias("name"), F.lit("part").alias("kind")).unionAll(t("nation").select("n_name", F.lit("nation"))).unionAll(t("supplier").select("s_name", F.lit("supplier")))
+    return rows.unionAll(t("nation").select(made, F.lit("made")))
+
+
+@query(f"SELECT kind, {O.person('name')} AS person, {O.concept_type('name')} AS concept_type, {O.keep_canonical('name', '0.75')} AS kept, count(*) AS n FROM ({_NAMES}) GROUP BY 1, 2, 3, 4")
+def concept_names(spark, d):
+    n = F.col("name")
+    return _names(spark, d).groupBy("kind", T.is_person_like(n).alias("person"), T.concept_type(n).alias("concept_type"), T.keep_canonical(n, F.lit(0.75)).alias("kept")).agg(F.count("*").alias("n"))
+
+
+def _heads(spark, d) -> DataFrame:
+    return sections.heading_sections(_marked(spark, d))
+
+
+@query()
+def concept_candidates(spark, d):
+    return K.concept_candidates(_heads(spark, d)).select("doc_id", "section_id", "pos", "family", "name")
+
+
+@query()
+def section_knowledge(spark, d):
+    parts = cut(legacy.knowledge_units(_heads(spark, d)))
+    facts = K.section_facts(parts, K.section_concepts(parts))
+    return facts.select("fact_id", "fact_type", "subject", "confidence", F.col("evidence_ids")[0].alias("evidence_id"), "evidence_start", "evidence_end")
+
+
+@query()
+def canonical_concepts(spark, d):
+    return K.canonical_concepts(cut(K.section_concepts(_heads(spark, d)))).withColumn("aliases", F.array_join("aliases", "|")).withColumn("source_section_ids", F.size("source_section_ids"))
+
+
+@query()
+def document_knowledge(spark, d):
+    parts = cut(_heads(spark, d))
+    found = K.document_facts(parts, K.document_concepts(parts))
+    return found.groupBy("doc_id", "fact_type").agg(F.count("*").alias("n"), F.countDistinct("name").alias("n_concepts"))
+
+
+FACTS = SAID + f", facts AS (SELECT {O.stable_id('fact_raw', "doc_id || ':' || s")} AS fact_id, 'concept_' || source AS subject_concept_id, {O.fact_type('s')} AS fact_type, {O.fact_confidence('s')} AS confidence, 0.55 AS importance, s AS statement FROM (SELECT DISTINCT doc_id, source, s FROM said))"
+
+
+def _facts(spark, d) -> DataFrame:
+    s = said(spark, d).select("doc_id", "source", "s").distinct()
+    return s.select(T.stable_id("fact_raw", F.concat_ws(":", "doc_id", "s")).alias("fact_id"), F.concat(F.lit("concept_"), "source").alias("subject_concept_id"), T.fact_type(F.col("s")).alias("fact_type"), T.fact_confidence(F.col("s")).alias("confidence"), F.lit(0.55).alias("importance"), F.col("s").alias("statement"))
+
+
+RANKED = FACTS + ", ranked AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY subject_concept_id ORDER BY importance DESC, confidence DESC, length(statement) DESC, fact_id) AS r FROM facts) WHERE r <= 6)"
+
+
+@query(RANKED + " SELECT subject_concept_id, CAST(r AS INT) AS rank, fact_id, fact_type, confidence FROM ranked")
+def facts_topk(spark, d):
+    return K.top_facts(_facts(spark, d)).select("subject_concept_id", "rank", "fact_id", "fact_type", "confidence")
+
+
+_GROUPS = (
+    RANKED
+    + """, g AS (
+SELECT subject_concept_id AS c, [fact_id] AS ids, [fact_type] AS ts, confidence AS s, 1 AS k FROM ranked
+UNION ALL SELECT a.subject_concept_id, [a.fact_id, b.fact_id], [a.fact_type, b.fact_type], a.confidence + b.confidence, 2 FROM ranked a JOIN ranked b ON a.subject_concept_id = b.subject_concept_id AND a.r < b.r
+UNION ALL SELECT a.subject_concept_id, [a.fact_id, b.fact_id, c.fact_id], [a.fact_type, b.fact_type, c.fact_type], a.confidence + b.confidence + c.confidence, 3 FROM ranked a JOIN ranked b ON a.subject_concept_id = b.subject_concept_id AND a.r < b.r JOIN ranked c ON a.subject_concept_id = c.subject_concept_id AND b.r < c.r
+UNION ALL SELECT a.subject_concept_id, [a.fact_id, b.fact_id, c.fact_id, e.fact_id], [a.fact_type, b.fact_type, c.fact_type, e.fact_type], a.confidence + b.confidence + c.confidence + e.confidence, 4 FROM ranked a JOIN ranked b ON a.subject_concept_id = b.subject_concept_id AND a.r < b.r JOIN ranked c ON a.subject_concept_id = c.subject_concept_id AND b.r < c.r JOIN ranked e ON a.subject_concept_id = e.subject_concept_id AND c.r < e.r),
+x AS (SELECT *, """
+    + O.cases([(f"list_contains(ts, '{t}')", p) for t, p in L.PATTERNS], L.DEFAULT_PATTERN)
+    + " AS pattern, round(s / k, 3) AS score FROM g WHERE round(s / k, 3) >= 0.7)"
+)
+
+
+@query(_GROUPS + f" SELECT {O.stable_id('comb', "c || ':' || array_to_string(ids, '|')")} AS combination_id, c AS concept_id, pattern, {O.mapped('pattern', L.QUESTION_TYPES, L.DEFAULT_PATTERN)} AS question_type, CASE WHEN k >= 4 THEN 'hard' WHEN k >= 2 THEN 'medium' ELSE 'easy' END AS difficulty, score FROM x")
+def fact_combinations(spark, d):
+    return K.combinations(_facts(spark, d)).select("combination_id", "concept_id", "pattern", F.col("expected_question_type").alias("question_type"), "difficulty", "score")
+
+
+@query(FACTS + f", k AS (SELECT *, {O.mapped('fact_type', L.RELATIONS, L.DEFAULT_RELATION)} AS rel FROM facts) SELECT {O.stable_id('rel', "subject_concept_id || ':' || fact_id || ':' || rel")} AS relation_id, subject_concept_id AS concept_id, fact_id, rel AS relation_type, confidence FROM k")
+def concept_fact_edges(spark, d):
+    f = _facts(spark, d)
+    return K.relations(f, f.select(F.col("subject_concept_id").alias("concept_id")).distinct())
+
+
+@query(FACTS + " SELECT subject_concept_id AS concept_id, count(DISTINCT fact_id) AS n_facts, md5(string_agg(fact_id, ',' ORDER BY fact_id)) AS ids FROM (SELECT DISTINCT subject_concept_id, fact_id FROM facts) GROUP BY 1")
+def related_facts(spark, d):
+    f = _facts(spark, d)
+    r = K.related_facts(K.relations(f, f.select(F.col("subject_concept_id").alias("concept_id")).distinct()))
+    return r.select("concept_id", F.size("related_fact_ids").cast("long").alias("n_facts"), F.md5(F.array_join("related_fact_ids", ",")).alias("ids"))
+
+
+@query(
+    SAID
+    + f""", e AS (SELECT {O.stable_id('ev', "doc_id || ':' || i || ':' || s")} AS evidence_id, lang AS sec, s, doc_id * 100000 + i AS ord FROM said), f AS (SELECT *, first_value(evidence_id) OVER (PARTITION BY sec, s ORDER BY ord) AS keep FROM e) SELECT keep AS evidence_id, count(*) AS n FROM f GROUP BY keep"""
+)
+def evidence_dedupe(spark, d):
+    s = said(spark, d)
+    ev = s.select(T.stable_id("ev", F.concat_ws(":", "doc_id", "i", "s")).alias("evidence_id"), F.col("lang").alias("section_id"), F.col("s").alias("text"), (F.col("doc_id") * 100000 + F.col("i")).alias("ord"))
+    facts = ev.select(F.concat(F.lit("f"), "evidence_id").alias("fact_id"), F.array("evidence_id").alias("evidence_ids"))
+    bound, _ = K.bind_evidence(facts, ev)
+    return bound.select(F.explode("evidence_ids").alias("evidence_id")).groupBy("evidence_id").agg(F.count("*").alias("n"))
+
+
+@query(
+    "SELECT id, place, v FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY src DESC) AS r, first_value(p) OVER (PARTITION BY id ORDER BY src) AS place FROM (SELECT doc_id AS id, doc_id AS p, lang AS v, 0 AS src FROM documents UNION ALL SELECT doc_id, 1000000 + doc_id, CAST(quality AS VARCHAR), 1 FROM labels)) WHERE r = 1"
+)
+def upsert(spark, d):
+    a = docs(spark, d).select(F.col("doc_id").alias("id"), F.col("doc_id").alias("place"), F.col("lang").alias("v"))
+    b = spark.read.parquet(f"{d}/labels.parquet").select(F.col("doc_id").alias("id"), (F.col("doc_id") + 1_000_000).alias("place"), F.col("quality").cast("string").alias("v"))
+    return K.upsert(a, b, "id")
+
+
+# --- questions and answers --------------------------------------------------------------------
+
+
+@query(TURNS + ", w AS (SELECT *, list_filter(regexp_split_to_array(text, '[\\s\\x0b\\p{Z}]+'), lambda x: length(x) > 5) AS ws FROM c WHERE before IS NOT NULL) SELECT conv_id, turn, before <> '' AND contains(lower(text), lower(substring(before, 1, 20))) AS faithful, len(ws) > 0 AND len(list_filter(ws, lambda x: NOT contains(before, x))) > greatest(2, len(ws) // 2) AS hallucination FROM w")
+def answer_checks(spark, d):
+    t = turns(spark, d).filter("before is not null")
+    return t.select("conv_id", "turn", qa.is_faithful(F.col("text"), F.array("before")).alias("faithful"), qa.has_hallucination(F.col("text"), F.col("before")).alias("hallucination"))
+
+
+@query(TURNS + f" SELECT conv_id, turn, {O.strip('text')} <> '' AND {O.overlap('text', 'before')} >= 0.18 AS grounded FROM c WHERE before IS NOT NULL")
+def answer_grounding(spark, d):
+    t = turns(spark, d).filter("before is not null")
+    return t.select("conv_id", "turn", qa.is_grounded(F.col("text"), F.array("before"), F.array().cast("array<string>")).alias("grounded"))
+
+
+@query()
+def question_dedupe(spark, d):
+    """First turns as questions: those at least 0.88 similar to an earlier kept one are duplicates."""
+    t = spark.read.parquet(f"{d}/conversations.parquet").filter("turn = 0 and text is not null")
+    rows = t.select("conv_id", F.col("text").alias("question"), F.col("conv_id").alias("ord"), F.lit(True).alias("sound"))
+    return qa.keep_first_questions(rows).select("conv_id", "duplicate")
+
+
+@query("SELECT d.doc_id, b.item_id FROM (SELECT item_id, doc_id, row_number() OVER (PARTITION BY item_id ORDER BY doc_id) AS r FROM benchmark b JOIN documents d ON contains(d.text, b.text)) x JOIN documents d ON d.doc_id = x.doc_id JOIN benchmark b ON b.item_id = x.item_id")
+def span_lookup(spark, d):
+    """Where the benchmark's passages stand in documents: the exact case of span anchoring; the benchmark is a small, fixed table."""
+    b = spark.read.parquet(f"{d}/benchmark.parquet").select("item_id", F.col("text").alias("passage"))
+    return docs(spark, d).join(F.broadcast(b), F.contains("text", "passage")).select("doc_id", "item_id")
+
+
+@query()
+def sentence_match(spark, d):
+    """Each answer's most similar sentence in the turn before it."""
+    t = turns(spark, d).filter("before is not null")
+    return similarity.best_match(t, "text", "before", 0.55).select("conv_id", "turn", "span")
+
+
+@query("SELECT o_orderkey, string_agg(p_brand || ':' || l_linenumber, ',' ORDER BY l_linenumber) AS parts FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey GROUP BY o_orderkey")
+def ordered_lookup(spark, d):
+    """Arrays of ids turned into rows in the arrays' order."""
+    t = lambda n: spark.read.parquet(f"{d}/{n}.parquet")
+    lists = t("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("l"))
+    rows = t("orders").select("o_orderkey").join(lists, "o_orderkey").withColumn("ids", F.col("l.l_partkey"))
+    found = qa.lookup(rows, "o_orderkey", "ids", t("part"), "p_partkey", ["p_brand"], "parts")
+    return found.select("o_orderkey", F.array_join(F.zip_with(F.col("parts.p_brand"), F.col("l.l_linenumber"), lambda b, n: F.concat(b, F.lit(":"), n.cast("string"))), ",").alias("parts"))
+
+
+@query()
+def deep_pipeline(spark, d):
+    """Cards to dataset, with one templated question for each planned card in place of a model."""
+    r = deep.run(sections.documents(docs(spark, d)), plan_replies=None)
+    batches = C.planning_batches(r.cards)
+    plans = cut(qa.choose_plans(qa.parse_plans(deep.template_plans(batches), r.cards)))
+    pairs = cut(qa.deep_pairs(plans, r.cards))
+    checked = cut(qa.validate_deep(pairs, r.cards, r.evidence))
+    return qa.dataset(pairs, checked, r.evidence, ["question_type", "difficulty"]).withColumn("reference_context", F.size("reference_context"))
+
+
+@query()
+def legacy_pipeline(spark, d):
+    r = legacy.run(_marked(spark, d))
+    return r.validations.select("qa_id", "is_answerable", "is_faithful", "has_hallucination", F.array_join("issues", ",").alias("issues"), "passed", "ord")
+
+
+@query()
+def model_requests(spark, d):
+    parts = sections.units(sections.semantic_sections(sections.documents(docs(spark, d))))
+    return provider.replies(provider.card_requests(parts)).select("id", "key", "error")
+
+
+@query(SAID + f", f AS (SELECT count(*) AS sentences, count(*) FILTER (WHERE {O.is_card_sentence('s')}) AS candidates, count(*) FILTER (WHERE {O.is_card_sentence('s')} AND {O.card_type('s')} <> 'core_claim') AS typed FROM said) SELECT (SELECT count(*) FROM documents) AS documents, sentences, candidates, typed FROM f")
+def funnel(spark, d):
+    s = said(spark, d)
+    ok = T.is_card_sentence(F.col("s"))
+    counts = s.agg(F.count("*").alias("sentences"), F.count_if(ok).alias("candidates"), F.count_if(ok & (T.card_type(F.col("s")) != L.DEFAULT_CARD_TYPE)).alias("typed"))
+    return docs(spark, d).agg(F.count("*").alias("documents")).crossJoin(counts)  # one row each
+
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("lang").agg(F.count("*").alias("n_docs"))
+def flagship(spark: SparkSession, d: str) -> DataFrame:
+    return card_summary(spark, d)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_ORACLES)

@@ -32,3 +32,16 @@ def ship(spark: SparkSession) -> None:
             z.write(f, f"{root.name}/{f.relative_to(root)}")
     context.addPyFile(path)
     _shipped.add(context.applicationId)
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Checkpoints go to the cluster's shared folder, spark.checkpoint.dir; a folder of our own only where it is unset."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="gleaner-checkpoints-"))
+
+
+def cut(df):
+    """The same rows, written to the shared checkpoint folder: computed once, and independent of any executor."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
