@@ -5,7 +5,7 @@ Every function takes and gives columns; null text gives null unless said otherwi
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from gleaner.functions import lexicons as L
 CJK = r"一-鿿"
 #: Python's white space: Unicode's and the separators 1C to 1F.
 WS = r"(?U)[\s\x1c-\x1f]"
-EDGE = " ，,。.;；"
+EDGE = "[ ，,。.;；]+"
 
 
 def _any(c: Column, terms: Sequence[str]) -> Column:
@@ -26,6 +26,11 @@ def _any(c: Column, terms: Sequence[str]) -> Column:
     return out
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value computed once, however often it is used: branches of a case don't share expressions."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _cases(pairs: Sequence[tuple[Column, str]], default: str) -> Column:
     out = None
     for cond, label in pairs:
@@ -46,6 +51,11 @@ def collapse(c: Column) -> Column:
     return strip(F.regexp_replace(c, WS + "+", " "))
 
 
+def trim_edges(c: Column, left: bool = True) -> Column:
+    """Without spaces and separating punctuation at the ends (or the right end only)."""
+    return F.regexp_replace(c, (f"^{EDGE}|" if left else "") + f"{EDGE}$", "")
+
+
 def normalize_text(c: Column) -> Column:
     """Collapsed, lower case, then everything but word characters, white space and hyphens deleted."""
     return F.regexp_replace(F.lower(collapse(c)), r"(?U)[^\p{L}\p{N}_\s-]", "")
@@ -86,7 +96,8 @@ def keyword_tokens(c: Column) -> Column:
 
 
 def clean_short(c: Column, most: int = 120) -> Column:
-    return F.btrim(F.substring(collapse(c), 1, most), F.lit(EDGE))
+    """In higher-order functions wrap this in a lambda: a second parameter would be taken for the index."""
+    return trim_edges(F.substring(collapse(c), 1, most))
 
 
 def clean_question(c: Column) -> Column:
@@ -96,15 +107,18 @@ def clean_question(c: Column) -> Column:
 
 def token_overlap(left: Column, right: Column) -> Column:
     """The share of left's distinct tokens that right has (0 if either has none)."""
-    a, b = F.array_distinct(deep_tokens(left)), F.array_distinct(deep_tokens(right))
-    return F.when((F.size(a) > 0) & (F.size(b) > 0), F.size(F.array_intersect(a, b)) / F.size(a)).otherwise(F.lit(0.0))
+    share = lambda a, b: F.when((F.size(a) > 0) & (F.size(b) > 0), F.size(F.array_intersect(a, b)) / F.size(a)).otherwise(F.lit(0.0))
+    return let(F.array_distinct(deep_tokens(left)), lambda a: let(F.array_distinct(deep_tokens(right)), lambda b: share(a, b)))
 
 
 def loose_overlap(topic: Column, text: Column) -> Column:
     """Half of the topic's tokens (one at least) are substrings of text."""
-    tokens = deep_tokens(topic)
-    hits = F.size(F.filter(tokens, lambda t: F.contains(text, t)))
-    return (F.size(tokens) > 0) & (hits >= F.greatest(F.lit(1), F.floor(F.size(tokens) / 2)))
+
+    def half(tokens: Column, text: Column) -> Column:
+        hits = F.size(F.filter(tokens, lambda t: F.contains(text, t)))
+        return (F.size(tokens) > 0) & (hits >= F.greatest(F.lit(1), F.floor(F.size(tokens) / 2)))
+
+    return let(deep_tokens(topic), lambda tokens: let(text, lambda t: half(tokens, t)))
 
 
 def is_upper(c: Column) -> Column:
@@ -131,22 +145,19 @@ def is_noise_line(c: Column) -> Column:
 
 
 def is_card_sentence(c: Column) -> Column:
-    n = F.length(strip(c))
-    return (n <= 500) & F.when(contains_cjk(c), n >= 16).otherwise(n >= 35)
+    return let(F.length(strip(c)), lambda n: (n <= 500) & F.when(contains_cjk(c), n >= 16).otherwise(n >= 35))
 
 
 def specific_enough(c: Column) -> Column:
-    n = normalize_text(c)
-    return (F.length(n) >= 2) & ~n.isin(*L.GENERIC_TERMS)
+    return let(normalize_text(c), lambda n: (F.length(n) >= 2) & ~n.isin(*L.GENERIC_TERMS))
 
 
 def card_type(c: Column) -> Column:
-    low = F.lower(c)
-    return _cases([(_any(c, zh) | _any(low, en), name) for name, zh, en in L.CARD_TYPES], L.DEFAULT_CARD_TYPE)
+    return let(F.lower(c), lambda low: _cases([(_any(c, zh) | _any(low, en), name) for name, zh, en in L.CARD_TYPES], L.DEFAULT_CARD_TYPE))
 
 
 def card_quality(c: Column, kind: Column) -> Column:
-    points = F.lit(55) + F.when(kind.isin(*L.REASONING_TYPES), 20).otherwise(0) + F.when(_any(F.lower(c), L.QUALITY_EN), 10).otherwise(0)
+    points = F.lit(55) + F.when(kind.isin(*L.REASONING_TYPES), 20).otherwise(0) + F.when(let(F.lower(c), lambda low: _any(low, L.QUALITY_EN)), 10).otherwise(0)
     points = points + F.when(_any(c, L.QUALITY_ZH), 10).otherwise(0) + F.when(F.length(c) > 120, 5).otherwise(0)
     return F.least(points, F.lit(95)) / 100
 
@@ -176,15 +187,14 @@ def infer_event(c: Column, subject: Column) -> Column:
     """The label, else the sentence without the first mention of the subject, 60 characters at most."""
     at = F.instr(c, subject)
     rest = F.when((at > 0) & (F.length(subject) > 0), F.concat(c.substr(F.lit(1), at - 1), c.substr(at + F.length(subject), F.length(c)))).otherwise(c)
-    rest = F.btrim(rest, F.lit(EDGE))
-    short = F.when(F.length(rest) <= 60, rest).otherwise(F.rtrim(F.substring(rest, 1, 60), F.lit(EDGE)))
-    return F.when(event_label(c) != "", event_label(c)).otherwise(short)
+    short = let(trim_edges(rest), lambda r: F.when(F.length(r) <= 60, r).otherwise(trim_edges(F.substring(r, 1, 60), False)))
+    return let(event_label(c), lambda e: F.when(e != "", e).otherwise(short))
 
 
 def infer_subject(c: Column, title: Column, keywords: Column) -> Column:
     """The title for CJK sentences, else the first specific phrase, keyword or the title; may be empty."""
     found = F.regexp_extract_all(c, F.lit(rf"[A-Z][A-Za-z0-9_\-]{{2,}}(?:\s+[A-Z][A-Za-z0-9_\-]{{2,}})*|[{CJK}A-Za-z0-9_\-]{{2,12}}"), F.lit(0))
-    phrase = F.get(F.filter(F.transform(found, clean_short), specific_enough), F.lit(0))
+    phrase = F.get(F.filter(F.transform(found, lambda x: clean_short(x)), specific_enough), F.lit(0))
     word = F.get(F.filter(keywords, specific_enough), F.lit(0))
     own = F.when(specific_enough(title), title)
     return F.when(contains_cjk(c) & specific_enough(title), title).otherwise(F.coalesce(phrase, word, own, F.lit("")))
@@ -192,12 +202,11 @@ def infer_subject(c: Column, title: Column, keywords: Column) -> Column:
 
 def section_subject(path: Column, title: Column) -> Column:
     own = clean_short(F.coalesce(title, F.lit("")))
-    return F.coalesce(F.get(F.filter(F.transform(path, clean_short), specific_enough), F.lit(0)), F.when(specific_enough(own), own), F.lit(""))
+    return F.coalesce(F.get(F.filter(F.transform(path, lambda x: clean_short(x)), specific_enough), F.lit(0)), F.when(specific_enough(own), own), F.lit(""))
 
 
 def fact_type(c: Column) -> Column:
-    n = normalize_text(c)
-    return _cases([(c.rlike(r"\d"), "numeric"), *[(_any(n, terms), name) for name, terms in L.FACT_TYPES]], "claim")
+    return let(normalize_text(c), lambda n: _cases([(c.rlike(r"\d"), "numeric"), *[(_any(n, terms), name) for name, terms in L.FACT_TYPES]], "claim"))
 
 
 def fact_confidence(c: Column) -> Column:
@@ -206,8 +215,7 @@ def fact_confidence(c: Column) -> Column:
 
 
 def document_fact_type(c: Column) -> Column:
-    low = F.lower(c)
-    return _cases([(c.rlike(r"\d"), "numeric"), *[(_any(low, terms), name) for name, terms in L.DOCUMENT_FACT_TYPES]], "claim")
+    return let(F.lower(c), lambda low: _cases([(c.rlike(r"\d"), "numeric"), *[(_any(low, terms), name) for name, terms in L.DOCUMENT_FACT_TYPES]], "claim"))
 
 
 def document_fact_confidence(c: Column) -> Column:
@@ -216,8 +224,7 @@ def document_fact_confidence(c: Column) -> Column:
 
 
 def concept_type(c: Column) -> Column:
-    n = normalize_text(c)
-    return _cases([(_any(n, terms), name) for name, terms in L.CONCEPT_TYPES], "term")
+    return let(normalize_text(c), lambda n: _cases([(_any(n, terms), name) for name, terms in L.CONCEPT_TYPES], "term"))
 
 
 def is_person_like(c: Column) -> Column:
@@ -234,8 +241,10 @@ def is_metadata_phrase(c: Column) -> Column:
 
 
 def is_concept_name(c: Column) -> Column:
-    name = strip(c)
-    norm = normalize_text(name)
+    return let(strip(c), lambda name: let(normalize_text(name), lambda norm: _is_name(name, norm)))
+
+
+def _is_name(name: Column, norm: Column) -> Column:
     parts = F.transform(F.split(name, r"(?U)[\s\-]+"), normalize_text)
     bad = norm.isin(*L.PRONOUNS, *L.GENERIC_NAMES, *L.AFFILIATIONS) | F.exists(parts, lambda p: p.isin(*L.AFFILIATIONS))
     bad = bad | ((F.length(norm) <= 2) & ~name.rlike("[A-Z]{2,}")) | (name.rlike("^[a-z]+$") & ((F.length(name) <= 4) | ~norm.isin("bert", "gpt", "lstm")))
@@ -244,8 +253,10 @@ def is_concept_name(c: Column) -> Column:
 
 def keep_canonical(c: Column, importance: Column) -> Column:
     """The ordered rules that say which canonical concepts stay."""
-    name = strip(c)
-    norm = normalize_text(name)
+    return let(strip(c), lambda name: let(normalize_text(name), lambda norm: _keep(name, norm, importance)))
+
+
+def _keep(name: Column, norm: Column, importance: Column) -> Column:
     listed = norm.isin(*L.DOMAIN_ALLOWLIST)
     return (
         F.when((norm == "") | norm.isin(*L.CANONICAL_BLACKLIST) | is_person_like(name), False)
@@ -278,7 +289,7 @@ def intended_question(kind: Column) -> Column:
 
 
 def rendered_question(kind: Column, intended: Column) -> Column:
-    return F.coalesce(*[F.when(kind == k, F.lit(v)) for k, v in L.RENDERED_QUESTIONS.items()], F.concat(F.rtrim(intended, F.lit("。")), F.lit("？")))
+    return F.coalesce(*[F.when(kind == k, F.lit(v)) for k, v in L.RENDERED_QUESTIONS.items()], F.concat(F.regexp_replace(intended, "。+$", ""), F.lit("？")))
 
 
 def is_over_specific(c: Column) -> Column:

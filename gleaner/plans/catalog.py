@@ -507,7 +507,7 @@ def sentence_match(spark, d):
     return similarity.best_match(t, "text", "before", 0.55).select("conv_id", "turn", "span")
 
 
-@query("SELECT o_orderkey, string_agg(p_brand || ':' || l_linenumber, ',' ORDER BY l_linenumber) AS parts FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey GROUP BY o_orderkey")
+@query("SELECT o_orderkey, string_agg(p_brand || ':' || l_linenumber, ',' ORDER BY l_linenumber, l_partkey) AS parts FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey GROUP BY o_orderkey")
 def ordered_lookup(spark, d):
     """Arrays of ids turned into rows in the arrays' order."""
     t = lambda n: spark.read.parquet(f"{d}/{n}.parquet")
