@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import cut, shuffle_partitions
+from gleaner.llm.common import cut, held, shuffle_partitions
 from gleaner.session import ship
 
 CAPACITY = 2048
@@ -39,7 +39,7 @@ class Tokens:
     ones, in two generations: what was used lately stays.
     """
 
-    def __init__(self, path: str, max_cached: int = 700_000):
+    def __init__(self, path: str, max_cached: int = 500_000):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -108,13 +108,8 @@ class Tokens:
         return out
 
 
-_tokens: dict[str, Tokens] = {}
-
-
 def worker_tokens(path: str) -> Tokens:
-    if path not in _tokens:
-        _tokens[path] = Tokens(path)
-    return _tokens[path]
+    return held(("tokens", path), lambda: Tokens(path))
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, key: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:

@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 
+from gleaner.llm.common import held
 from gleaner.session import ship
 
 PATTERN_FILE = "byte_bpe_50k.tiktoken"
@@ -303,13 +304,12 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, key: str = "do
     return docs.select(key, text).mapInArrow(run, schema)
 
 
-_codecs: dict[tuple[str, str], Codec] = {}
-
-
 def worker_codec(ranks_path: str, pattern: str) -> Codec:
-    """The worker's own codec: its tables are made once and used for all tasks that the worker runs."""
-    if (ranks_path, pattern) not in _codecs:
+    """The worker's own codec."""
+
+    def make() -> Codec:
         codec = Codec(load_ranks(ranks_path), pattern)
         codec.name_of = {i: str(i) for i in codec.bytes_of}.__getitem__
-        _codecs[ranks_path, pattern] = codec
-    return _codecs[ranks_path, pattern]
+        return codec
+
+    return held(("codec", ranks_path, pattern), make)

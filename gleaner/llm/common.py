@@ -64,6 +64,30 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+_held: dict = {}
+
+
+def held(key, make):
+    """A worker's large table (a codec, a vocabulary), made once and used by all tasks of one operator; one at a time."""
+    if key not in _held:
+        let_go()
+        _held[key] = make()
+    return _held[key]
+
+
+def let_go() -> None:
+    """Give back the memory of the table of an operator that ran here before."""
+    if _held:
+        _held.clear()
+        gc.collect()
+        try:
+            import ctypes
+
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except OSError:  # another C library
+            pass
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

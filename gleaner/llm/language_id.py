@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleaner.llm.common import let_go
 from gleaner.session import ship
 
 BUCKETS = 1 << 16
@@ -68,6 +69,7 @@ def train(rows: DataFrame, lang: str = "lang", text: str = "text", alpha: float
     """(languages, log-probabilities of buckets x languages plus the row of priors) from all rows with both columns."""
 
     def count(batches):
+        let_go()
         counts: dict[str, np.ndarray] = {}
         n: dict[str, int] = {}
         for b in batches:
@@ -153,6 +155,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], key: str = "do
     shared = docs.sparkSession.sparkContext.broadcast((names, table))  # BUCKETS x languages floats
 
     def run(batches):
+        let_go()
         names, table = shared.value
         for b in batches:
             texts = b.column("_text").to_pylist()

@@ -13,7 +13,8 @@ is one row for each map task in the aggregate and is split in the join.
 
 Null and empty texts have no chunks and come back unchanged (a null stays null).
 Duplicate doc_ids are treated as one document's rows: each row is cut by the same
-rule.  Lines without a word end no chunk by themselves and count as lines.
+rule.  Lines without a word end no chunk by themselves and count as lines.  Other
+columns of the input are kept; those with the name of a result are replaced.
 """
 
 from __future__ import annotations

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import cut
+from gleaner.llm.common import cut, held, let_go
 from gleaner.llm.language_id import held_out
 from gleaner.session import ship
 
@@ -63,6 +63,7 @@ def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(np.fromiter(map(word_hash, seen), np.int64, len(seen))), pa.array(np.fromiter(seen.values(), np.int64, len(seen)))], ["h", "n"])
 
     def run(batches):
+        let_go()
         seen: Counter = Counter()
         for b in batches:
             for t in b.column(0):
@@ -363,12 +364,6 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
     )
 
 
-_vocabularies: dict[str, Vocabulary] = {}
-
-
 def worker_vocabulary(tag: str, hashes: np.ndarray) -> Vocabulary:
-    """The worker's own table, made once for a run; the last run's only."""
-    if tag not in _vocabularies:
-        _vocabularies.clear()
-        _vocabularies[tag] = Vocabulary(hashes)
-    return _vocabularies[tag]
+    """The worker's own table, made once for a run."""
+    return held(("vocabulary", tag), lambda: Vocabulary(hashes))

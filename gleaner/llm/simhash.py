@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import cut
+from gleaner.llm.common import cut, let_go
 from gleaner.llm.components import components
 from gleaner.session import ship
 
@@ -56,6 +56,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shing
     kind = dict(docs.dtypes)[key]
 
     def run(batches):
+        let_go()
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([fingerprint(t.as_py(), shingle) for t in b.column(1)], pa.int64())], [key, "fp"])
 
@@ -150,6 +151,7 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
     texts = body.join(first.select(F.col("first").alias("id")), "id", "left_semi")
 
     def run(batches):
+        let_go()
         for b in batches:
             words = [long_fingerprint(shingle_set(t.as_py(), shingle)) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array([w[i] for w in words], pa.int64()) for i in range(3)]], ["id", "w0", "w1", "w2"])

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import release, shuffle_partitions, stash
+from gleaner.llm.common import let_go, release, shuffle_partitions, stash
 from gleaner.session import ship
 
 LENGTH = 50
@@ -50,7 +50,7 @@ GRAM = 24
 #: Suspect runs of one gram that are still sorted together.
 HOT = 2_000
 #: Bytes of text that are packed at a time; bytes hashed at a time.
-BATCH_BYTES, SLICE = 16 << 20, 1 << 19
+BATCH_BYTES, SLICE = 8 << 20, 1 << 17
 
 _TABLE = np.random.default_rng(20_240_501).integers(1, 2**63, 256, dtype=np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -248,6 +248,7 @@ def removed_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, key:
     kinds = "bucket int, kind int, data binary"
 
     def anchors(batches):
+        let_go()
         held: list[tuple[int, bytes]] = []
         size, salt = 0, 0
 
