@@ -101,8 +101,7 @@ def clean_short(c: Column, most: int = 120) -> Column:
 
 
 def clean_question(c: Column) -> Column:
-    text = collapse(c)
-    return F.when((text != "") & ~text.rlike("[？?]$"), F.concat(text, F.lit("？"))).otherwise(text)
+    return let(collapse(c), lambda text: F.when((text != "") & ~text.rlike("[？?]$"), F.concat(text, F.lit("？"))).otherwise(text))
 
 
 def token_overlap(left: Column, right: Column) -> Column:

@@ -56,8 +56,9 @@ def test_sectioner_covers_long_documents():
     text = " ".join(" ".join(random.choice(words) for _ in range(9)).capitalize() + "." for _ in range(400))
     s = folds.Sectioning()
     out = folds.Sectioner(text, s).sections()
-    low, high = s.count_range(len(text))
-    assert low <= len(out) <= high and out[0][0] == 0 and all(len(t) <= s.most for *_, t, _ in out)
+    assert out[0][0] == 0 and all(len(t) <= s.most for *_, t, _ in out) and out[-1][1] == len(text)
+    assert all(a[1] <= b[0] for a, b in zip(out, out[1:])) and all(text[a:b].strip() == t for a, b, t, _ in out)
+    assert s.count_range(40_000) == (6, 14) and s.count_range(100) == (1, 2)
     assert folds.Sectioner("", s).sections() == [(0, 0, "", 0)]
 
 
