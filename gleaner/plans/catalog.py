@@ -520,12 +520,12 @@ def ordered_lookup(spark, d):
 @query()
 def deep_pipeline(spark, d):
     """Cards to dataset, with one templated question for each planned card in place of a model."""
-    r = deep.run(sections.documents(docs(spark, d)), plan_replies=None)
-    batches = C.planning_batches(r.cards)
-    plans = cut(qa.choose_plans(qa.parse_plans(deep.template_plans(batches), r.cards)))
-    pairs = cut(qa.deep_pairs(plans, r.cards))
-    checked = cut(qa.validate_deep(pairs, r.cards, r.evidence))
-    return qa.dataset(pairs, checked, r.evidence, ["question_type", "difficulty"]).withColumn("reference_context", F.size("reference_context"))
+    parts = sections.units(sections.semantic_sections(sections.documents(docs(spark, d))))
+    made, evidence = deep.evidence_cards(parts)
+    plans = cut(qa.choose_plans(qa.parse_plans(deep.template_plans(C.planning_batches(made)), made)))
+    pairs = cut(qa.deep_pairs(plans, made))
+    checked = cut(qa.validate_deep(pairs, made, evidence))
+    return qa.dataset(pairs, checked, evidence, ["question_type", "difficulty"]).withColumn("reference_context", F.size("reference_context"))
 
 
 @query()

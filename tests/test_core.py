@@ -74,10 +74,22 @@ def test_similar_pairs_and_greedy_match_brute_force(spark):
     df = spark.createDataFrame(rows, "ord long, text string")
     norm = [folds.normalize_text(t) for _, t in rows]
     kept = similarity.first_wins(list(range(len(rows))), lambda i, k: SequenceMatcher(a=norm[i], b=norm[k]).ratio() > 0.9)
-    got = similarity.greedy_keep(df, similarity.similar_pairs(df, 0.9), "ord")
+    got = similarity.greedy_keep(df, similarity.similar_pairs(df, 0.9, exact=True), "ord")
     assert sorted(r["ord"] for r in got.collect()) == kept
 
 
+def test_common_subsequence_bounds_the_ratio():
+    random.seed(6)
+    for _ in range(300):
+        a, b = ("".join(random.choice("abc") for _ in range(random.randint(0, 12))) for _ in range(2))
+        rows = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                rows[i + 1][j + 1] = rows[i][j] + 1 if x == y else max(rows[i][j + 1], rows[i + 1][j])
+        n = similarity.common_subsequence(a, b)
+        assert n == rows[-1][-1] and 2 * n >= similarity.ratio(a, b) * (len(a) + len(b)) - 1e-9
+
+
 def test_concepts(spark):
     one = spark.createDataFrame([("Ashish Vaswani",), ("Multi-Head Attention",), ("the",), ("LSTM",), ("Google Brain",), ("figure 3",), ("encoder",)], "n string")
     got = {r["n"]: r["ok"] for r in one.select("n", T.is_concept_name(F.col("n")).alias("ok")).collect()}
