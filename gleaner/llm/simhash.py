@@ -103,9 +103,10 @@ def to_hex(column):
     return F.lpad(F.lower(F.hex(column)), 16, "0")
 
 
-#: For similarity of sets of shingles: short fingerprints (tables x bits, from one long one), and the most differing bits of the long one.
-TABLES, TABLE_BITS, LONG_DISTANCE = 8, 24, 60
-_MASKS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
+#: For similarity of sets of shingles: keys of a text, and least hashes in each. A pair at 0.8 has none in common with probability
+#: (1 - 0.8**5)**48 = 5e-9, whatever the number of texts.
+BANDS, BAND_ROWS = 48, 5
+_MASKS = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * BAND_ROWS), np.uint64, endpoint=False)
 
 
 def shingle_set(text: str | None, shingle: int) -> np.ndarray:
@@ -118,29 +119,44 @@ def shingle_set(text: str | None, shingle: int) -> np.ndarray:
     return np.unique(np.fromiter((one(g, SEED) for g in grams), np.uint64))
 
 
-def long_fingerprint(hashes: np.ndarray) -> list[int]:
-    """Three 64-bit words of SimHash over a set of hashes."""
-    out = []
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """A key of each band: a 64-bit hash of BAND_ROWS least hashes of the set; sets without members have equal keys."""
+    least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, np.uint64)
     with np.errstate(over="ignore"):
-        for mask in _MASKS:
-            x = (hashes ^ np.uint64(mask)) * np.uint64(0xFF51AFD7ED558CCD)
-            x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-            x ^= x >> np.uint64(33)
-            ones = np.zeros(BITS, np.int64)
-            for at in range(0, len(x), 4096):
-                ones += np.unpackbits(x[at : at + 4096].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-            out.append(int(np.packbits(2 * ones > len(x), bitorder="little").view("<i8")[0]))
-    return out
+        for at in range(0, len(hashes), 1024):
+            part = (hashes[None, at : at + 1024] ^ _MASKS[0][:, None]) * (_MASKS[1][:, None] | np.uint64(1))
+            np.minimum(least, part.min(1), out=least)
+        keys = np.arange(BANDS, dtype=np.uint64)
+        for column in least.reshape(BANDS, BAND_ROWS).T:
+            keys = (keys ^ column) * np.uint64(0xFF51AFD7ED558CCD)
+            keys ^= keys >> np.uint64(33)
+    return keys.view(np.int64)
+
+
+def first_pairs(members: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): the least member of each key with its others; members: (key, id, n, hub), hub the least (id, n) of the key."""
+    like = F.least("n", "hub.n") >= similarity * F.greatest("n", "hub.n")
+    return members.filter((F.col("id") != F.col("hub.id")) & like).select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct()
+
+
+def other_pairs(members: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): all pairs of a key but those that ``found`` (node, component) has joined already and those of ``first_pairs``."""
+    marked = members.join(found.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", F.col("hub.id").alias("hub"), F.coalesce("component", "id").alias("c"))
+    mixed = marked.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x < y").select("key")
+    rest = cut(marked.join(mixed, "key", "left_semi").filter("id <> hub").select("key", "id", "n", "c"))
+    a, b = (rest.select("key", F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("c").alias(f"c{x}")) for x in "ab")
+    like = F.least("na", "nb") >= similarity * F.greatest("na", "nb")
+    return a.join(b, "key").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & like).select("a", "b").distinct()
 
 
 def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """(key, component) of every row whose text is like another's: Jaccard similarity of the shingle sets of at least ``similarity``.
 
-    Equal texts are one row first.  A long SimHash of 192 bits is read as 8 short
-    ones of 24: pairs at 0.8 differ in about 15 % of the bits, so a short one is met
-    within 2 bits with probability 0.29 and any of them with 0.93 (0.98 at 0.85, over
-    0.99 at 0.9).  Met pairs whose long fingerprints are near are verified on their
-    shingles.  Rows without a like are left out.
+    Equal texts are one row first.  Texts meet by keys of least hashes: unlike texts
+    share none by chance, however many there are.  All pairs of a key are compared on
+    their shingles, save those already in one group: its least member with the others
+    first, then all pairs of members that this has left in different groups.  Sizes
+    that rule the similarity out need no comparison.  Rows without a like are left out.
     """
     ship(docs.sparkSession)
     kind = dict(docs.dtypes)[key]
@@ -153,37 +169,22 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
     def run(batches):
         let_go()
         for b in batches:
-            words = [long_fingerprint(shingle_set(t.as_py(), shingle)) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array([w[i] for w in words], pa.int64()) for i in range(3)]], ["id", "w0", "w1", "w2"])
-
-    long_ones = cut(texts.mapInArrow(run, f"id {kind}, w0 long, w1 long, w2 long"))
-    low = (1 << TABLE_BITS) - 1
-    per_word = [F.col(f"w{(TABLE_BITS * i) // 64}") for i in range(TABLES)]
-    short = []
-    for i in range(TABLES):
-        at = TABLE_BITS * i % 64
-        part = F.shiftrightunsigned(per_word[i], at)
-        if at + TABLE_BITS > 64:
-            part = part.bitwiseOR(F.shiftleft(F.col(f"w{(TABLE_BITS * i) // 64 + 1}"), 64 - at))
-        short.append(part.bitwiseAND(F.lit(low)).bitwiseOR(F.lit(i << TABLE_BITS)))
-    members = long_ones.select("id", F.explode(F.array(*short)).alias("fp"))
-    hubs = members.groupBy("fp").agg(F.min("id").alias("hub"))
-    equal = members.join(hubs, "fp").filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b"))
-    met = links(hubs.select("fp"), 2, TABLE_BITS)
-    met = met.join(hubs.select(F.col("fp").alias("a"), F.col("hub").alias("x")), "a").join(hubs.select(F.col("fp").alias("b"), F.col("hub").alias("y")), "b")
-    pairs = equal.unionAll(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))).filter("a <> b").distinct()
-    signs = lambda side: long_ones.select(F.col("id").alias(side), *[F.col(f"w{i}").alias(f"{side}{i}") for i in range(3)])
-    differ = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(3)), F.lit(0))
-    near = cut(pairs.join(signs("a"), "a").join(signs("b"), "b").filter(differ <= LONG_DISTANCE).select("a", "b"))
-
-    # the shingles of the texts that are in a pair
-    wanted = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+            sets = [shingle_set(t.as_py(), shingle) for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([band_keys(x) for x in sets], pa.list_(pa.int64()))], ["id", "n", "keys"])
+
+    keyed = cut(texts.mapInArrow(run, f"id {kind}, n long, keys array<long>"))
+    members = keyed.select("id", "n", F.explode("keys").alias("key"))
+    hubs = members.groupBy("key").agg(F.min(F.struct("id", "n")).alias("hub"), F.count("*").alias("times")).filter("times > 1").drop("times")
+    members = cut(members.join(hubs, "key"))
+
+    # the shingles of the texts that share a key
+    wanted = members.select("id").distinct()
 
     def shingles(batches):
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t.as_py(), shingle).tobytes() for t in b.column(1)], pa.binary())], ["id", "s"])
 
-    sets = texts.join(wanted, "id", "left_semi").mapInArrow(shingles, f"id {kind}, s binary")
+    sets = cut(texts.join(wanted, "id", "left_semi").mapInArrow(shingles, f"id {kind}, s binary"))
 
     def verify(batches):
         for b in batches:
@@ -192,12 +193,13 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(common >= similarity * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(keep)), b.column(1).filter(pa.array(keep))], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(keep, pa.bool_())), b.column(1).filter(pa.array(keep, pa.bool_()))], ["a", "b"])
 
-    sets = cut(sets)
     side = lambda name: sets.select(F.col("id").alias(name), F.col("s").alias(f"s{name}"))
-    checked = near.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInArrow(verify, f"a {kind}, b {kind}")
-    edges = checked.unionAll(copies.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")))
+    checked = lambda pairs: cut(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInArrow(verify, f"a {kind}, b {kind}"))
+    near = checked(first_pairs(members, similarity))
+    near = near.unionAll(checked(other_pairs(members, components(near), similarity)))
+    edges = near.unionAll(copies.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")))
     return components(edges).select(F.col("node").alias(key), "component")
 
 

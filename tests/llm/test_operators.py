@@ -170,6 +170,25 @@ def test_components_of_a_chain(spark):
     assert components.components(df.limit(0)).collect() == []
 
 
+def test_similar_groups_find_all_pairs_at_the_threshold(table):
+    rng, texts = random.Random(8), []
+    for _ in range(150):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(94)]  # 90 shingles, 10 of them changed: 80 of 100
+        texts += [" ".join(words), " ".join([*words[:47], "new", *words[48:51], "new", *words[52:]])]
+    sets = [set(simhash.shingle_set(t, 5).tolist()) for t in texts]
+    want = {i for i in range(1, len(texts), 2) if len(sets[i] & sets[i - 1]) >= 0.8 * len(sets[i] | sets[i - 1])}
+    assert len(want) == 150
+    assert {r["doc_id"] for r in simhash.keep_one(table(texts)).collect()} == set(range(0, len(texts), 2))
+
+
+def test_pairs_behind_an_unlike_least_member_are_compared(spark):
+    rows = [(7, i, 10, (1, 10)) for i in (1, 2, 3, 4)] + [(8, 1, 10, (1, 10)), (8, 5, 10, (1, 10))]
+    members = spark.createDataFrame(rows, "key long, id long, n long, hub struct<id: long, n: long>")
+    found = spark.createDataFrame([(1, 1), (4, 1), (5, 1)], "node long, component long")
+    assert {tuple(r) for r in simhash.first_pairs(members, 0.8).collect()} == {(1, 2), (1, 3), (1, 4), (1, 5)}
+    assert {tuple(r) for r in simhash.other_pairs(members, found, 0.8).collect()} == {(2, 3), (2, 4), (3, 4)}
+
+
 # --- 4 line dedup ----------------------------------------------------------------------------
 
 
