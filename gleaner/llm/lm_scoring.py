@@ -10,9 +10,11 @@ equal size over the most frequent words, the end and the class of all other word
 p(token) = p(class) p(token | class).  Another word's probability is that of the
 class of others times its smoothed share of their counts, so the model gives every
 token a probability and these add up to 1 over the known words and one unknown.
-Training is truncated backpropagation through windows of WINDOW tokens with Adam;
-it sees a sample of at most TRAIN_DOCS training documents (those of least hash) and
-at most TRAIN_TOKENS tokens: a documented bound.  Scoring carries the state from
+Training is truncated backpropagation through windows of WINDOW tokens with Adam, over
+all tokens of all training documents: in each of ROUNDS rounds every task trains a copy
+of the network on its share of the documents, and the copies are averaged by their
+tokens.  The named words grow as the square root of the number of distinct ones.  The
+score depends on how rows are dealt to tasks.  Scoring carries the state from
 window to window, so a document's log-likelihood is that of its complete text.
 Documents of a batch run side by side in lanes.
 
@@ -26,6 +28,7 @@ from __future__ import annotations
 import math
 import uuid
 from collections import Counter
+from copy import deepcopy
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,7 +43,13 @@ from gleaner.session import ship
 HEAD = 200_000
 CLASSES, PER_CLASS, HIDDEN = 32, 32, 24
 WINDOW, LANES = 24, 256
-TRAIN_DOCS, TRAIN_TOKENS, TRAIN_LANES = 2_500, 1_000_000, 64
+TRAIN_LANES = 128
+#: Each round trains on another share of the documents.
+ROUNDS, RATE = 4, 0.01
+#: A task learns from as many tokens as these, where there are so many; fewer in all are gone through again, up to PASSES times.
+TASK_TOKENS, FEW_TOKENS, PASSES = 1_000_000, 2_000_000, 8
+#: Numbers of a network that are averaged as one row.
+BLOCK = 4096
 #: Entries of a task's dictionary before it is put out.
 DICTIONARY = 400_000
 
@@ -170,7 +179,7 @@ def train_step(g: Gru, inputs: np.ndarray, targets: np.ndarray, live: np.ndarray
     d_states = np.zeros_like(flat)
     d_states[at] = d
     d_states = d_states.reshape(len(inputs), -1, g.hidden)
-    d_table, d_u, dh = np.zeros_like(table), np.zeros_like(g.u), np.zeros_like(last)
+    d_table, d_u, dh, steps = np.zeros_like(table), np.zeros_like(g.u), np.zeros_like(last), []
     for t in range(len(inputs) - 1, -1, -1):
         h0, z, r, c, m = cache[t]
         dh = dh + d_states[t]
@@ -178,10 +187,15 @@ def train_step(g: Gru, inputs: np.ndarray, targets: np.ndarray, live: np.ndarray
         dz = dh * (c - h0) * z * (1 - z)
         dr = dc * m * r * (1 - r)
         da = np.concatenate([dz, dr, dc], 1)
-        np.add.at(d_table, inputs[t], da)
+        steps.append(da)
         dm = np.concatenate([dz, dr, dc * r], 1)
         d_u += h0.T @ dm
         dh = np.where(fresh[t][:, None], np.float32(0), dh * (1 - z) + dm @ g.u.T)
+    # the rows of each input are added up at once
+    used = inputs[::-1].reshape(-1)
+    order = np.argsort(used, kind="stable")
+    ids, starts = np.unique(used[order], return_index=True)
+    d_table[ids] = np.add.reduceat(np.concatenate(steps)[order], starts)
     n = max(1, len(at))
     grads = [d_table @ g.w.T, g.embed.T @ d_table, d_u, d_table.sum(0), d_classes, d_words]
     return [x / n for x in grads], last, -float(logp.mean()) if len(at) else 0.0
@@ -220,29 +234,71 @@ class Lanes:
             yield slice(at, at + width), int((self.lengths > at).sum())
 
 
-def train(docs: list[np.ndarray], g: Gru, epochs: int = 2, rate: float = 0.01) -> list[float]:
-    """Adam over windows; the mean loss of each epoch."""
-    end, losses = g.size - 2, []
-    lanes = Lanes(docs, TRAIN_LANES, end)
-    m, v = [np.zeros_like(p) for p in g.params()], [np.zeros_like(p) for p in g.params()]
-    step, total = 0, epochs * max(1, -(-len(lanes.targets) // WINDOW))
-    for _ in range(epochs):
-        h, loss, n = np.zeros((lanes.targets.shape[1], g.hidden), np.float32), 0.0, 0
-        for w, k in lanes.windows(WINDOW):
-            steps = np.arange(w.start, min(w.stop, len(lanes.targets)))[:, None]
-            grads, last, cost = train_step(g, lanes.inputs[w, :k], lanes.targets[w, :k], steps < lanes.lengths[None, :k], h[:k], lanes.fresh[w, :k])
-            h = last
-            norm = math.sqrt(sum(float((x * x).sum()) for x in grads))
-            step += 1
-            lr = rate * (1 - 0.9 * step / total)
-            for p, x, a, b in zip(g.params(), grads, m, v):
-                x = x * np.float32(min(1.0, 1.0 / (norm + 1e-9)))
-                a += np.float32(0.1) * (x - a)
-                b += np.float32(0.01) * (x * x - b)
-                p -= np.float32(lr) * (a / np.float32(1 - 0.9**step)) / (np.sqrt(b / np.float32(1 - 0.99**step)) + np.float32(1e-6))
-            loss, n = loss + cost, n + 1
-        losses.append(loss / max(1, n))
-    return losses
+class Adam:
+    """Steps of one network, its gradients' norm bounded by 1."""
+
+    def __init__(self, g: Gru):
+        self.g, self.step = g, 0
+        self.m, self.v = [np.zeros_like(p) for p in g.params()], [np.zeros_like(p) for p in g.params()]
+
+    def update(self, grads: list[np.ndarray], rate: float) -> None:
+        norm = math.sqrt(sum(float((x * x).sum()) for x in grads))
+        self.step += 1
+        for p, x, a, b in zip(self.g.params(), grads, self.m, self.v):
+            x = x * np.float32(min(1.0, 1.0 / (norm + 1e-9)))
+            a += np.float32(0.1) * (x - a)
+            b += np.float32(0.01) * (x * x - b)
+            p -= np.float32(rate) * (a / np.float32(1 - 0.9**self.step)) / (np.sqrt(b / np.float32(1 - 0.99**self.step)) + np.float32(1e-6))
+
+
+def train(docs: list[np.ndarray], g: Gru, adam: Adam, rate: float) -> None:
+    """One pass over the windows of docs."""
+    lanes = Lanes(docs, TRAIN_LANES, g.size - 2)
+    h = np.zeros((lanes.targets.shape[1], g.hidden), np.float32)
+    for w, k in lanes.windows(WINDOW):
+        steps = np.arange(w.start, min(w.stop, len(lanes.targets)))[:, None]
+        grads, h, _ = train_step(g, lanes.inputs[w, :k], lanes.targets[w, :k], steps < lanes.lengths[None, :k], h[:k], lanes.fresh[w, :k])
+        adam.update(grads, rate)
+
+
+def train_on_all(learning: DataFrame, g: Gru, head, tag: str, total: int, key: str, text: str) -> int:
+    """Trains g on all rows of learning, which have total tokens; the number of tokens seen. head: the broadcast hashes of the head words."""
+    spark, seen = learning.sparkSession, 0
+    tasks, passes = max(1, total // TASK_TOKENS), max(1, min(PASSES, -(-FEW_TOKENS // max(1, total))))
+    ship(spark)
+    for number in range(ROUNDS):
+        now, rate = spark.sparkContext.broadcast(g), RATE * (1 - 0.9 * number / ROUNDS)
+
+        def run(batches, now=now, rate=rate):
+            own, n = deepcopy(now.value), 0  # a worker's other tasks read the same value
+            adam, vocabulary = Adam(own), worker_vocabulary(tag, head.value)
+            for whole in batches:
+                for at in range(0, whole.num_rows, 2048):
+                    docs = [model_ids(vocabulary.ids(words_of(t.as_py())), own) for t in whole.column(0).slice(at, 2048)]
+                    n += sum(map(len, docs))
+                    for _ in range(passes):
+                        train(docs, own, adam, rate)
+            if n:
+                flat = np.concatenate([x.reshape(-1) for x in own.params()])
+                parts = [flat[at : at + BLOCK].tobytes() for at in range(0, len(flat), BLOCK)]
+                yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([n] * len(parts), pa.int64()), pa.array(parts, pa.binary())], ["block", "n", "x"])
+
+        def mean(table):
+            weights = table["n"].to_numpy()
+            total = sum(w * np.frombuffer(x.as_buffer(), np.float32).astype(np.float64) for w, x in zip(weights, table["x"]))
+            return pa.table({"block": table["block"].slice(0, 1), "n": pa.array([int(weights.sum())], pa.int64()), "x": pa.array([(total / weights.sum()).astype(np.float32).tobytes()], pa.binary())})
+
+        share = learning.filter(F.pmod(F.xxhash64(F.lit("round"), F.col(key)), F.lit(ROUNDS)) == number).select(text).coalesce(tasks)
+        # as many rows as a network has blocks, whatever the number of tasks
+        rows = sorted(share.mapInArrow(run, "block int, n long, x binary").groupBy("block").applyInArrow(mean, "block int, n long, x binary").collect(), key=lambda r: r["block"])
+        if rows:
+            seen += rows[0]["n"]
+            flat, at = np.concatenate([np.frombuffer(r["x"], np.float32) for r in rows]), 0
+            for p in g.params():
+                p[...] = flat[at : at + p.size].reshape(p.shape)
+                at += p.size
+        now.unpersist()
+    return seen
 
 
 def log_likelihoods(docs: list[np.ndarray], g: Gru, lanes: int = LANES) -> np.ndarray:
@@ -304,32 +360,29 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
     n_docs = learning.count()
     words, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     total, kinds = words + n_docs, distinct + (n_docs > 0)
-    top = counts.orderBy(F.desc("n"), "h").limit(head).toPandas()  # a fixed number of rows
+    # classes and words of a class as the fourth root of the distinct words, each
+    side = max(CLASSES, math.ceil(distinct**0.25))
+    if side > CLASSES:
+        head = max(head, side * side - 2)
+    top = counts.orderBy(F.desc("n"), "h").limit(head).toPandas()  # the head's rows
     hashes, freq = top["h"].to_numpy(np.int64), top["n"].to_numpy(np.int64)
 
-    g = new_gru()
-    vocabulary = Vocabulary(hashes)
-    sample = learning.orderBy(F.xxhash64(F.col(key)), key).limit(TRAIN_DOCS).select(F.substring(F.coalesce(text, F.lit("")), 1, 4 * TRAIN_TOKENS).alias("t")).collect()
-    texts, n = [], 0
-    for r in sample:
-        ids = model_ids(vocabulary.ids(words_of(r["t"])), g)[: TRAIN_TOKENS - n]
-        n += len(ids)
-        if len(ids):
-            texts.append(ids)
-    if texts:
-        train(texts, g)
+    g, tag = new_gru(classes=side, per_class=side), uuid.uuid4().hex
+    shared_hashes = spark.sparkContext.broadcast(hashes)
+    if n_docs:
+        train_on_all(learning, g, shared_hashes, tag, int(total), key, text)
     named = g.size - 2
     # mass of the words that the network has no name for: their counts, smoothed, and one unknown
     others = float(words - freq[:named].sum()) + 0.1 * (distinct - min(named, distinct)) + 0.1
     below = total + 0.1 * (kinds + 1)
-    shared = spark.sparkContext.broadcast((g, hashes, np.log10(freq + 0.1)))
+    shared = spark.sparkContext.broadcast((g, np.log10(freq + 0.1)))
     end_cost = math.log10((n_docs + 0.1) / below)
     kind = dict(docs.dtypes)[key]
-    ln10, n_head, tag = math.log(10), len(hashes), uuid.uuid4().hex
+    ln10, n_head = math.log(10), len(hashes)
 
     def run(batches):
-        g, hashes, logs = shared.value
-        vocabulary = worker_vocabulary(tag, hashes)
+        g, logs = shared.value
+        vocabulary = worker_vocabulary(tag, shared_hashes.value)
         for whole in batches:
             for at in range(0, whole.num_rows, 2048):
                 b = whole.slice(at, 2048)

@@ -12,6 +12,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -322,6 +323,16 @@ def test_lm_counts_and_probabilities(table):
     assert lm_scoring.score(table([])).collect() == []
 
 
+def test_lm_learns_from_all_documents(table):
+    docs = table(["x"] * 5600).select("doc_id", "lang")
+    late = F.row_number().over(Window.orderBy(F.xxhash64("doc_id"), "doc_id")) > 2600
+    docs = docs.withColumn("late", late).withColumn("text", F.when(F.col("late"), F.lit("c d " * 10)).otherwise(F.lit("a b " * 10)))
+    r = lm_scoring.score(docs).join(docs.select("doc_id", "late"), "doc_id").groupBy("late").agg(F.avg("score").alias("s")).collect()
+    mean = {x["late"]: x["s"] for x in r}
+    # one word follows from the one before: better than half the likelihood of guessing for a token
+    assert mean[True] / 21 > -0.25 and mean[False] / 21 > -0.25
+
+
 def test_gru_gradients():
     g = lm_scoring.new_gru(4, 3, 4)
     for name in ("embed", "w", "u", "b", "classes", "words"):
