@@ -78,6 +78,21 @@ def test_similar_pairs_and_greedy_match_brute_force(spark):
     assert sorted(r["ord"] for r in got.collect()) == kept
 
 
+def test_similar_pairs_of_a_query_match_brute_force(spark):
+    random.seed(7)
+    texts = ["transformer", "transformers", "abcd", "abxcd", "graph network", "graph networks", "self attention", "self attentions", "注意力机制可以提高翻译质量并减少训练时间", "注意力机制可以提高翻译质量并减少训练时长"]
+    names = [f"item{i}" for i in range(12)]
+    for _ in range(12):
+        w = [random.choice(names) for _ in range(16)]
+        texts += [" ".join(["claim", *w]), " ".join(["claims", *w[:7], random.choice(names), *w[8:]])]
+    norm = [folds.normalize_text(t) for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "ord long, text string")
+    for threshold in (0.86, 0.88, 0.9):
+        want = {(i, k) for k in range(len(texts)) for i in range(k) if SequenceMatcher(a=norm[k], b=norm[i]).ratio() > threshold}
+        got = {(r["a"], r["b"]) for r in similarity.similar_pairs(df, threshold).collect()}
+        assert got == want and len(want) > 12
+
+
 def test_common_subsequence_bounds_the_ratio():
     random.seed(6)
     for _ in range(300):
