@@ -115,6 +115,17 @@ def test_concepts(spark):
     assert r["canonical_name"] == "Self-Attention" and "Attention" in r["aliases"] and r["definition"] == "a way" and r["source_section_ids"] == ["s1", "s2", "s3"]
 
 
+def test_names_inside_longer_ones_match_the_loop(spark):
+    names = ["attentional", "attention", "transformers", "transformer", "自注意力机制", "注意力", "力", "formers", "ai", "ai system", "a", "graph", "multi-head", "ulti-he", "", "zz"]
+    leaders, want = [], []
+    for i, name in enumerate(names):
+        first = next((k for k in leaders if name in names[k]), None)
+        leaders += [i] if first is None else []
+        want.append((i, i if first is None else first))
+    df = spark.createDataFrame(list(enumerate(names)), "pos long, norm string")
+    assert sorted(tuple(r) for r in concepts._leaders(df, True).collect()) == want
+
+
 def test_definition(spark):
     df = spark.createDataFrame([("BLEU", "We say BLEU is a metric for translation. More."), ("X+Y", "x+y: the sum"), ("Z", "nothing")], "n string, t string")
     assert [r[0] for r in df.select(concepts.definition_of(F.col("n"), F.col("t"))).collect()] == ["a metric for translation", "the sum", None]
