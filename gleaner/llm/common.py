@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import gc
 import os
+import re
 import tempfile
 import uuid
 
@@ -18,13 +19,15 @@ SPACES_RE = r"[\x20\x09-\x0D]+"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Checkpoints go to the cluster's shared folder, spark.checkpoint.dir; a folder of our own only where it is unset."""
+    """Checkpoints go to the cluster's shared folder, spark.checkpoint.dir; on one machine to a folder of our own where it is unset."""
+    if spark.sparkContext.getCheckpointDir() is not None:
+        return
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(shared)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gleaner-checkpoints-"))
+    if not shared:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        shared = tempfile.mkdtemp(prefix="gleaner-checkpoints-")
+    spark.sparkContext.setCheckpointDir(shared)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -41,7 +44,7 @@ def stash(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/gleaner-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     if not _stashed:
         atexit.register(_drop_stashed, spark)
     _stashed.add((os.getpid(), path))
@@ -72,20 +75,48 @@ def held(key, make):
     if key not in _held:
         let_go()
         _held[key] = make()
+    else:
+        trim()
     return _held[key]
 
 
 def let_go() -> None:
-    """Give back the memory of the table of an operator that ran here before."""
+    """At the start of a task: give back the memory of the table of an operator that ran in this worker before."""
+    lean()
     if _held:
         _held.clear()
         gc.collect()
-        try:
-            import ctypes
+    trim()
 
-            ctypes.CDLL("libc.so.6").malloc_trim(0)
-        except OSError:  # another C library
-            pass
+
+_lean: list[bool] = []
+
+
+def lean() -> None:
+    """Large arrays of this worker go back to the system as soon as they are freed, Arrow's too."""
+    if _lean:
+        return
+    _lean.append(True)
+    import pyarrow as pa
+
+    pa.set_memory_pool(pa.system_memory_pool())
+    if (libc := _libc()) is not None:
+        libc.mallopt(-3, 4 << 20)  # M_MMAP_THRESHOLD: from this size on a block is mapped by itself
+        libc.mallopt(-1, 8 << 20)  # M_TRIM_THRESHOLD
+
+
+def trim() -> None:
+    if (libc := _libc()) is not None:
+        libc.malloc_trim(0)
+
+
+def _libc():
+    import ctypes
+
+    try:
+        return ctypes.CDLL("libc.so.6")
+    except OSError:  # another C library
+        return None
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

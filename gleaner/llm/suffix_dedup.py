@@ -14,31 +14,38 @@ it can matter:
    grams; equal windows have equal least grams at equal offsets.  Runs of windows
    with the same least gram (about 7 % as many as bytes) are sent as (gram hash,
    run hash) packed in numpy arrays to the gram's bucket.  Of one gram a batch
-   sends one run only; runs equal to one with a smaller id in the batch are known
-   copies already, others of the same gram are suspects already.  So a passage that
-   a third of all documents share is one entry for each batch.
-2. Buckets.  A run whose bytes' hash also occurs at a smaller id is a copy: all its
-   windows are removed.  Runs of grams with different surroundings are suspects.
-   All other runs (most of the corpus) are unique and go no further.
-3. Suspects.  The bytes of suspect runs and the windows starting in them are the
-   suffixes of the sparse suffix array.  They meet by gram; suffixes are sorted by
-   their bytes, common prefixes computed, and the longest previous factor read from
-   previous and next smaller documents.  Grams with more suspects than HOT are met
-   window by window instead, where equal windows are one row of an aggregate.
+   sends one run only, so a passage that a third of all documents share is one
+   entry for each batch.
+2. Equal runs are one entry, that of the least document: in suffix order the
+   suffixes of equal runs stand together, and the previous smaller document of the
+   others is the least one.  Runs of a gram with one run are unique and go no
+   further.  What is left are suspects: different runs around the same gram.
+3. The bytes of suspects make the suffixes of the sparse suffix array.  They meet by
+   gram and are sorted; common prefixes of neighbours and the nearest smaller
+   documents on both sides (previous and next smaller values) give the longest
+   previous factor of each.  Suspects of a gram that has more than HOT are dealt out
+   by longer grams within their windows instead, and of equal pieces a batch sends
+   the least document's only: the same sort, in smaller parts.
 4. The removed windows of a document are united, its bytes cut.
 
-A null text is empty.  Texts shorter than ``length`` lose nothing.  Equal doc_ids
-are one document for the purpose of 'smaller' and their rows never remove from each
-other.  Invalid UTF-8 cannot occur: matches are on the encoded bytes, and what
-remains may end within a code point (``kept`` is binary; ``kept_text`` drops
-incomplete code points).
+Runs are told apart by 48 bits of the gram's hash and 48 bits of the run's.  What is
+known of a run holds for its document id and its bytes, not for a row: rows with an
+equal doc_id are one document for the purpose of 'smaller', never remove from each
+other, and lose only bytes that a smaller id has.
+
+A null text is empty.  Texts shorter than ``length`` lose nothing, and neither do rows
+without a doc_id, from which nothing is removed elsewhere either.  Other columns of
+docs are read only if they are to be carried; a carried column with the name of a
+result (n_bytes, n_removed, n_spans, kept) is refused.  Matches are on the encoded
+bytes, and what remains may end within a code point (``kept`` is binary;
+``kept_text`` drops incomplete code points).
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.llm.common import let_go, release, shuffle_partitions, stash
@@ -47,8 +54,9 @@ from gleaner.session import ship
 LENGTH = 50
 #: Bytes of the grams that anchor runs.
 GRAM = 24
-#: Suspect runs of one gram that are still sorted together.
-HOT = 2_000
+#: Suspects of one gram from which on they are dealt out by grams of LONGER bytes less than a window, or by whole windows
+#: from HOTTER times as many on.
+HOT, HOTTER, LONGER = 2_000, 50, 6
 #: Bytes of text that are packed at a time; bytes hashed at a time.
 BATCH_BYTES, SLICE = 8 << 20, 1 << 17
 
@@ -192,56 +200,52 @@ def pack_batch(docs: list[tuple[int, bytes]], buckets: int, length: int, gram: i
     return heads[sent], several[sent], copies, heads[~sent]
 
 
-def lpf(suffixes: list[bytes], docs: np.ndarray, length: int = LENGTH) -> np.ndarray:
-    """The longest previous factor, cut off at length, of each suffix (all have length bytes); previous: of a smaller document."""
-    n = len(suffixes)
-    if not n:
-        return np.zeros(0, np.int64)
-    text = np.frombuffer(b"".join(suffixes), np.uint8).reshape(n, length)
-    order = np.lexsort((docs, np.ascontiguousarray(text).view(f"S{length}").reshape(-1)) if not (text == 0).any() else (docs, *text.T[::-1]))
-    t, d = text[order], docs[order]
-    common = np.r_[0, np.where((t[1:] == t[:-1]).all(1), length, np.argmin(t[1:] == t[:-1], axis=1))] if n > 1 else np.zeros(1, np.int64)
-    out = np.zeros(n, np.int64)
-    for rank, lcp in ((np.arange(n), common), (np.arange(n)[::-1], np.r_[common[1:], 0][::-1])):
-        # all nearest smaller documents on one side, with the least common prefix on the way (a stack of open suffixes)
-        best = np.zeros(n, np.int64)
-        stack: list[tuple[int, int]] = []  # (document, least common prefix between it and the one below)
-        for i, (x, h) in enumerate(zip(d[rank].tolist(), lcp.tolist())):
-            while stack and stack[-1][0] >= x:
-                h = min(h, stack.pop()[1])
-            if stack:
-                best[i] = h
-            stack.append((x, h))
-        out[rank] = np.maximum(out[rank], best)
-    back = np.empty(n, np.int64)
-    back[order] = out
-    return back
-
-
-def reaches(text: np.ndarray, docs: np.ndarray) -> np.ndarray:
-    """Whether the longest previous factor of each suffix (row of bytes) is its whole row.
-
-    Suffixes with equal rows stand together and are in order of documents, so the previous smaller document of
-    one is at the start of its stretch of full common prefixes, if that is a smaller one.
+def nearest_smaller(docs: np.ndarray, link: np.ndarray, common: np.ndarray, least: int) -> np.ndarray:
+    """The common prefix of each suffix with the nearest one of a smaller document on one side; 0 where that is below least.
+
+    link: each suffix's neighbour on that side; common: their common prefix (0 at the end).  Whatever lies between a
+    suffix and its link is of no smaller document, so links are followed together, each over its neighbour's.
+    """
+    link, common = link.copy(), common.copy()
+    least = max(1, least)
+    live = np.flatnonzero(common >= least)
+    live = live[docs[link[live]] >= docs[live]]
+    while len(live):
+        j = link[live]
+        common[live] = np.minimum(common[live], common[j])
+        link[live] = link[j]
+        live = live[common[live] >= least]
+        live = live[docs[link[live]] >= docs[live]]
+    return np.where(common >= least, common, 0)
+
+
+def lpf(text: np.ndarray, docs: np.ndarray, least: int = 0) -> np.ndarray:
+    """The longest previous factor of each suffix (row of bytes), cut off at the row's length; previous: of a smaller document.
+
+    From the suffix array of the rows, the common prefixes of neighbours, and the previous and next smaller documents.
+    Factors below ``least`` are not followed to their end and count as 0.
     """
     n, length = text.shape
     if not n:
-        return np.zeros(0, bool)
+        return np.zeros(0, np.int64)
     keys = text if (text == 0).any() else np.ascontiguousarray(text).view(f"S{length}").reshape(-1)
     order = np.lexsort((docs, keys) if keys.ndim == 1 else (docs, *text.T[::-1]))
     t, d = text[order], docs[order]
-    full = np.r_[False, (t[1:] == t[:-1]).all(1)]
-    start = np.maximum.accumulate(np.where(full, 0, np.arange(n)))
-    out = np.empty(n, bool)
-    out[order] = d > d[start]
+    same = t[1:] == t[:-1]
+    common = np.r_[0, np.where(same.all(1), length, same.argmin(1) if n > 1 else 0)].astype(np.int64)
+    place = np.arange(n)
+    out = np.empty(n, np.int64)
+    out[order] = np.maximum(nearest_smaller(d, place - 1, common, least), nearest_smaller(d, place + 1, np.r_[common[1:], 0], least))
     return out
 
 
 def removed_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(_doc, pairs, masks): for each document with removals, which windows are removed.
+    """(_doc, marks) for each document with removals; marks: structs (pair, mask), pair a hash of (gram, run).
 
-    pairs: hashes of (gram, run), all windows of these runs; masks: structs (first, mask) whose bit i is window first + i.
+    Bit i of a mask says that the run's window i is removed; -1: all of them.
     """
+    if length - gram >= 63:
+        raise ValueError("a run's windows must fit a mask")
     spark = docs.sparkSession
     ship(spark)
     buckets = shuffle_partitions(spark)
@@ -329,39 +333,66 @@ def removed_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, key:
     found = stash(body.mapInArrow(anchors, kinds).groupBy("bucket").applyInArrow(meet, "pair long, g long, doc long"))
     release(spark)
 
-    # the bytes of suspects; those of crowded grams window by window
-    suspects = found.filter("g is not null")
-    crowded = suspects.groupBy("g").agg(F.count("*").alias("n")).filter(F.col("n") > HOT).select("g", F.lit(True).alias("hot"))
-    asked = suspects.join(crowded, "g", "left").groupBy("doc").agg(F.collect_list("pair").alias("pairs"), F.collect_list(F.when(F.col("hot"), F.col("pair"))).alias("hots"))
-    asked = body.join(asked, F.col("_doc") == F.col("doc")).select("_doc", "_text", "pairs", "hots")
+    # of equal suspects the one of the least document is met by its bytes, the others are copies of it
+    whole = F.lit(-1).cast("long").alias("mask")
+    suspects = stash(found.filter("g is not null").withColumn("least", F.min("doc").over(Window.partitionBy("g", "pair"))))
+    heads = suspects.filter("doc = least").select("g", "pair", "doc").distinct()
+    hot = F.when(F.col("n") > HOT * HOTTER, length).when(F.col("n") > HOT, max(gram, length - LONGER)).alias("by")
+    crowded = heads.groupBy("g").agg(F.count("*").alias("n")).select("g", hot).filter("by is not null")
+    asked = heads.join(crowded, "g", "left").groupBy("doc").agg(F.collect_list(F.struct("pair", "by")).alias("asked"))
+    asked = body.join(asked, F.col("_doc") == F.col("doc")).select("_doc", "_text", "asked")
     groups = 4 * buckets
+    names, kinds = ["b", "doc", "pair", "first", "bytes", "mask"], (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64())
 
     def cut_out(batches):
-        def batch(cols):
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.bool_()))], ["b", "doc", "first", "bytes", "hot"])
+        """Suspects by bucket (b, doc, pair, first window, bytes), and marks of those settled here (doc, pair, mask)."""
+        let_go()
+        rows: list[tuple] = []
+        pieces: dict[tuple[int, bytes], list[tuple[int, int, int, int]]] = {}
 
-        cols: tuple[list, ...] = ([], [], [], [], [])
+        def put_out():
+            for (value, piece), places in pieces.items():
+                places.sort()
+                doc, pair, first, _ = places[0]
+                rows.append((value % groups, doc, pair, first, piece, None))
+                rows.extend((None, d, p, None, None, ((1 << n) - 1) << i) for d, p, i, n in places if d > doc)
+            pieces.clear()
+            for at in range(0, len(rows), 20_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[at : at + 20_000]), kinds)], names)
+            rows.clear()
+
+        size = 0
         for b in batches:
-            for doc, t, pairs, hots in zip(b.column(0).to_pylist(), b.column(1), b.column(2), b.column(3)):
+            for doc, t, wanted in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
+                pairs, by = (c.to_numpy(zero_copy_only=False) for c in wanted.values.flatten())
                 x = t.as_py().encode()
-                first, size, value, run = anchored(np.frombuffer(x, np.uint8), length, gram)
-                own = _pair(_short(value), _short(run))
-                at = np.flatnonzero(np.isin(own, pairs.values.to_numpy().view(np.uint64)))
-                hot = np.isin(own[at], hots.values.to_numpy().view(np.uint64)) if len(hots) else np.zeros(len(at), bool)
+                if len(x) < length:  # another row has this id
+                    continue
+                first, n_windows, value, run = anchored(np.frombuffer(x, np.uint8), length, gram)
+                own = _pair(_short(value), _short(run)).view(np.int64)
+                order = np.argsort(pairs)
+                place = np.minimum(np.searchsorted(pairs[order], own), len(pairs) - 1)
+                at = np.flatnonzero(pairs[order][place] == own)
+                at = at[np.unique(own[at], return_index=True)[1]]
+                longer = by[order][place[at]]
                 where = (_mix(_short(value[at])) % np.uint64(groups)).astype(np.int64)
-                for i, k, h in zip(at.tolist(), where.tolist(), hot.tolist()):
-                    a, n = int(first[i]), int(size[i])
-                    cols[0].append(k)
-                    cols[1].append(doc)
-                    cols[2].append(a)
-                    cols[3].append(x[a : a + n + length - 1])
-                    cols[4].append(h)
-                if len(cols[0]) > 20_000:
-                    yield batch(cols)
-                    cols = ([], [], [], [], [])
-        yield batch(cols)
-
-    rows = stash(asked.mapInArrow(cut_out, "b int, doc long, first int, bytes binary, hot boolean"))
+                for i, k, g in zip(at.tolist(), where.tolist(), longer.tolist()):
+                    a, n, pair = int(first[i]), int(n_windows[i]), int(own[i])
+                    piece = x[a : a + n + length - 1]
+                    size += len(piece)
+                    if g is None or g != g:
+                        rows.append((k, doc, pair, 0, piece, None))
+                        continue
+                    with np.errstate(over="ignore"):
+                        parts = runs_of(np.frombuffer(piece, np.uint8), length, int(g))
+                    for f, m, v in zip(*(c.tolist() for c in parts)):
+                        pieces.setdefault((v, piece[f : f + m + length - 1]), []).append((doc, pair, f, m))
+                if size >= BATCH_BYTES:
+                    yield from put_out()
+                    size = 0
+        yield from put_out()
+
+    rows = stash(asked.mapInArrow(cut_out, "b int, doc long, pair long, first int, bytes binary, mask long"))
     del asked
     release(spark)
 
@@ -369,26 +400,22 @@ def removed_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, key:
         runs = table.column("bytes").combine_chunks()
         ends = np.frombuffer(runs.buffers()[1], np.int32, len(runs) + 1, 4 * runs.offset).astype(np.int64)
         data = np.frombuffer(runs.buffers()[2], np.uint8)
-        docs_, firsts = table.column("doc").to_numpy(), table.column("first").to_numpy()
+        docs_, pairs, firsts = (table.column(c).to_numpy() for c in ("doc", "pair", "first"))
         windows = np.diff(ends) - (length - 1)
         own = np.repeat(np.arange(len(windows)), windows)
         at = np.arange(len(own)) - np.repeat(np.cumsum(windows) - windows, windows)
         # suffixes of all grams of the bucket are sorted at once: equal windows have equal grams
         suffixes = np.lib.stride_tricks.sliding_window_view(data, length)[ends[:-1][own] + at]
-        hit = reaches(suffixes, docs_[own])
+        hit = lpf(suffixes, docs_[own], length) >= length
         mask = np.zeros(len(windows), np.int64)
-        np.bitwise_or.at(mask, own[hit], np.int64(1) << at[hit])
+        np.bitwise_or.at(mask, own[hit], np.int64(1) << (at + firsts[own])[hit])
         some = np.flatnonzero(mask)
-        return pa.table({"doc": pa.array(docs_[some], pa.int64()), "first": pa.array(firsts[some], pa.int32()), "mask": pa.array(mask[some], pa.int64())})
+        return pa.table({"doc": pa.array(docs_[some], pa.int64()), "pair": pa.array(pairs[some], pa.int64()), "mask": pa.array(mask[some], pa.int64())})
 
-    sorted_ = rows.filter("not hot").drop("hot").groupBy("b").applyInArrow(sort_suffixes, "doc long, first int, mask long")
-    # crowded grams: equal windows are one row of the aggregate, and the join splits what is left
-    windows = rows.filter("hot").select("doc", "first", F.posexplode(F.expr(f"transform(sequence(1, length(bytes) - {length - 1}), i -> substring(bytes, i, {length}))")).alias("i", "w"))
-    least = windows.groupBy("w").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter("least < most").select("w", "least")
-    crowd = windows.join(least, "w").filter("doc > least").groupBy("doc", "first").agg(F.bit_or(F.expr("shiftleft(1L, i)")).alias("mask"))
-    single = sorted_.unionAll(crowd.select("doc", "first", "mask")).select("doc", F.lit(None).cast("long").alias("pair"), F.struct("first", "mask").alias("m"))
-    whole = found.filter("g is null").select("doc", "pair", F.lit(None).cast("struct<first:int,mask:bigint>").alias("m"))
-    return whole.unionAll(single).groupBy(F.col("doc").alias("_doc")).agg(F.collect_list("pair").alias("pairs"), F.collect_list("m").alias("masks"))
+    met = rows.filter("b is not null").drop("mask").groupBy("b").applyInArrow(sort_suffixes, "doc long, pair long, mask long")
+    here = rows.filter("b is null").select("doc", "pair", "mask")
+    copies = found.filter("g is null").select("doc", "pair", whole).unionAll(suspects.filter("doc > least").select("doc", "pair", whole))
+    return copies.unionAll(met).unionAll(here).groupBy(F.col("doc").alias("_doc")).agg(F.collect_list(F.struct("pair", "mask")).alias("marks"))
 
 
 def _six(x: np.ndarray) -> bytes:
@@ -410,21 +437,26 @@ def _pair(gram: np.ndarray, run: np.ndarray) -> np.ndarray:
         return _mix(gram * _BASE + run)
 
 
-def removed_windows(text: bytes, pairs: np.ndarray, firsts: np.ndarray, masks: np.ndarray, length: int, gram: int) -> np.ndarray:
+def removed_windows(text: bytes, pairs: np.ndarray, masks: np.ndarray, length: int, gram: int) -> np.ndarray:
     """Whether each byte is removed."""
     n = len(text)
     cover = np.zeros(n + 1, np.int64)
-    if len(pairs):
-        f, size, value, run = anchored(np.frombuffer(text, np.uint8), length, gram)
-        hit = np.isin(_pair(_short(value), _short(run)), pairs.view(np.uint64))
-        np.add.at(cover, f[hit], 1)
-        np.add.at(cover, f[hit] + size[hit] + length - 1, -1)
-    firsts = firsts.astype(np.int64)
-    for i in range(64) if len(firsts) else ():
-        at = firsts[(masks >> i) & 1 == 1] + i
-        if len(at):
-            np.add.at(cover, at, 1)
-            np.add.at(cover, at + length, -1)
+    known, back = np.unique(pairs, return_inverse=True)
+    bits = np.zeros(len(known), np.int64)
+    np.bitwise_or.at(bits, back, masks)
+    first, size, value, run = anchored(np.frombuffer(text, np.uint8), length, gram)
+    own = _pair(_short(value), _short(run)).view(np.int64)
+    place = np.minimum(np.searchsorted(known, own), len(known) - 1)
+    hit = known[place] == own
+    first, size, mask = first[hit], size[hit], bits[place[hit]]
+    every = mask == -1
+    np.add.at(cover, first[every], 1)
+    np.add.at(cover, first[every] + size[every] + length - 1, -1)
+    first, size, mask = first[~every], size[~every], mask[~every]
+    for i in range(int(size.max(initial=0))):
+        at = first[(size > i) & ((mask >> i) & 1 == 1)] + i
+        np.add.at(cover, at, 1)
+        np.add.at(cover, at + length, -1)
     return np.cumsum(cover[:n]) > 0
 
 
@@ -432,28 +464,34 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, key: str = "d
     """(key, columns to carry, n_bytes, n_removed, n_spans, kept binary) of every row."""
     from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
+    clash = {"n_bytes", "n_removed", "n_spans", "kept"}.intersection([key, *carry])
+    if clash:
+        raise ValueError(f"columns to carry have the names of results: {sorted(clash)}")
     marks = removed_spans(docs, length, gram, key, text)
     columns = list(dict.fromkeys([key, *carry]))
     fields = {f.name: f for f in docs.schema.fields}
     schema = StructType([*[fields[c] for c in columns], StructField("n_bytes", LongType()), StructField("n_removed", LongType()), StructField("n_spans", LongType()), StructField("kept", BinaryType())])
 
     def run(batches):
+        let_go()
         for b in batches:
             rows: tuple[list, ...] = ([], [], [], [])
-            for t, p, m in zip(b.column("_text"), b.column("pairs"), b.column("masks")):
+            for t, m in zip(b.column(1), b.column(2)):
                 x = (t.as_py() or "").encode()
                 removed, spans, kept = 0, 0, x
-                if p.is_valid and len(x) >= length:
-                    gone = removed_windows(x, p.values.to_numpy(), *(c.to_numpy() for c in m.values.flatten()), length, gram)
+                if m.is_valid and len(x) >= length:
+                    gone = removed_windows(x, *(c.to_numpy() for c in m.values.flatten()), length, gram)
                     removed = int(gone.sum())
                     spans = int((gone & ~np.r_[False, gone[:-1]]).sum())
                     kept = np.frombuffer(x, np.uint8)[~gone].tobytes()
                 for c, v in zip(rows, (len(x), removed, spans, kept)):
                     c.append(v)
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in columns], *[pa.array(c, pa.int64()) for c in rows[:3]], pa.array(rows[3], pa.binary())], [*columns, "n_bytes", "n_removed", "n_spans", "kept"])
+            yield pa.RecordBatch.from_arrays([*b.column(0).flatten(), *[pa.array(c, pa.int64()) for c in rows[:3]], pa.array(rows[3], pa.binary())], [*columns, "n_bytes", "n_removed", "n_spans", "kept"])
 
     ship(docs.sparkSession)
-    joined = docs.select(*columns, F.col(text).alias("_text")).join(marks, F.col(key) == F.col("_doc"), "left").drop("_doc")
+    # the carried columns are one, so none can clash with those used here
+    left = docs.select(F.col(f"`{key}`").alias("_key"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_own"), F.col(f"`{text}`").alias("_text"))
+    joined = left.join(marks, F.col("_key") == F.col("_doc"), "left").select("_own", "_text", "marks")
     return joined.mapInArrow(run, schema)
 
 

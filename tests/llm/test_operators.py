@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -43,9 +44,10 @@ def brute_suffix(rows, length):
     return out
 
 
-@pytest.mark.parametrize("hot", [2000, 1])
-def test_suffix_dedup(table, hot, monkeypatch):
+@pytest.mark.parametrize("hot, hotter", [(2000, 50), (1, 1000), (1, 1)])
+def test_suffix_dedup(table, hot, hotter, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    monkeypatch.setattr(suffix_dedup, "HOTTER", hotter)
     rng = random.Random(1)
     passage = prose(rng, 14)
     texts = [*ODD, *[prose(rng, rng.randint(1, 60)) + f" {i} " + (passage if i % 3 else "") + prose(rng, rng.randint(0, 30)) for i in range(60)]]
@@ -54,18 +56,37 @@ def test_suffix_dedup(table, hot, monkeypatch):
     assert got == brute_suffix(list(enumerate(texts)), 50)
 
 
+def test_suffix_dedup_of_rows_with_one_id(spark):
+    rng = random.Random(3)
+    text = lambda i: " ".join(f"w{i}x{rng.randrange(10**9)}" for _ in range(30))
+    a, b, c = text(1), text(2), text(3)
+    rows = [(1, a), (2, a), (2, b), (2, c + b), (None, a), (None, None), (3, b)]
+    n = {x: len(x) for x in (a, b, c)}
+    want = [(1, n[a], 0), (2, n[a], n[a]), (2, n[b], 0), (2, n[c] + 1 + n[b], 0), (None, n[a], 0), (None, 0, 0), (3, n[b], n[b])]
+    rows[3] = (2, c + " " + b)
+    for column in ("pairs", "marks", "mask", "_doc", "_own", "_text"):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn(column, F.length("text"))
+        got = suffix_dedup.dedup(docs, carry=(column,)).collect()
+        assert Counter((r["doc_id"], r["n_bytes"], r["n_removed"]) for r in got) == Counter(want)
+        assert all((r[column] or 0) == r["n_bytes"] for r in got)
+    with pytest.raises(ValueError):
+        suffix_dedup.dedup(docs.withColumn("kept", F.lit(1)), carry=("kept",))
+
+
 def test_suffix_dedup_of_nothing(table):
     assert suffix_dedup.dedup(table([]), carry=("lang",)).collect() == []
 
 
 def test_longest_previous_factor():
     rng = random.Random(2)
-    s = [bytes(rng.choice(b"ab") for _ in range(6)) for _ in range(200)]
-    d = np.array([rng.randint(0, 30) for _ in s])
-    common = lambda x, y: next((i for i in range(6) if x[i] != y[i]), 6)
-    want = [max((common(s[i], s[j]) for j in range(200) if d[j] < d[i]), default=0) for i in range(200)]
-    assert suffix_dedup.lpf(s, d, 6).tolist() == want
-    assert suffix_dedup.reaches(np.frombuffer(b"".join(s), np.uint8).reshape(-1, 6), d).tolist() == [w == 6 for w in want]
+    for n in (0, 1, 200):
+        s = [bytes(rng.choice(b"ab") for _ in range(6)) for _ in range(n)]
+        d = np.array([rng.randint(0, 30) for _ in s], np.int64)
+        common = lambda x, y: next((i for i in range(6) if x[i] != y[i]), 6)
+        want = [max((common(s[i], s[j]) for j in range(n) if d[j] < d[i]), default=0) for i in range(n)]
+        rows = np.frombuffer(b"".join(s), np.uint8).reshape(-1, 6)
+        assert suffix_dedup.lpf(rows, d).tolist() == want
+        assert suffix_dedup.lpf(rows, d, 6).tolist() == [w if w == 6 else 0 for w in want]
 
 
 # --- 2 packing -------------------------------------------------------------------------------
@@ -267,6 +288,53 @@ def test_language_id(table):
     assert {r["lang_pred"] for r in language_id.identify(table(["a"], [None])).collect()} == {"und"}
 
 
+def test_language_id_is_naive_bayes(table):
+    rng = random.Random(14)
+    words = {"en": "the of with House what İstanbul".split(), "de": "der und nicht Häuser schön".split(), "zh": "语言 模型 数据 我们 的".split(), "hi": "हिन्दी भाषा में है".split()}
+    langs = [rng.choice([*words, None]) for _ in range(120)]
+    texts = [" ".join(rng.choice(words[x or "en"]) for _ in range(rng.randint(0, 12))) + rng.choice(["", " 12, 3!", "  "]) for x in langs]
+    texts += [None, "", "a", "the " * 100_000, "\u0301", "١٢٣"]
+    langs += ["en", "de", None, None, "en", None]
+
+    def grams(text):
+        x = "".join(c if c.isalpha() or __import__("unicodedata").category(c)[0] == "M" else " " for c in text.lower())
+        x = [ord(c) for c in " " + "".join(w + " " for w in x.split())]
+        out = []
+        for n in (1, 2, 3):
+            for i in range(len(x) - n + 1):
+                h = 0
+                for c in x[i : i + n]:
+                    h = (h * 0x85EBCA6B + c) % 2**32
+                h = (h + ((n - 1) << 25)) * 0x9E3779B1 % 2**32
+                out.append(((h ^ h >> 15) * 0x2C1B3C6D % 2**32) >> 16)
+        return out
+
+    counts, docs = {}, Counter()
+    for k, (t, x) in enumerate(zip(texts, langs)):
+        if t is not None and x is not None and zlib.crc32(str(k).encode()) % 4 != 2:
+            counts.setdefault(x, Counter()).update(grams(t))
+            docs[x] += 1
+    got = {r["doc_id"]: r for r in language_id.identify(table(texts, langs)).collect()}
+    for k, t in enumerate(texts):
+        if t is None or not any(map(str.isalpha, t)):
+            assert (got[k]["lang_pred"], got[k]["score"]) == ("und", 0.0)
+            continue
+        c = Counter(grams(t))
+        score = {x: np.log(docs[x] / sum(docs.values())) + sum(m * np.log((n[g] + 0.5) / (sum(n.values()) + 0.5 * 65536)) for g, m in c.items()) for x, n in counts.items()}
+        best = max(score.values())
+        assert score[got[k]["lang_pred"]] >= best - 1e-4 * abs(best), (k, t[:40])
+
+
+def test_language_id_carries_any_column(table):
+    docs = table(["the house", None]).withColumn("_text", F.lit(1)).withColumn("text2", F.col("text"))
+    rows = language_id.predict(docs, language_id.train(table(["the house"] * 3)), carry=("_text", "text", "lang")).collect()
+    assert [(r["_text"], r["text"], r["lang_pred"]) for r in rows] == [(1, "the house", "en"), (1, None, "und")]
+    with pytest.raises(ValueError):
+        language_id.predict(docs.withColumn("score", F.lit(1)), language_id.train(docs), carry=("score",))
+    empty = table([])
+    assert language_id.identify(empty).collect() == []
+
+
 # --- 7 licenses ------------------------------------------------------------------------------
 
 
@@ -281,6 +349,45 @@ def test_license_scan(table):
     assert len(license_scan.build_rules()) > 200
 
 
+def test_license_base_places_match_brute_force(table):
+    rng = random.Random(15)
+    pool = "gnu general public license apache license cc by mit license GNU MIT the CC By-nc é 3 licenses".split()
+    texts = [*ODD, *["".join(rng.choice(pool) + rng.choice([" ", "-", "\n", ", ", ""]) for _ in range(rng.randint(0, 40))) for _ in range(150)]]
+    rows = {r["doc_id"]: r for r in license_scan.scan(table(texts).withColumn("spans", F.lit(0))).collect()}
+    for k, t in enumerate(texts):
+        w = re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").encode().lower())
+        places = [(i, label) for phrase, label in license_scan.BASE for i in range(len(w)) if w[i : i + len(phrase.split())] == phrase.encode().split()]
+        r = rows[k]
+        want = (len(w), len(places), min((i for i, _ in places), default=None), max((i for i, _ in places), default=None), ",".join(sorted({x for _, x in places})))
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == want, t
+        assert {x for _, x in places} <= set(r["labels"].split(",")) and 0 <= r["score"] <= 1
+    assert license_scan.scan(table([])).collect() == []
+
+
+def test_license_detections_within_kept_ones_go():
+    rng = random.Random(16)
+    machine = license_scan.scanner(license_scan.build_rules())
+    words = "gpl 2 0 3 or later version v the gnu general public license lesser mit apache cc by sa nc 4 bsd clause".split()
+    for _ in range(200):
+        line = " " + " ".join(rng.choice(words) for _ in range(rng.randint(1, 60))) + " "
+        ids = {i for _, group in machine.machine.iter(line) for i in group}
+        found = sorted(((p, m.start(), m.end(), label) for label, p, rx in (machine.rules[i] for i in ids) for m in rx.finditer(line)), key=lambda x: (-x[0], x[1] - x[2], x[1], x[3]))
+        kept = []
+        for p, a, b, label in found:
+            if not any(x <= a and b <= y for _, _, x, y in kept):
+                kept.append((label, p, a, b))
+        assert machine.detect(line) == kept
+
+
+def test_license_scan_of_a_long_text_takes_time_in_proportion():
+    machine = license_scan.scanner(license_scan.build_rules())
+    text = "licensed under the apache license, version 2.0 and the gpl 3.0 or later. " * 70_000  # 5 MB
+    began = time.process_time()
+    r = license_scan.scan_text(text, machine)
+    assert r["n_base"] == 70_000 and len(r["spans"]) >= 140_000
+    assert time.process_time() - began < 60
+
+
 # --- 8 quality -------------------------------------------------------------------------------
 
 
@@ -339,7 +446,7 @@ def test_gru_gradients():
         setattr(g, name, getattr(g, name).astype(np.float64))
     rng = np.random.default_rng(0)
     x, y = rng.integers(0, 12, (5, 3)), rng.integers(0, 12, (5, 3))
-    fresh, live, h = np.zeros((5, 3), bool), np.ones((5, 3), bool), np.zeros((3, 4))
+    fresh, live, h = np.zeros((5, 3), bool), np.ones((5, 3), bool), rng.standard_normal((4, 3))
     fresh[2, 1], live[4, 2] = True, False
     grads, _, _ = lm_scoring.train_step(g, x, y, live, h, fresh)
     for p, d in zip(g.params(), grads):
@@ -380,6 +487,20 @@ def test_byte_bpe_is_tiktoken(table):
         assert got[k]["decoded_sha256"] == hashlib.sha256((t or "").encode()).hexdigest()
 
 
+def test_byte_bpe_keeps_what_may_follow():
+    fst = byte_bpe.Transducer(byte_bpe.load_ranks(public_tokenizers.path(byte_bpe.PATTERN_FILE)))
+    calls, apart = [], fst._apart
+    fst._apart = lambda a, b: calls.append((a, b)) or apart(a, b)
+    for _ in range(3):
+        fst.reset()
+        fst.encode(b"internationalisation")
+    assert len(calls) == len(set(calls)) == len(fst.fits)
+
+
+def test_byte_bpe_of_nothing(table):
+    assert byte_bpe.encode_decode(table([]), public_tokenizers.path(byte_bpe.PATTERN_FILE), public_tokenizers.PATTERN).collect() == []
+
+
 def test_utf8_stream():
     data = "aé中😀z".encode()
     for step in (1, 2, 3):
