@@ -97,10 +97,11 @@ class Transducer:
 
     def _may_follow(self, a: int, b: int) -> bool:
         """Whether the merges leave a and b apart: undo the later of the two merges again and again, and look for an earlier merge over the border."""
-        if (x := self.fits.get((a, b))) is None:
+        key = a << 32 | b
+        if (x := self.fits.get(key)) is None:
             if len(self.fits) > 1_000_000:
                 self.fits.clear()
-            x = self.fits[a << 20 | b] = self._apart(a, b)
+            x = self.fits[key] = self._apart(a, b)
         return x
 
     def _apart(self, a: int, b: int) -> bool:

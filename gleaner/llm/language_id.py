@@ -1,7 +1,8 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
-Features are the n-grams of 1 to 3 bytes of the lower-cased text in which every
-character that is no letter counts as a space, hashed to ``buckets`` counts.
+Features are the n-grams of 1 to 3 characters of the lower-cased text in which every
+run of characters that are neither letters nor combining marks is one space, with a
+space before and after the text, hashed to BUCKETS counts.
 Training counts (language, bucket) in every task, as one array for each language
 and block of buckets, and adds the arrays up; the log-probability matrix of
 languages x buckets has a fixed size and goes to every task.  A batch of texts is
@@ -10,12 +11,16 @@ scored by gathering matrix rows for its n-grams and summing them by text.
 The score is the softmax of the mean log-probability times the number of n-grams,
 at most ``sharpness``: short texts stay unsure.  Texts that are null or have
 no letter get ``und`` and score 0.  With no training row every text gets ``und``.
-Equal rows get equal predictions; ties go to the language that sorts first.
+Equal rows get equal predictions; ties go to the language that sorts first.  Long
+texts are read whole, CHUNK characters at a time.  Other columns of the input are read
+only if they are to be carried; a carried column may not be called lang_pred or score.
 """
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +33,14 @@ from gleaner.session import ship
 BUCKETS = 1 << 16
 BLOCK = 1 << 13
 SHARPNESS = 60.0
-#: Bytes of text that are hashed at a time.
-CHUNK = 1 << 18
+#: Characters that are hashed at a time.
+CHUNK = 1 << 17
 
-_SPACED = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
+
+@lru_cache(maxsize=1)
+def spelling() -> np.ndarray:
+    """By code point: whether it is a letter or a combining mark."""
+    return np.fromiter((chr(i).isalpha() or unicodedata.category(chr(i))[0] == "M" for i in range(0x110000)), bool, 0x110000)
 
 
 def held_out(column, folds: int = 4, fold: int = 2):
@@ -40,18 +49,25 @@ def held_out(column, folds: int = 4, fold: int = 2):
 
 
 def features(data: np.ndarray) -> list[np.ndarray]:
-    """The buckets of the 1-, 2- and 3-grams starting at each byte; data holds lower-case letters and spaces."""
-    a = data.astype(np.uint32)
-    b = (a[:-1] << np.uint32(8)) | a[1:]
-    c = (b[:-1] << np.uint32(8)) | a[2:]
-    mix = lambda x, salt: ((x + np.uint32(salt)) * np.uint32(0x9E3779B1)) >> np.uint32(32 - 16)
-    return [mix(x, i << 25) for i, x in enumerate((a, b, c))]
-
-
-def letters(text: str) -> bytes:
-    """The text with a space before and after, every other separator folded into one."""
-    x = text.encode().translate(_SPACED)
-    return b" " + b" ".join(x.split()) + b" "
+    """The buckets of the 1-, 2- and 3-grams starting at each character; data holds code points (32 bits)."""
+    a = data
+    b = a[:-1] * np.uint32(0x85EBCA6B) + a[1:]
+    c = b[:-1] * np.uint32(0x85EBCA6B) + a[2:]
+    out = []
+    for salt, x in enumerate((a, b, c)):
+        x = (x + np.uint32(salt << 25)) * np.uint32(0x9E3779B1)
+        out.append(((x ^ (x >> np.uint32(15))) * np.uint32(0x2C1B3C6D)) >> np.uint32(32 - 16))
+    return out
+
+
+def letters(text: str) -> np.ndarray:
+    """Code points of the text with a space before and after, everything but letters and marks folded into one space."""
+    codes = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "replace"), np.uint32)
+    spelled = spelling()[codes]
+    keep = spelled.copy()
+    keep[1:] |= spelled[:-1]
+    keep[0] = True
+    return np.where(spelled, codes, np.uint32(32))[keep]
 
 
 def has_letter(text: str) -> bool:
@@ -59,7 +75,7 @@ def has_letter(text: str) -> bool:
 
 
 def count_features(text: str, into: np.ndarray) -> None:
-    data = np.frombuffer(letters(text), np.uint8)
+    data = letters(text)
     for at in range(0, len(data), CHUNK):
         for f in features(data[at : at + CHUNK + 2]):
             into += np.bincount(f[:CHUNK], minlength=BUCKETS)
@@ -116,7 +132,7 @@ def train(rows: DataFrame, lang: str = "lang", text: str = "text", alpha: float
 def score_texts(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(mean log-probability by language, number of n-grams) of each text."""
     means, sizes = np.zeros((len(texts), table.shape[1])), np.ones(len(texts))
-    data = [np.frombuffer(letters(t), np.uint8) for t in texts]
+    data = [letters(t) for t in texts]
     at = 0
     while at < len(data):
         end, size = at, 0
@@ -151,6 +167,8 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], key: str = "do
 
     fields = {f.name: f for f in docs.schema.fields}
     columns = list(dict.fromkeys([key, *carry]))
+    if {"lang_pred", "score"}.intersection(columns):
+        raise ValueError("a column to carry has the name of a result")
     schema = StructType([*[fields[c] for c in columns], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast((names, table))  # BUCKETS x languages floats
 
@@ -158,7 +176,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], key: str = "do
         let_go()
         names, table = shared.value
         for b in batches:
-            texts = b.column("_text").to_pylist()
+            texts = b.column(1).to_pylist()
             lettered = [bool(names) and t is not None and has_letter(t) for t in texts]
             means, sizes = score_texts([t if ok else "" for t, ok in zip(texts, lettered)], table)
             if names:
@@ -168,10 +186,11 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], key: str = "do
                 best = means.argmax(1)
             labels = [names[best[i]] if ok else "und" for i, ok in enumerate(lettered)]
             scores = [float(share[i, best[i]]) if ok else 0.0 for i, ok in enumerate(lettered)]
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in columns], pa.array(labels, pa.string()), pa.array(scores, pa.float64())], [*columns, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*b.column(0).flatten(), pa.array(labels, pa.string()), pa.array(scores, pa.float64())], [*columns, "lang_pred", "score"])
 
     ship(docs.sparkSession)
-    return docs.select(*columns, F.col(text).alias("_text")).mapInArrow(run, schema)
+    own = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("own")
+    return docs.select(own, F.col(f"`{text}`").alias("text")).mapInArrow(run, schema)
 
 
 def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:

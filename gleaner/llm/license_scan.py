@@ -17,6 +17,7 @@ results; other columns of the input are not read.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -191,9 +192,16 @@ class Scanner:
         ids = {i for _, group in self.machine.iter(line) for i in group}
         found = sorted(((p, m.start(), m.end(), label) for label, p, rx in (self.rules[i] for i in ids) for m in rx.finditer(line)), key=lambda x: (-x[0], x[1] - x[2], x[1], x[3]))
         kept: list[tuple[str, int, int, int]] = []
+        # intervals of kept ones that lie in no other: their ends rise with their starts
+        starts: list[int] = []
+        ends: list[int] = []
         for p, a, b, label in found:
-            if not any(ka <= a and b <= kb for _, _, ka, kb in kept):
-                kept.append((label, p, a, b))
+            i = bisect_right(starts, a)
+            if i and ends[i - 1] >= b:
+                continue
+            kept.append((label, p, a, b))
+            inner = slice(bisect_left(starts, a), bisect_right(ends, b))
+            starts[inner], ends[inner] = [a], [b]
         return kept
 
 

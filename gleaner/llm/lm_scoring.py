@@ -2,8 +2,8 @@
 
 Counts.  Every task counts its training words in a bounded dictionary; word hashes
 (62 bits of XXH64) and counts are added up by a shuffle that grows with the corpus.
-The HEAD most frequent words are broadcast (a fixed number); the other tokens of a
-text meet their counts in a join on the word's hash.
+The most frequent words, HEAD at most, are broadcast; the other tokens of a text meet
+their counts in a join on the word's hash.
 
 Network.  One GRU layer reads the tokens; the output is factored into classes of
 equal size over the most frequent words, the end and the class of all other words:
@@ -20,7 +20,8 @@ Documents of a batch run side by side in lanes.
 
 A null text is an empty text: one token, the end.  Without training documents
 (N = 0) all counts are 0 and the network stays as it was initialised.  Rows with an
-equal doc_id are scored each by itself.
+equal doc_id are scored each by itself.  A text of any length takes memory in
+proportion to its tokens.  Other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +45,9 @@ from gleaner.session import ship
 HEAD = 200_000
 CLASSES, PER_CLASS, HIDDEN = 32, 32, 24
 WINDOW, LANES = 24, 256
-TRAIN_LANES = 128
+TRAIN_LANES = 256
+#: Bytes of text whose documents run side by side.
+BATCH_BYTES = 16 << 20
 #: Each round trains on another share of the documents.
 ROUNDS, RATE = 4, 0.01
 #: A task learns from as many tokens as these, where there are so many; fewer in all are gone through again, up to PASSES times.
@@ -119,145 +123,198 @@ def new_gru(hidden: int = HIDDEN, classes: int = CLASSES, per_class: int = PER_C
     return Gru(r(classes * per_class, hidden), r(hidden, 3 * hidden), r(hidden, 3 * hidden), np.zeros(3 * hidden, np.float32), r(hidden + 1, classes) * np.float32(0.1), r(classes, hidden + 1, per_class) * np.float32(0.1))
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1.0 / (1.0 + np.exp(-x))
-
-
 def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(1, keepdims=True))
-    return x / x.sum(1, keepdims=True)
-
-
-def forward(g: Gru, table: np.ndarray, inputs: np.ndarray, h: np.ndarray, fresh: np.ndarray):
-    """States after each of the window's steps; inputs, fresh: steps x lanes; fresh lanes start a document."""
-    n, states, cache = g.hidden, [], []
-    for x, new in zip(inputs, fresh):
-        h = np.where(new[:, None], np.float32(0), h)
-        a, m = table[x], h @ g.u
-        zr = _sigmoid(a[:, : 2 * n] + m[:, : 2 * n])
-        z, r = zr[:, :n], zr[:, n:]
-        c = np.tanh(a[:, 2 * n :] + r * m[:, 2 * n :])
-        cache.append((h, z, r, c, m[:, 2 * n :]))
-        h = h + z * (c - h)
-        states.append(h)
-    return states, cache, h
+    """By row, in place."""
+    x -= x.max(1, keepdims=True)
+    np.exp(x, out=x)
+    x /= (x @ np.ones(x.shape[1], x.dtype))[:, None]
+    return x
+
+
+def weights(g: Gru) -> tuple[np.ndarray, np.ndarray]:
+    """(rows of the vocabulary x 3 hidden, 3 hidden x hidden): those of the gates with the sign that their exponential takes."""
+    table, u = g.embed @ g.w + g.b, np.ascontiguousarray(g.u.T)
+    table[:, : 2 * g.hidden] *= -1
+    u[: 2 * g.hidden] *= -1
+    return table, u
+
+
+def forward(by: tuple[np.ndarray, np.ndarray], inputs: np.ndarray, h: np.ndarray, fresh: np.ndarray, keep: bool = False):
+    """(states after each step, the last one; and, to be kept: states before, gates and candidates, recurrent part of the candidates).
+
+    inputs, fresh: steps x lanes; fresh lanes start a document.  States are steps x hidden x lanes, so that all arrays of a step are whole.
+    """
+    table, u = by
+    n = u.shape[1]
+    work = np.ascontiguousarray(table[inputs].transpose(0, 2, 1))  # becomes update gate, reset gate, candidate
+    after = np.empty((len(inputs), n, inputs.shape[1]), table.dtype)
+    before, part = (np.empty_like(after), np.empty_like(after)) if keep else (None, None)
+    starts = fresh.any(1)
+    with np.errstate(over="ignore"):
+        for t, x in enumerate(work):
+            if starts[t]:
+                h = np.where(fresh[t], table.dtype.type(0), h)
+            m = u @ h
+            gates, c, own = x[: 2 * n], x[2 * n :], m[2 * n :]
+            if keep:
+                before[t], part[t] = h, own
+            gates += m[: 2 * n]
+            np.exp(gates, out=gates)
+            gates += 1
+            np.reciprocal(gates, out=gates)
+            own *= gates[n:]
+            c += own
+            np.tanh(c, out=c)
+            step = c - h
+            step *= gates[:n]
+            h = np.add(h, step, out=after[t])
+    return after, h.copy(), before, work, part
 
 
 def output(g: Gru, states: np.ndarray, targets: np.ndarray, grads: bool = False):
     """(natural log-probabilities, gradient of the states, of the classes, of the words) for states x hidden."""
-    one = np.concatenate([states, np.ones((len(states), 1), np.float32)], 1)
-    cls, within = targets // g.per_class, targets % g.per_class
-    p = _softmax(one @ g.classes)
-    rows = np.arange(len(states))
-    logp = np.log(p[rows, cls] + 1e-30).astype(np.float64)
+    cls, within = np.divmod(targets, g.per_class)
     order = np.argsort(cls, kind="stable")
-    bounds = np.searchsorted(cls[order], np.arange(len(g.words) + 1))
-    if grads:
-        d = p
-        d[rows, cls] -= 1
-        d_classes, d_one, d_words = one.T @ d, d @ g.classes.T, np.zeros_like(g.words)
-    for k in range(len(g.words)):
-        at = order[bounds[k] : bounds[k + 1]]
-        if len(at):
-            q = _softmax(one[at] @ g.words[k])
-            i = np.arange(len(at))
-            logp[at] += np.log(q[i, within[at]] + 1e-30)
-            if grads:
-                q[i, within[at]] -= 1
-                d_words[k] = one[at].T @ q
-                d_one[at] += q @ g.words[k].T
-    return (logp, d_one[:, :-1], d_classes, d_words) if grads else logp
+    cls, within, rows = cls[order], within[order], np.arange(len(states))
+    one = np.empty((len(states), g.hidden + 1), states.dtype)
+    one[:, :-1] = states[order]
+    one[:, -1] = 1
+    bounds = np.searchsorted(cls, np.arange(len(g.words) + 1)).tolist()
+    parts = [(k, slice(i, j)) for k, (i, j) in enumerate(zip(bounds, bounds[1:])) if i < j]
+    p, q = _softmax(one @ g.classes), np.empty((len(states), g.per_class), states.dtype)
+    for k, part in parts:
+        np.matmul(one[part], g.words[k], out=q[part])
+    q = _softmax(q)
+    logp = np.empty(len(states))
+    logp[order] = np.log(p[rows, cls] + 1e-30) + np.log(q[rows, within] + 1e-30)
+    if not grads:
+        return logp
+    p[rows, cls] -= 1
+    q[rows, within] -= 1
+    d_one, d_words = p @ g.classes.T, np.zeros_like(g.words)
+    for k, part in parts:
+        np.matmul(one[part].T, q[part], out=d_words[k])
+        d_one[part] += q[part] @ g.words[k].T
+    d_states = np.empty_like(states)
+    d_states[order] = d_one[:, :-1]
+    return logp, d_states, one.T @ p, d_words
 
 
 def train_step(g: Gru, inputs: np.ndarray, targets: np.ndarray, live: np.ndarray, h: np.ndarray, fresh: np.ndarray):
     """(gradients, last state, mean loss) of one window: backpropagation is cut at its start."""
-    table = g.embed @ g.w + g.b
-    states, cache, last = forward(g, table, inputs, h, fresh)
-    flat, mask = np.concatenate(states), live.reshape(-1)
-    at = np.flatnonzero(mask)
-    logp, d, d_classes, d_words = output(g, flat[at], targets.reshape(-1)[at], True)
-    d_states = np.zeros_like(flat)
+    n = g.hidden
+    after, last, before, work, part = forward(weights(g), inputs, h, fresh, True)
+    rows = lambda x: x.transpose(0, 2, 1).reshape(inputs.size, -1)
+    at = np.flatnonzero(live.reshape(-1))
+    logp, d, d_classes, d_words = output(g, rows(after)[at], targets.reshape(-1)[at], True)
+    d_states = np.zeros((inputs.size, n), after.dtype)
     d_states[at] = d
-    d_states = d_states.reshape(len(inputs), -1, g.hidden)
-    d_table, d_u, dh, steps = np.zeros_like(table), np.zeros_like(g.u), np.zeros_like(last), []
+    d_states = np.ascontiguousarray(d_states.reshape(*inputs.shape, n).transpose(0, 2, 1))
+    # what a step's gradient is multiplied by on its way to the gates and the candidate is known for all steps
+    z, r, c = work[:, :n], work[:, n : 2 * n], work[:, 2 * n :]
+    keep = 1 - z
+    to_c = z * (1 - c * c)
+    factors = np.empty((len(inputs), 3, n, inputs.shape[1]), after.dtype)
+    np.multiply((c - before) * z, keep, out=factors[:, 0])
+    np.multiply(to_c, r, out=factors[:, 2])
+    np.multiply(factors[:, 2] * part, 1 - r, out=factors[:, 1])
+    dh, starts = np.zeros_like(last), fresh.any(1)
     for t in range(len(inputs) - 1, -1, -1):
-        h0, z, r, c, m = cache[t]
-        dh = dh + d_states[t]
-        dc = dh * z * (1 - c * c)
-        dz = dh * (c - h0) * z * (1 - z)
-        dr = dc * m * r * (1 - r)
-        da = np.concatenate([dz, dr, dc], 1)
-        steps.append(da)
-        dm = np.concatenate([dz, dr, dc * r], 1)
-        d_u += h0.T @ dm
-        dh = np.where(fresh[t][:, None], np.float32(0), dh * (1 - z) + dm @ g.u.T)
+        dh += d_states[t]
+        d_states[t] = dh
+        factors[t] *= dh
+        dh *= keep[t]
+        dh += g.u @ factors[t].reshape(3 * n, -1)
+        if starts[t]:
+            dh[:, fresh[t]] = 0
+    d_m = factors.reshape(len(inputs), 3 * n, -1)
+    d_u = np.matmul(before, d_m.transpose(0, 2, 1)).sum(0)
+    np.multiply(d_states, to_c, out=factors[:, 2])
     # the rows of each input are added up at once
-    used = inputs[::-1].reshape(-1)
+    used = inputs.reshape(-1)
     order = np.argsort(used, kind="stable")
     ids, starts = np.unique(used[order], return_index=True)
-    d_table[ids] = np.add.reduceat(np.concatenate(steps)[order], starts)
+    d_rows = np.add.reduceat(rows(d_m)[order], starts)
+    d_embed = np.zeros_like(g.embed)
+    d_embed[ids] = d_rows @ g.w.T
     n = max(1, len(at))
-    grads = [d_table @ g.w.T, g.embed.T @ d_table, d_u, d_table.sum(0), d_classes, d_words]
+    grads = [d_embed, g.embed[ids].T @ d_rows, d_u, d_rows.sum(0), d_classes, d_words]
     return [x / n for x in grads], last, -float(logp.mean()) if len(at) else 0.0
 
 
 class Lanes:
-    """Documents (arrays of target ids, each ending with the end) laid end to end in lanes, the longest lane first."""
+    """Documents (arrays of target ids, each ending with the end) laid end to end in lanes, the longest lane first.
+
+    There are no more lanes than the longest document leaves full.  Tokens are held once, lane after lane; a window is
+    laid out when it is read.
+    """
 
     def __init__(self, docs: list[np.ndarray], lanes: int, end: int):
         import heapq
 
-        heap = [(0, i) for i in range(max(1, min(lanes, len(docs))))]
+        longest = max(map(len, docs), default=1)
+        heap = [(0, i) for i in range(max(1, min(lanes, len(docs), -(-sum(map(len, docs)) // longest))))]
         rows: list[list[int]] = [[] for _ in heap]
         for i in sorted(range(len(docs)), key=lambda i: -len(docs[i])):
             n, k = heap[0]
             rows[k].append(i)
             heapq.heapreplace(heap, (n + len(docs[i]), k))
         rows.sort(key=lambda r: -sum(len(docs[i]) for i in r))
+        self.order = [i for r in rows for i in r]
         self.lengths = np.array([sum(len(docs[i]) for i in r) for r in rows])
-        steps = int(self.lengths.max(initial=0))
-        self.targets = np.full((steps, len(rows)), end, np.int32)
-        self.owner = np.zeros((steps, len(rows)), np.int32)
-        self.fresh = np.zeros((steps, len(rows)), bool)
-        for k, r in enumerate(rows):
-            at = 0
-            for i in r:
-                n = len(docs[i])
-                self.targets[at : at + n, k], self.owner[at : at + n, k], self.fresh[at, k] = docs[i], i, True
-                at += n
-        self.inputs = np.roll(self.targets, 1, 0)
-        self.inputs[self.fresh] = end
+        self.begins = np.cumsum(self.lengths) - self.lengths
+        self.starts = np.cumsum([0, *(len(docs[i]) for i in self.order)])[:-1]
+        self.targets = np.concatenate([docs[i] for i in self.order]) if docs else np.zeros(0, np.int32)
+        self.inputs = np.roll(self.targets, 1)
+        self.inputs[self.starts] = end
+        self.fresh = np.zeros(len(self.targets), bool)
+        self.fresh[self.starts] = True
 
     def windows(self, width: int):
-        """(slice of steps, lanes that still have tokens)."""
-        for at in range(0, len(self.targets), width):
-            yield slice(at, at + width), int((self.lengths > at).sum())
+        """(places of the tokens, steps x lanes that still have some; whether there is one)."""
+        for at in range(0, int(self.lengths.max(initial=0)), width):
+            k = int((self.lengths > at).sum())
+            steps = np.arange(at, min(at + width, int(self.lengths[0])))[:, None]
+            live = steps < self.lengths[:k]
+            yield np.where(live, steps, 0) + self.begins[:k], live
 
 
 class Adam:
-    """Steps of one network, its gradients' norm bounded by 1."""
+    """Steps of one network, its gradients' norm bounded by 1. The network's parameters become views of one array."""
 
     def __init__(self, g: Gru):
-        self.g, self.step = g, 0
-        self.m, self.v = [np.zeros_like(p) for p in g.params()], [np.zeros_like(p) for p in g.params()]
+        self.step, at = 0, 0
+        self.flat = np.concatenate([p.reshape(-1) for p in g.params()])
+        for name, p in zip(("embed", "w", "u", "b", "classes", "words"), g.params()):
+            setattr(g, name, self.flat[at : at + p.size].reshape(p.shape))
+            at += p.size
+        self.m, self.v = np.zeros_like(self.flat), np.zeros_like(self.flat)
 
     def update(self, grads: list[np.ndarray], rate: float) -> None:
-        norm = math.sqrt(sum(float((x * x).sum()) for x in grads))
+        x, m, v = np.concatenate([x.reshape(-1) for x in grads]), self.m, self.v
         self.step += 1
-        for p, x, a, b in zip(self.g.params(), grads, self.m, self.v):
-            x = x * np.float32(min(1.0, 1.0 / (norm + 1e-9)))
-            a += np.float32(0.1) * (x - a)
-            b += np.float32(0.01) * (x * x - b)
-            p -= np.float32(rate) * (a / np.float32(1 - 0.9**self.step)) / (np.sqrt(b / np.float32(1 - 0.99**self.step)) + np.float32(1e-6))
+        x *= x.dtype.type(min(1.0, 1.0 / (math.sqrt(float(x @ x)) + 1e-9)))
+        y = x - m
+        y *= np.float32(0.1)
+        m += y
+        x *= x
+        x -= v
+        x *= np.float32(0.01)
+        v += x
+        np.multiply(v, np.float32(1 / (1 - 0.99**self.step)), out=x)
+        np.sqrt(x, out=x)
+        x += np.float32(1e-6)
+        np.divide(m, x, out=y)
+        y *= np.float32(rate / (1 - 0.9**self.step))
+        self.flat -= y
 
 
 def train(docs: list[np.ndarray], g: Gru, adam: Adam, rate: float) -> None:
     """One pass over the windows of docs."""
     lanes = Lanes(docs, TRAIN_LANES, g.size - 2)
-    h = np.zeros((lanes.targets.shape[1], g.hidden), np.float32)
-    for w, k in lanes.windows(WINDOW):
-        steps = np.arange(w.start, min(w.stop, len(lanes.targets)))[:, None]
-        grads, h, _ = train_step(g, lanes.inputs[w, :k], lanes.targets[w, :k], steps < lanes.lengths[None, :k], h[:k], lanes.fresh[w, :k])
+    h = np.zeros((g.hidden, len(lanes.lengths)), np.float32)
+    for at, live in lanes.windows(WINDOW):
+        grads, h, _ = train_step(g, lanes.inputs[at], lanes.targets[at], live, h[:, : at.shape[1]], lanes.fresh[at] & live)
         adam.update(grads, rate)
 
 
@@ -272,12 +329,11 @@ def train_on_all(learning: DataFrame, g: Gru, head, tag: str, total: int, key: s
         def run(batches, now=now, rate=rate):
             own, n = deepcopy(now.value), 0  # a worker's other tasks read the same value
             adam, vocabulary = Adam(own), worker_vocabulary(tag, head.value)
-            for whole in batches:
-                for at in range(0, whole.num_rows, 2048):
-                    docs = [model_ids(vocabulary.ids(words_of(t.as_py())), own) for t in whole.column(0).slice(at, 2048)]
-                    n += sum(map(len, docs))
-                    for _ in range(passes):
-                        train(docs, own, adam, rate)
+            for texts in small_enough(batches, 0):
+                docs = [model_ids(vocabulary.ids(words_of(t.as_py())), own) for t in texts.column(0)]
+                n += sum(map(len, docs))
+                for _ in range(passes):
+                    train(docs, own, adam, rate)
             if n:
                 flat = np.concatenate([x.reshape(-1) for x in own.params()])
                 parts = [flat[at : at + BLOCK].tobytes() for at in range(0, len(flat), BLOCK)]
@@ -303,17 +359,43 @@ def train_on_all(learning: DataFrame, g: Gru, head, tag: str, total: int, key: s
 
 def log_likelihoods(docs: list[np.ndarray], g: Gru, lanes: int = LANES) -> np.ndarray:
     """Natural log-likelihood of each document; the state runs through all its windows."""
-    lanes_, out = Lanes(docs, lanes, g.size - 2), np.zeros(len(docs))
-    table = g.embed @ g.w + g.b
-    h = np.zeros((lanes_.targets.shape[1], g.hidden), np.float32)
-    for w, k in lanes_.windows(WINDOW):
-        states, _, h = forward(g, table, lanes_.inputs[w, :k], h[:k], lanes_.fresh[w, :k])
-        live = np.arange(w.start, w.start + len(states))[:, None] < lanes_.lengths[None, :k]
-        logp = output(g, np.stack(states)[live], lanes_.targets[w, :k][live])
-        out += np.bincount(lanes_.owner[w, :k][live], weights=logp, minlength=len(docs))
+    laid, out = Lanes(docs, lanes, g.size - 2), np.zeros(len(docs))
+    h = np.zeros((g.hidden, len(laid.lengths)), np.float32)
+    by, by_token = weights(g), np.empty(len(laid.targets))
+    for at, live in laid.windows(WINDOW):
+        states, h, *_ = forward(by, laid.inputs[at], h[:, : at.shape[1]], laid.fresh[at] & live)
+        by_token[at[live]] = output(g, states.transpose(0, 2, 1)[live], laid.targets[at[live]])
+    if docs:
+        out[laid.order] = np.add.reduceat(by_token, laid.starts)
     return out
 
 
+def frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts) of the most frequent words, best first: all words of a count or none, ``most`` at most in all."""
+    n = F.col("n")
+    level = F.when(n < 4096, n).otherwise(F.lit(4096) + F.floor(F.log2("n") * 64)).cast("int")
+    sizes = sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True)  # some 8,000 rows at most
+    least, left = 1 << 30, most
+    for r in sizes:
+        if r["count"] > left:
+            break
+        least, left = r["level"], left - r["count"]
+    rows = counts.filter(level >= least).toPandas()  # ``most`` rows at most
+    rows = rows.sort_values(["n", "h"], ascending=[False, True])
+    return rows["h"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
+
+
+def small_enough(batches, column: int):
+    """The rows of batches in parts of about BATCH_BYTES of text: many documents side by side, and bounded memory."""
+    for b in batches:
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < b.num_rows:
+            end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + BATCH_BYTES, side="right")))
+            yield b.slice(at, end - at)
+            at = end
+
+
 class Vocabulary:
     """The head words by hash, as a worker uses them: word -> rank, or HEAD-size + hash for all others."""
 
@@ -364,9 +446,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
     side = max(CLASSES, math.ceil(distinct**0.25))
     if side > CLASSES:
         head = max(head, side * side - 2)
-    top = counts.orderBy(F.desc("n"), "h").limit(head).toPandas()  # the head's rows
-    hashes, freq = top["h"].to_numpy(np.int64), top["n"].to_numpy(np.int64)
-
+    hashes, freq = frequent(counts, head)
     g, tag = new_gru(classes=side, per_class=side), uuid.uuid4().hex
     shared_hashes = spark.sparkContext.broadcast(hashes)
     if n_docs:
@@ -383,22 +463,20 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
     def run(batches):
         g, logs = shared.value
         vocabulary = worker_vocabulary(tag, shared_hashes.value)
-        for whole in batches:
-            for at in range(0, whole.num_rows, 2048):
-                b = whole.slice(at, 2048)
-                tokens = [vocabulary.ids(words_of(t.as_py())) for t in b.column(1)]
-                likelihood = log_likelihoods([model_ids(x, g) for x in tokens], g) / ln10
-                rows = {"tokens": [], "heads": [], "base": [], "score": [], "rest": []}
-                for x, ll in zip(tokens, likelihood):
-                    of_head = x[x < n_head]
-                    rest = x[x >= n_head] - n_head
-                    unnamed = of_head[of_head >= named]
-                    rows["tokens"].append(len(x) + 1)
-                    rows["heads"].append(len(of_head))
-                    rows["base"].append(float(logs[of_head].sum()) - (len(x)) * math.log10(below) + end_cost)
-                    rows["score"].append(float(ll) + float(logs[unnamed].sum()) - (len(unnamed) + len(rest)) * math.log10(others))
-                    rows["rest"].append(rest)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows["tokens"], pa.int64()), pa.array(rows["heads"], pa.int64()), pa.array(rows["base"]), pa.array(rows["score"]), pa.array(rows["rest"], pa.list_(pa.int64()))], [key, "tokens", "heads", "base", "score", "rest"])
+        for b in small_enough(batches, 1):
+            tokens = [vocabulary.ids(words_of(t.as_py())) for t in b.column(1)]
+            likelihood = log_likelihoods([model_ids(x, g) for x in tokens], g) / ln10
+            rows = {"tokens": [], "heads": [], "base": [], "score": [], "rest": []}
+            for x, ll in zip(tokens, likelihood):
+                of_head = x[x < n_head]
+                rest = x[x >= n_head] - n_head
+                unnamed = of_head[of_head >= named]
+                rows["tokens"].append(len(x) + 1)
+                rows["heads"].append(len(of_head))
+                rows["base"].append(float(logs[of_head].sum()) - (len(x)) * math.log10(below) + end_cost)
+                rows["score"].append(float(ll) + float(logs[unnamed].sum()) - (len(unnamed) + len(rest)) * math.log10(others))
+                rows["rest"].append(rest)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows["tokens"], pa.int64()), pa.array(rows["heads"], pa.int64()), pa.array(rows["base"], pa.float64()), pa.array(rows["score"], pa.float64()), pa.array(rows["rest"], pa.list_(pa.int64()))], [key, "tokens", "heads", "base", "score", "rest"])
 
     ship(spark)
     scored = cut(docs.select(key, text).mapInArrow(run, f"{key} {kind}, tokens long, heads long, base double, score double, rest array<long>")).withColumn("_row", F.monotonically_increasing_id())
