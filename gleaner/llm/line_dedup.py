@@ -1,10 +1,15 @@
 """Content-defined line chunks: repeated multi-line passages are found whatever lines surround them.
 
 The lines of a text are hashed; a rolling hash over two successive line hashes
-says where a chunk ends, so boundaries depend on nearby content only and an
-inserted line shifts none but its own chunk.  Chunks of two or more lines that
-occur more than once in the corpus keep their first place (smallest doc_id, then
-earliest); later places are removed after their bytes were compared.
+says where a chunk ends, unless it said so of the line before, so boundaries depend
+on nearby content only, an inserted line shifts none but its own chunk, and a chunk
+has two lines at least (what a text ends with may be one line).  Chunks of two or more
+lines that occur more than once in the corpus keep their first place (smallest doc_id,
+then earliest); at later places they are removed after their bytes were compared.
+A passage seldom begins or ends with a chunk, so a removed chunk grows line by line
+over the chunks beside it, as far as these lines equal those beside the first place.
+Every removed line thus stands in a passage of two or more lines that is kept at an
+earlier place.
 
 Native: built-in expressions, joins and aggregates only.  Sixty-four-bit chunk
 hashes are counted first (numbers only, combined on the map side), so text moves
@@ -12,9 +17,12 @@ only for chunks whose hash is repeated.  A chunk that a third of all rows share
 is one row for each map task in the aggregate and is split in the join.
 
 Null and empty texts have no chunks and come back unchanged (a null stays null).
-Duplicate doc_ids are treated as one document's rows: each row is cut by the same
-rule.  Lines without a word end no chunk by themselves and count as lines.  Other
-columns of the input are kept; those with the name of a result are replaced.
+Rows are told apart by doc_id (null is an id like any other) and a 64-bit hash of the
+text: rows that agree in both are one document and come back alike; different texts
+under one id are different documents.  Lines without a word end no chunk by themselves
+and count as lines.  Other columns of the input are kept, whatever their names; those
+with the name of a result (n_lines, n_chunks, n_removed_chunks, n_removed_lines) are
+replaced.
 """
 
 from __future__ import annotations
@@ -22,87 +30,103 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: A chunk ends where the rolling hash is 0 modulo this: chunks have this many lines on average, and two at least.
-MEAN_LINES = 4
+#: A chunk ends where the rolling hash is 0 modulo this and was not at the line before: with 2, at every fourth line on average.
+MODULUS = 2
 #: Line hashes are the first 32 bits of MD5; the rolling hash is (previous * MULTIPLIER + this) modulo 2**32.
 MULTIPLIER = 31
 
+RESULTS = ("n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines")
 
-def chunked(df: DataFrame, text: str = "text", mean_lines: int = MEAN_LINES) -> DataFrame:
-    """df with ``_lines`` and ``_chunks``, an array of (first line, number of lines) of every chunk of two or more lines."""
-    lines = F.split(F.col(text), "\n", -1)
+
+def chunked(rows: DataFrame, modulus: int = MODULUS) -> DataFrame:
+    """rows (with a column ``text``) with ``lines`` and ``chunks``, an array of structs.
+
+    first, n: first line and number of lines of every chunk of two or more; p, q: lines of the chunks before and after it.
+    """
+    before = "get(ends, j - 1)"
     steps = [
-        ("_lines", F.when(F.length(text) > 0, lines)),
-        ("_h", F.expr("transform(_lines, x -> cast(conv(substring(md5(x), 1, 8), 16, 10) as bigint))")),
-        # ends: the line numbers (from 0) that close a chunk; the line before must be in the same chunk for two lines at least
-        (
-            "_ends",
-            F.expr(f"filter(sequence(0, size(_h) - 1), i -> i = size(_h) - 1 or (i > 0 and ((get(_h, i - 1) * {MULTIPLIER} + get(_h, i)) % 4294967296) % {mean_lines} = 0))"),
-        ),
-        ("_ends", F.expr("if(_lines is null, cast(array() as array<int>), _ends)")),
-        ("_chunks", F.expr("filter(transform(_ends, (e, j) -> named_struct('first', coalesce(get(_ends, j - 1) + 1, 0), 'n', e - coalesce(get(_ends, j - 1), -1))), c -> c.n >= 2)")),
+        ("lines", F.when(F.length("text") > 0, F.split("text", "\n", -1))),
+        ("h", F.expr("transform(lines, x -> cast(conv(substring(md5(x), 1, 8), 16, 10) as bigint))")),
+        ("says", F.expr(f"transform(h, (x, i) -> i > 0 and ((get(h, i - 1) * {MULTIPLIER} + x) % 4294967296) % {modulus} = 0)")),
+        ("ends", F.expr("filter(sequence(0, size(h) - 1), i -> i = size(h) - 1 or (get(says, i) and not get(says, i - 1)))")),
+        ("ends", F.expr("if(lines is null, cast(array() as array<int>), ends)")),
+        ("chunks", F.expr(f"transform(ends, (e, j) -> named_struct('first', coalesce({before} + 1, 0), 'n', e - coalesce({before}, -1), 'p', coalesce({before} - coalesce(get(ends, j - 2), -1), 0), 'q', coalesce(get(ends, j + 1) - e, 0)))")),
+        ("chunks", F.expr("filter(chunks, c -> c.n >= 2)")),
     ]
     for name, column in steps:
-        df = df.withColumn(name, column)
-    return df.drop("_h", "_ends")
+        rows = rows.withColumn(name, column)
+    return rows.drop("h", "says", "ends")
 
 
-def chunk_places(docs: DataFrame, key: str, text: str, mean_lines: int) -> DataFrame:
-    """(key, _first, _n, _hash) of every chunk: numbers only."""
-    # explode_outer: explode would make the optimizer copy the whole chunk expression into a filter below it
-    rows = chunked(docs.select(key, text), text, mean_lines).select(key, "_lines", F.explode_outer("_chunks").alias("_c")).filter("_c is not null")
-    return rows.select(key, F.col("_c.first").alias("_first"), F.col("_c.n").alias("_n"), F.xxhash64(_body("_c.first", "_c.n")).alias("_hash"))
+def identified(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(id, text, row): what a row is known by, and the whole row."""
+    body = F.col(f"`{text}`")
+    return docs.select(F.struct(F.col(f"`{key}`").alias("k"), F.xxhash64(body).alias("h")).alias("id"), body.alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
 
 
-def _body(first: str, n: str):
-    return F.array_join(F.slice("_lines", F.col(first) + 1, F.col(n)), "\n")
+def _lines(first: str, n: str):
+    return F.slice("lines", F.expr(first) + 1, F.expr(n))
 
 
-def repeated_chunks(docs: DataFrame, key: str = "doc_id", text: str = "text", mean_lines: int = MEAN_LINES) -> DataFrame:
-    """(key, _first, _n) of every place to remove: its bytes equal those of a chunk at an earlier place."""
-    rows = chunk_places(docs, key, text, mean_lines)
-    often = rows.groupBy("_hash").agg(F.count("*").alias("_times")).filter("_times > 1").select("_hash")
-    marked = rows.join(often, "_hash", "left_semi").groupBy(key).agg(F.collect_list(F.struct("_first", "_n", "_hash")).alias("_marks")).withColumnRenamed(key, "_key")
-    # a left join on purpose: the exchange of docs is the one that dedup_lines uses again
-    lines = docs.select(key, text).join(marked, F.col(key) == F.col("_key"), "left").select(key, F.split(text, "\n", -1).alias("_lines"), F.explode_outer("_marks").alias("_c"))
-    places = lines.filter("_c is not null").select(key, F.col("_c._first").alias("_first"), F.col("_c._n").alias("_n"), F.col("_c._hash").alias("_hash"), _body("_c._first", "_c._n").alias("_body"))
-    place = F.struct(F.col(key).alias("k"), F.col("_first").alias("l"))
-    first = places.groupBy("_hash", "_body").agg(F.min(place).alias("_keep"), F.count("*").alias("_times")).filter("_times > 1").select("_hash", "_body", "_keep")
-    later = places.alias("p").join(first.alias("f"), (F.col("p._hash") == F.col("f._hash")) & (F.col("p._body") == F.col("f._body")))
-    return later.filter((F.col(f"p.{key}") != F.col("f._keep.k")) | (F.col("p._first") != F.col("f._keep.l"))).select(F.col(f"p.{key}").alias(key), F.col("p._first").alias("_first"), F.col("p._n").alias("_n"))
-
-
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", mean_lines: int = MEAN_LINES) -> DataFrame:
-    """docs with later copies of repeated chunks removed from the text, and ``n_lines``, ``n_chunks``, ``n_removed_chunks``, ``n_removed_lines``.
+def repeated_passages(rows: DataFrame, modulus: int = MODULUS) -> DataFrame:
+    """(id, first, n) of every passage to remove, one for each repeated chunk; rows: (id, text)."""
+    # explode_outer: explode would make the optimizer copy the whole chunk expression into a filter below it
+    places = chunked(rows, modulus).select("id", "lines", F.explode_outer("chunks").alias("c")).filter("c is not null")
+    places = places.select("id", "c", F.xxhash64(F.array_join(_lines("c.first", "c.n"), "\n")).alias("hash"))
+    often = places.groupBy("hash").agg(F.count("*").alias("times")).filter("times > 1").select("hash")
+    marked = places.join(often, "hash", "left_semi").groupBy(F.col("id").alias("of")).agg(F.collect_set(F.struct("c", "hash")).alias("marks"))
+    # a left join on purpose: the exchange of rows is the one that dedup_lines uses again
+    whole = rows.join(marked, F.col("id") == F.col("of"), "left").select("id", F.split("text", "\n", -1).alias("lines"), F.explode_outer("marks").alias("m")).filter("m is not null")
+    found = whole.select("id", "m.hash", "m.c.first", "m.c.n", F.array_join(_lines("m.c.first", "m.c.n"), "\n").alias("body"), _lines("m.c.first - m.c.p", "m.c.p").alias("above"), _lines("m.c.first + m.c.n", "m.c.q").alias("below"))
+    place = F.struct("id", "first")
+    least = found.groupBy("hash", "body").agg(F.min(place).alias("keep"), F.min_by(F.struct("above", "below"), place).alias("beside"), F.count("*").alias("times")).filter("times > 1").drop("times")
+    later = found.join(least, ["hash", "body"]).filter((F.col("id") != F.col("keep.id")) | (F.col("first") != F.col("keep.first")))
+    alike = lambda side, sign: F.expr(
+        f"if(least(size({side}), size(beside.{side})) = 0, 0, coalesce(nullif(array_position(transform(sequence(1, least(size({side}), size(beside.{side}))), k -> element_at({side}, {sign}k) = element_at(beside.{side}, {sign}k)), false), 0) - 1, least(size({side}), size(beside.{side}))))"
+    )
+    later = later.select("id", "first", "n", alike("above", "-").cast("int").alias("up"), alike("below", "").cast("int").alias("down"))
+    return later.select("id", (F.col("first") - F.col("up")).alias("first"), (F.col("n") + F.col("up") + F.col("down")).alias("n"))
+
+
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", modulus: int = MODULUS) -> DataFrame:
+    """docs with later copies of repeated passages removed from the text, and ``n_lines``, ``n_chunks``, ``n_removed_chunks``, ``n_removed_lines``.
 
     A document that loses every line keeps its row with an empty text.
     """
-    gone = repeated_chunks(docs, key, text, mean_lines).groupBy(key).agg(F.collect_list(F.struct("_first", "_n")).alias("_gone")).withColumnRenamed(key, "_key")
-    out = chunked(docs.join(gone, F.col(key) == F.col("_key"), "left"), text, mean_lines)
+    rows = identified(docs, key, text)
+    gone = repeated_passages(rows.select("id", "text"), modulus).groupBy(F.col("id").alias("of")).agg(F.collect_list(F.struct("first", "n")).alias("gone"))
+    out = chunked(rows.join(gone, F.col("id") == F.col("of"), "left"), modulus)
     steps = [
-        ("n_lines", F.greatest(F.size("_lines"), F.lit(0)).cast("long")),
-        ("n_chunks", F.size("_chunks").cast("long")),
-        ("n_removed_chunks", F.greatest(F.size("_gone"), F.lit(0)).cast("long")),
-        ("_out", F.expr("flatten(transform(_gone, g -> sequence(g._first, g._first + g._n - 1)))")),
-        ("n_removed_lines", F.greatest(F.size("_out"), F.lit(0)).cast("long")),
-        (text, F.expr(f"if(_gone is null, `{text}`, array_join(transform(array_except(sequence(0, size(_lines) - 1), _out), i -> get(_lines, i)), '\\n'))")),
+        ("n_lines", F.greatest(F.size("lines"), F.lit(0)).cast("long")),
+        ("n_chunks", F.size("chunks").cast("long")),
+        ("n_removed_chunks", F.greatest(F.size("gone"), F.lit(0)).cast("long")),
+        ("out", F.expr("array_distinct(flatten(transform(gone, g -> sequence(g.first, g.first + g.n - 1))))")),
+        ("n_removed_lines", F.greatest(F.size("out"), F.lit(0)).cast("long")),
+        ("text", F.expr("if(gone is null, text, array_join(transform(array_except(sequence(0, size(lines) - 1), out), i -> get(lines, i)), '\\n'))")),
     ]
     for name, column in steps:
         out = out.withColumn(name, column)
-    return out.drop("_lines", "_chunks", "_gone", "_out", "_key")
+    kept = [F.col("text").alias(text) if c == text else F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in RESULTS or c == text]
+    return out.select(*kept, *[c for c in RESULTS if c != text])
 
 
-def oracle(mean_lines: int = MEAN_LINES) -> str:
+def oracle(modulus: int = MODULUS) -> str:
+    alike = lambda a, b, at, bt: f"coalesce(list_min(list_filter(range(1, least(len({a}), len({b})) + 1), lambda k: {a}[{at}] <> {b}[{bt}])) - 1, least(len({a}), len({b})))"
     return f"""
 WITH l AS (SELECT doc_id, text, CASE WHEN length(text) > 0 THEN string_split(text, chr(10)) END AS lines FROM documents),
 h AS (SELECT doc_id, i, lines[i] AS line, CAST('0x' || substr(md5(lines[i]), 1, 8) AS BIGINT) AS h, len(lines) AS n FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM l)),
-e AS (SELECT *, i = n OR coalesce((lag(h) OVER w * {MULTIPLIER} + h) % 4294967296 % {mean_lines} = 0, false) AS ends FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+s AS (SELECT *, coalesce((lag(h) OVER w * {MULTIPLIER} + h) % 4294967296 % {modulus} = 0, false) AS says FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+e AS (SELECT *, i = n OR (says AND NOT lag(says) OVER (PARTITION BY doc_id ORDER BY i)) AS ends FROM s),
 c AS (SELECT *, coalesce(sum(CAST(ends AS INT)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM e),
-k AS (SELECT doc_id, c, min(i) AS first, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body FROM c GROUP BY doc_id, c HAVING count(*) >= 2),
-r AS (SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, first) > 1 AS gone FROM k),
-kept AS (SELECT c.doc_id, string_agg(c.line, chr(10) ORDER BY c.i) AS body FROM c LEFT JOIN (SELECT doc_id, c FROM r WHERE gone) g ON c.doc_id = g.doc_id AND c.c = g.c WHERE g.c IS NULL GROUP BY c.doc_id),
-s AS (SELECT doc_id, count(*) AS n_chunks, count(*) FILTER (WHERE gone) AS n_removed_chunks, sum(n) FILTER (WHERE gone) AS n_removed_lines FROM r GROUP BY doc_id)
+a AS (SELECT doc_id, c, min(i) AS first, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body, list(line ORDER BY i) AS own FROM c GROUP BY doc_id, c),
+b AS (SELECT *, coalesce(lag(own) OVER w, []) AS above, coalesce(lead(own) OVER w, []) AS below FROM a WINDOW w AS (PARTITION BY doc_id ORDER BY c)),
+k AS (SELECT *, row_number() OVER w > 1 AS gone, first_value(above) OVER w AS up, first_value(below) OVER w AS down FROM b WHERE n >= 2 WINDOW w AS (PARTITION BY body ORDER BY doc_id, first)),
+g AS (SELECT doc_id, first - {alike('above', 'up', 'len(above) + 1 - k', 'len(up) + 1 - k')} AS x, first + n + {alike('below', 'down', 'k', 'k')} AS y FROM k WHERE gone),
+o AS (SELECT DISTINCT doc_id, i FROM (SELECT doc_id, unnest(range(x, y)) AS i FROM g)),
+kept AS (SELECT h.doc_id, string_agg(h.line, chr(10) ORDER BY h.i) AS body FROM h LEFT JOIN o ON h.doc_id = o.doc_id AND h.i = o.i WHERE o.i IS NULL GROUP BY h.doc_id),
+n AS (SELECT doc_id, count(*) AS n_chunks, count(*) FILTER (WHERE gone) AS n_removed_chunks FROM k GROUP BY doc_id),
+r AS (SELECT doc_id, count(*) AS n_removed_lines FROM o GROUP BY doc_id)
 SELECT l.doc_id, CAST(coalesce(len(l.lines), 0) AS BIGINT) AS n_lines, CAST(coalesce(n_chunks, 0) AS BIGINT) AS n_chunks, CAST(coalesce(n_removed_chunks, 0) AS BIGINT) AS n_removed_chunks,
   CAST(coalesce(n_removed_lines, 0) AS BIGINT) AS n_removed_lines, sha256(coalesce(kept.body, '')) AS kept_sha256
-FROM l LEFT JOIN s USING (doc_id) LEFT JOIN kept USING (doc_id)
+FROM l LEFT JOIN n USING (doc_id) LEFT JOIN r USING (doc_id) LEFT JOIN kept USING (doc_id)
 """

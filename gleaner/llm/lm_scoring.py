@@ -13,10 +13,11 @@ token a probability and these add up to 1 over the known words and one unknown.
 Training is truncated backpropagation through windows of WINDOW tokens with Adam, over
 all tokens of all training documents: in each of ROUNDS rounds every task trains a copy
 of the network on its share of the documents, and the copies are averaged by their
-tokens.  The named words grow as the square root of the number of distinct ones.  The
-score depends on how rows are dealt to tasks.  Scoring carries the state from
-window to window, so a document's log-likelihood is that of its complete text.
-Documents of a batch run side by side in lanes.
+tokens.  In training a document of more than STRETCH tokens is several stretches, each
+read from an empty state.  The named words grow as the square root of the number of
+distinct ones.  The score depends on how rows are dealt to tasks.  Scoring carries the
+state from window to window, so a document's log-likelihood is that of its complete
+text, however long.  Documents of a batch run side by side in lanes.
 
 A null text is an empty text: one token, the end.  Without training documents
 (N = 0) all counts are 0 and the network stays as it was initialised.  Rows with an
@@ -46,11 +47,11 @@ HEAD = 200_000
 CLASSES, PER_CLASS, HIDDEN = 32, 32, 24
 WINDOW, LANES = 24, 256
 TRAIN_LANES = 256
-#: Bytes of text whose documents run side by side.
-BATCH_BYTES = 16 << 20
+#: Bytes of text whose documents run side by side; tokens that one lane takes of a document in training.
+BATCH_BYTES, STRETCH = 32 << 20, 1536
 #: Each round trains on another share of the documents.
 ROUNDS, RATE = 4, 0.01
-#: A task learns from as many tokens as these, where there are so many; fewer in all are gone through again, up to PASSES times.
+#: A task learns from as many tokens as these in a round, where there are so many; fewer in all are gone through again, up to PASSES times.
 TASK_TOKENS, FEW_TOKENS, PASSES = 1_000_000, 2_000_000, 8
 #: Numbers of a network that are averaged as one row.
 BLOCK = 4096
@@ -310,8 +311,8 @@ class Adam:
 
 
 def train(docs: list[np.ndarray], g: Gru, adam: Adam, rate: float) -> None:
-    """One pass over the windows of docs."""
-    lanes = Lanes(docs, TRAIN_LANES, g.size - 2)
+    """One pass over the windows of docs. Long documents are read by stretches side by side, each from an empty state."""
+    lanes = Lanes([x[at : at + STRETCH] for x in docs for at in range(0, len(x), STRETCH)], TRAIN_LANES, g.size - 2)
     h = np.zeros((g.hidden, len(lanes.lengths)), np.float32)
     for at, live in lanes.windows(WINDOW):
         grads, h, _ = train_step(g, lanes.inputs[at], lanes.targets[at], live, h[:, : at.shape[1]], lanes.fresh[at] & live)
@@ -321,7 +322,7 @@ def train(docs: list[np.ndarray], g: Gru, adam: Adam, rate: float) -> None:
 def train_on_all(learning: DataFrame, g: Gru, head, tag: str, total: int, key: str, text: str) -> int:
     """Trains g on all rows of learning, which have total tokens; the number of tokens seen. head: the broadcast hashes of the head words."""
     spark, seen = learning.sparkSession, 0
-    tasks, passes = max(1, total // TASK_TOKENS), max(1, min(PASSES, -(-FEW_TOKENS // max(1, total))))
+    tasks, passes = max(1, total // (ROUNDS * TASK_TOKENS)), max(1, min(PASSES, -(-FEW_TOKENS // max(1, total))))
     ship(spark)
     for number in range(ROUNDS):
         now, rate = spark.sparkContext.broadcast(g), RATE * (1 - 0.9 * number / ROUNDS)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import cut, let_go
+from gleaner.llm.common import cut, let_go, stash
 from gleaner.llm.components import components
 from gleaner.session import ship
 
@@ -150,21 +150,21 @@ def other_pairs(members: DataFrame, found: DataFrame, similarity: float) -> Data
 
 
 def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(key, component) of every row whose text is like another's: Jaccard similarity of the shingle sets of at least ``similarity``.
-
-    Equal texts are one row first.  Texts meet by keys of least hashes: unlike texts
-    share none by chance, however many there are.  All pairs of a key are compared on
-    their shingles, save those already in one group: its least member with the others
-    first, then all pairs of members that this has left in different groups.  Sizes
-    that rule the similarity out need no comparison.  Rows without a like are left out.
+    """(h1, h2, key, component, keeper) of every text under every key, for texts that are like another's.
+
+    Alike: equal, or with a Jaccard similarity of the shingle sets of at least ``similarity``.  h1, h2: hashes of a
+    text; component: the least (key, h1) of its group; keeper: whether the row is that one.  Equal texts are one row
+    first, known by h1.  Texts meet by keys of least hashes: unlike texts share none by chance, however many there
+    are.  All pairs of a key are compared on their shingles, save those already in one group: its least member with
+    the others first, then all pairs of members that this has left in different groups.  Sizes that rule the
+    similarity out need no comparison.  Texts without words are like equal ones only; null texts, and texts without a
+    key, are like nothing.
     """
     ship(docs.sparkSession)
-    kind = dict(docs.dtypes)[key]
-    body = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    same = body.select("id", F.xxhash64("t").alias("h1"), F.xxhash64(F.lit(1), "t").alias("h2"))
-    first = cut(same.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.count("*").alias("n")))
-    copies = same.join(first.filter("n > 1"), ["h1", "h2"]).select("id", "first")
-    texts = body.join(first.select(F.col("first").alias("id")), "id", "left_semi")
+    body = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("t")).filter("t is not null and key is not null")
+    same = body.select("key", *text_hashes("t"))
+    first = cut(same.groupBy("h1", "h2").agg(F.min("key").alias("first"), F.countDistinct("key").alias("n")))
+    texts = body.withColumn("h1", text_hashes("t")[0]).join(first.select(F.col("first").alias("key"), "h1"), ["key", "h1"], "left_semi").select(F.col("h1").alias("id"), "t")
 
     def run(batches):
         let_go()
@@ -172,7 +172,7 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
             sets = [shingle_set(t.as_py(), shingle) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([band_keys(x) for x in sets], pa.list_(pa.int64()))], ["id", "n", "keys"])
 
-    keyed = cut(texts.mapInArrow(run, f"id {kind}, n long, keys array<long>"))
+    keyed = cut(texts.mapInArrow(run, "id long, n long, keys array<long>").filter("n > 0"))
     members = keyed.select("id", "n", F.explode("keys").alias("key"))
     hubs = members.groupBy("key").agg(F.min(F.struct("id", "n")).alias("hub"), F.count("*").alias("times")).filter("times > 1").drop("times")
     members = cut(members.join(hubs, "key"))
@@ -181,12 +181,14 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
     wanted = members.select("id").distinct()
 
     def shingles(batches):
+        let_go()
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t.as_py(), shingle).tobytes() for t in b.column(1)], pa.binary())], ["id", "s"])
 
-    sets = cut(texts.join(wanted, "id", "left_semi").mapInArrow(shingles, f"id {kind}, s binary"))
+    sets = stash(texts.join(wanted, "id", "left_semi").mapInArrow(shingles, "id long, s binary"))
 
     def verify(batches):
+        let_go()
         for b in batches:
             keep = []
             for x, y in zip(b.column(2), b.column(3)):
@@ -196,14 +198,29 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
             yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(keep, pa.bool_())), b.column(1).filter(pa.array(keep, pa.bool_()))], ["a", "b"])
 
     side = lambda name: sets.select(F.col("id").alias(name), F.col("s").alias(f"s{name}"))
-    checked = lambda pairs: cut(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInArrow(verify, f"a {kind}, b {kind}"))
+    checked = lambda pairs: cut(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInArrow(verify, "a long, b long"))
     near = checked(first_pairs(members, similarity))
     near = near.unionAll(checked(other_pairs(members, components(near), similarity)))
-    edges = near.unionAll(copies.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")))
-    return components(edges).select(F.col("node").alias(key), "component")
+    roots = components(near).withColumnRenamed("node", "h1")
+    known = first.join(roots, "h1", "left").select("h1", "h2", "n", F.coalesce("component", "h1").alias("root"), F.struct(F.col("first").alias("key"), "h1").alias("own"))
+    groups = known.groupBy("root").agg(F.min("own").alias("least"), F.sum("n").alias("size")).filter("size > 1").drop("size")
+    known = known.join(groups, "root").select("h1", "h2", "least")
+    return same.distinct().join(known, ["h1", "h2"]).select("h1", "h2", F.col("key").alias(key), F.col("least.key").alias("component"), F.expr("h1 = least.h1 and key = least.key").alias("keeper"))
+
+
+def text_hashes(text: str):
+    """Two 64-bit hashes of a text."""
+    return F.xxhash64(F.col(text)).alias("h1"), F.xxhash64(F.lit(1), F.col(text)).alias("h2")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """docs without those that are like a document of smaller key in their group; all columns are kept."""
-    gone = similar_groups(docs, key, text, shingle, similarity).filter(F.col(key) != F.col("component")).select(key)
-    return docs.join(gone, key, "left_anti")
+    """docs without those that are like a document of smaller key in their group; all columns are kept, whatever their names.
+
+    Rows that repeat a document (its key and its text) stay or go with it; other texts under its key are documents of
+    their own.  Null texts and rows without a key stay, and so does one of several empty texts.
+    """
+    body = F.col(f"`{text}`")
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.xxhash64(body).alias("h1"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), body.isNull().alias("none"))
+    gone = similar_groups(docs, key, text, shingle, similarity).filter("not keeper").select(F.col(key).alias("of"), F.col("h1").alias("h")).distinct()
+    same = (F.col("key") == F.col("of")) & (F.col("h1") == F.col("h")) & ~F.col("none")
+    return rows.join(gone, same, "left_anti").select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

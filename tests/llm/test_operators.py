@@ -179,12 +179,22 @@ def test_similar_groups(table):
         texts.append(" ".join(w))
         w[rng.randrange(300)] = "new"
         texts.append(" ".join(w))
-    texts += [texts[0], "", None, "short one", "short one"]
+    texts += [texts[0], "", None, "short one", "short one", " ", "\n", "", None]
     kept = {r["doc_id"] for r in simhash.keep_one(table(texts)).collect()}
-    assert kept == {*range(0, 24, 2), 25, 27}
+    assert kept == {*range(0, 24, 2), 25, 26, 27, 29, 30, 32}
     assert simhash.keep_one(table([])).collect() == []
 
 
+def test_keep_one_of_rows_with_one_id(spark):
+    rng = random.Random(13)
+    a, b, c = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(50)) for _ in range(3))
+    rows = [(1, a, 1), (2, a, 2), (2, b, 3), (2, b, 4), (3, b + " more", 5), (None, c, 6), (4, c, 7), (None, None, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, h1 long").withColumn("key", F.lit(0)).withColumn("row", F.lit(0)).withColumn("component", F.lit(0))
+    out = simhash.keep_one(docs)
+    assert out.columns == docs.columns
+    assert sorted(r["h1"] for r in out.collect()) == [1, 3, 4, 6, 7, 8]
+
+
 def test_components_of_a_chain(spark):
     df = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 100), (60, 50), (50, 60)], "a long, b long")
     got = {r["node"]: r["component"] for r in components.components(df).collect()}
@@ -214,40 +224,80 @@ def test_pairs_behind_an_unlike_least_member_are_compared(spark):
 # --- 4 line dedup ----------------------------------------------------------------------------
 
 
+def chunks_of(lines):
+    h = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
+    says = [i > 0 and (h[i - 1] * 31 + h[i]) % 2**32 % 2 == 0 for i in range(len(h))]
+    out, at = [], 0
+    for i in range(len(lines)):
+        if i == len(lines) - 1 or (says[i] and not says[i - 1]):
+            out.append((at, i + 1))
+            at = i + 1
+    return out
+
+
+def brute_lines(rows):
+    """For (key, text) in order: (kept text, chunks, removed chunks, removed lines)."""
+    parts, first, gone, n_gone = [], {}, [set() for _ in rows], [0] * len(rows)
+    for d, (_, t) in enumerate(rows):
+        lines = t.split("\n") if t else []
+        parts.append((lines, chunks_of(lines)))
+        for j, (a, b) in enumerate(parts[d][1]):
+            if b - a >= 2:
+                first.setdefault("\n".join(lines[a:b]), (d, j))
+    for d, (lines, chunks) in enumerate(parts):
+        for j, (a, b) in enumerate(chunks):
+            if b - a < 2 or first["\n".join(lines[a:b])] == (d, j):
+                continue
+            o, k = first["\n".join(lines[a:b])]
+            there, (x, y) = parts[o][0], parts[o][1][k]
+            n_gone[d] += 1
+            up = down = 0
+            while j and k and up < min(a - chunks[j - 1][0], x - parts[o][1][k - 1][0]) and lines[a - 1 - up] == there[x - 1 - up]:
+                up += 1
+            while j + 1 < len(chunks) and k + 1 < len(parts[o][1]) and down < min(chunks[j + 1][1] - b, parts[o][1][k + 1][1] - y) and lines[b + down] == there[y + down]:
+                down += 1
+            gone[d] |= set(range(a - up, b + down))
+    return [(t if t is None else "\n".join(x for i, x in enumerate(p[0]) if i not in g), sum(b - a >= 2 for a, b in p[1]), n, len(g)) for (_, t), p, g, n in zip(rows, parts, gone, n_gone)]
+
+
 def test_line_dedup_matches_brute_force(table):
     rng = random.Random(7)
-    shared = [f"shared line {i} of the notice" for i in range(12)]
+    shared = [[f"shared line {i} of notice {k}" for i in range(12)] for k in range(8)]
     texts = list(ODD)
-    for i in range(30):
+    for i in range(60):
         lines = [prose(rng, 5) for _ in range(rng.randint(1, 8))]
         if i % 2:
-            lines[1:1] = shared
+            lines[1:1] = rng.choice(shared)
+        if i % 5 == 0:
+            lines += lines
         texts.append("\n".join(lines))
     texts.append(texts[12])
-    got = {r["doc_id"]: r for r in line_dedup.dedup_lines(table(texts).withColumn("n_chunks", F.lit("mine"))).collect()}
-    seen, removed = set(), 0
-    for k, t in enumerate(texts):
-        lines = t.split("\n") if t else []
-        h = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
-        chunks, at = [], 0
-        for i in range(len(lines)):
-            if i == len(lines) - 1 or (i and (h[i - 1] * 31 + h[i]) % 2**32 % 4 == 0):
-                chunks.append(lines[at : i + 1])
-                at = i + 1
-        kept = []
-        for c in chunks:
-            body = "\n".join(c)
-            if len(c) >= 2 and body in seen:
-                removed += 1
-                continue
-            if len(c) >= 2:
-                seen.add(body)
-            kept += c
-        assert got[k]["text"] == (t if t is None else "\n".join(kept)), k
-    assert removed > 10 and sum(r["n_removed_chunks"] for r in got.values()) == removed
+    docs = table(texts).withColumn("n_chunks", F.lit("mine"))
+    for name in ("_key", "_gone", "lines", "row", "id", "of", "chunks"):
+        docs = docs.withColumn(name, F.lit(name))
+    rows = line_dedup.dedup_lines(docs).collect()
+    got = {r["doc_id"]: r for r in rows}
+    want = brute_lines(list(enumerate(texts)))
+    assert [(got[k]["text"], got[k]["n_chunks"], got[k]["n_removed_chunks"], got[k]["n_removed_lines"]) for k in range(len(texts))] == want
+    assert sum(w[2] for w in want) > 40 and all(b - a >= 2 for t in texts[9:] for a, b in chunks_of(t.split("\n"))[:-1])
+    assert all(r[name] == name for r in rows for name in ("_key", "_gone", "lines", "row", "id", "of", "chunks"))
+    # of a shared notice little is left but at its first place
+    left = sum(got[k]["text"].count("shared line") for k in range(len(texts)) if texts[k] is not None)
+    assert left <= 12 * 8 + 12
     assert line_dedup.dedup_lines(table([])).collect() == []
 
 
+def test_line_dedup_of_rows_with_one_id(spark):
+    rng = random.Random(8)
+    text = lambda: "\n".join(f"{rng.random()} line" for _ in range(20))
+    a, b, c = text(), text(), text()
+    rows = [(1, a), (2, a), (2, b), (2, b), (None, c), (None, None), (3, c)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    left = Counter((r["doc_id"], r["text"]) for r in got)
+    assert left[(1, a)] == 1 and left[(2, b)] == 2 and left[(None, c)] == 1 and left[(None, None)] == 1
+    assert all(len(t) < 200 for (k, t), _ in left.items() if k == 3 or (k == 2 and t != b))
+
+
 # --- 5 vectors -------------------------------------------------------------------------------
 
 
@@ -273,6 +323,63 @@ def test_vector_links(spark):
     assert vector_graph.link_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
 
 
+def components_of(n, pairs):
+    root = list(range(n))
+    for a, b in pairs:
+        while root[a] != a:
+            a = root[a]
+        while root[b] != b:
+            b = root[b]
+        root[max(a, b)] = min(a, b)
+    return [next(x for x in iter(lambda k=[i]: k.__setitem__(0, root[k[0]]) or k[0], None) if root[x] == x) for i in range(n)]
+
+
+def test_vector_links_and_components_of_many_dimensions(spark):
+    rng = np.random.default_rng(9)
+    centres = rng.standard_normal((150, 64))
+    v = np.concatenate([c + rng.choice([0.15, 0.3, 0.36]) * rng.standard_normal((rng.integers(1, 12), 64)) for c in centres] + [rng.standard_normal((900, 64))]).astype(np.float32)
+    v = v[rng.permutation(len(v))]
+    got = {r["vec_id"]: r for r in vector_graph.link_vectors(spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>"), min_shards=4).collect()}
+    u = v.astype(np.float64)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    link = u @ u.T >= 0.9
+    np.fill_diagonal(link, False)
+    n = [got[i]["n_links"] for i in range(len(v))]
+    assert link.sum() > 1000 and all(a <= b for a, b in zip(n, link.sum(1))) and sum(n) >= 0.99 * link.sum()
+    want = components_of(len(v), np.argwhere(np.triu(link)).tolist())
+    assert np.mean([got[i]["component_id"] == want[i] for i in range(len(v))]) >= 0.99
+
+
+def test_vector_audit_sees_what_searches_miss():
+    rng = np.random.default_rng(10)
+    v = rng.standard_normal((600, 32))
+    v[300:] = v[:300] + 0.05 * rng.standard_normal((300, 32))
+    _, single = vector_graph.units(v)
+    graph = vector_graph.Graph(single)
+    for _, layer in graph.layers:
+        layer.links[:] = -1  # searches lead nowhere
+    assert graph.audit(0.9) == 1.0 and graph.exact
+    pairs = {(int(a), int(b)) for q, c in graph.near(single, 0.9) for a, b in zip(q, c)}
+    assert all((i, i + 300) in pairs for i in range(300))
+
+
+def test_vectors_alike_take_bounded_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(12)
+    _, single = vector_graph.units(rng.standard_normal((1, 16)) + 0.01 * rng.standard_normal((12_000, 16)))
+    graph = vector_graph.Graph.__new__(vector_graph.Graph)
+    graph.vectors, graph.beam, graph.m, graph.exact = single, 24, 12, False
+    layer = vector_graph.Layer(len(single), 24)
+    layer.links[:] = (np.arange(len(single))[:, None] + np.r_[1:25]) % len(single)
+    graph.layers = [(np.arange(len(single)), layer)]
+    tracemalloc.start()
+    found = sum(len(q) for q, _ in graph.near(single[: graph.block()], 0.9))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == graph.block() * len(single) and peak < 200 << 20
+
+
 # --- 6 language ID ---------------------------------------------------------------------------
 
 
@@ -440,6 +547,44 @@ def test_lm_learns_from_all_documents(table):
     assert mean[True] / 21 > -0.25 and mean[False] / 21 > -0.25
 
 
+def test_lm_scores_held_out_texts_better_than_counts_do(table):
+    rng = random.Random(17)
+    follow = {w: rng.sample([f"w{i}" for i in range(60)], 3) for w in [f"w{i}" for i in range(60)]}
+
+    def text():
+        w = rng.choice(list(follow))
+        out = [w]
+        for _ in range(rng.randint(5, 60)):
+            out.append(rng.choice(follow[out[-1]]))
+        return " ".join(out)
+
+    rows = [r for r in lm_scoring.score(table([text() for _ in range(1200)])).collect() if r["held_out"]]
+    assert len(rows) > 60
+    assert sum(r["score"] for r in rows) > 0.85 * sum(r["base_score"] for r in rows)
+
+
+def test_lm_takes_memory_by_tokens():
+    import tracemalloc
+
+    g = lm_scoring.new_gru(4, 3, 4)
+    docs = [np.append(np.random.default_rng(i).integers(0, 10, n), 10).astype(np.int32) for i, n in enumerate([120_000, *[20] * 255])]
+    tracemalloc.start()
+    alone = lm_scoring.log_likelihoods(docs, g)
+    lm_scoring.train(docs, g, lm_scoring.Adam(g), 0.01)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (alone < 0).all() and peak < 40 << 20
+
+
+def test_frequent_words(spark):
+    counts = spark.createDataFrame([(i, n) for i, n in enumerate([9, 9, 9, 5, 5, 5000, 70000, 1, 1, 1, 1])], "h long, n long")
+    for most in range(12):
+        h, n = lm_scoring.frequent(counts, most)
+        want = next(k for k in (11, 7, 5, 2, 1, 0) if k <= most)
+        assert n.tolist() == [70000, 5000, 9, 9, 9, 5, 5, 1, 1, 1, 1][:want] and len(set(h.tolist())) == want
+    assert len(lm_scoring.frequent(counts.limit(0), 5)[0]) == 0
+
+
 def test_gru_gradients():
     g = lm_scoring.new_gru(4, 3, 4)
     for name in ("embed", "w", "u", "b", "classes", "words"):
