@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import cut, let_go, stash
+from gleaner.llm.common import cut, let_go, release, stash
 from gleaner.llm.components import components
 from gleaner.session import ship
 
@@ -160,32 +160,38 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
     similarity out need no comparison.  Texts without words are like equal ones only; null texts, and texts without a
     key, are like nothing.
     """
-    ship(docs.sparkSession)
-    body = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("t")).filter("t is not null and key is not null")
-    same = body.select("key", *text_hashes("t"))
-    first = cut(same.groupBy("h1", "h2").agg(F.min("key").alias("first"), F.countDistinct("key").alias("n")))
-    texts = body.withColumn("h1", text_hashes("t")[0]).join(first.select(F.col("first").alias("key"), "h1"), ["key", "h1"], "left_semi").select(F.col("h1").alias("id"), "t")
+    spark = docs.sparkSession
+    ship(spark)
+    kind = dict(docs.dtypes)[key]
+    body = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("t")).filter("t is not null and key is not null").select("key", *text_hashes("t"), "t")
 
     def run(batches):
         let_go()
         for b in batches:
-            sets = [shingle_set(t.as_py(), shingle) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([band_keys(x) for x in sets], pa.list_(pa.int64()))], ["id", "n", "keys"])
-
-    keyed = cut(texts.mapInArrow(run, "id long, n long, keys array<long>").filter("n > 0"))
-    members = keyed.select("id", "n", F.explode("keys").alias("key"))
+            sets = [shingle_set(t.as_py(), shingle) for t in b.column(3)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([len(x) for x in sets], pa.int64()), pa.array([band_keys(x) for x in sets], pa.list_(pa.int64()))], ["key", "h1", "h2", "n", "keys"])
+
+    # texts are read where they lie, for their keys and for the shingles of those that meet: only the second time do they move
+    read = stash(body.mapInArrow(run, f"key {kind}, h1 long, h2 long, n long, keys array<long>"))
+    same = read.select("key", "h1", "h2")
+    first = stash(read.groupBy("h1", "h2").agg(F.min("key").alias("first"), F.max("key").alias("last"), F.first("n").alias("n"), F.first("keys").alias("keys")))
+    release(spark)
+    members = first.filter("n > 0").select(F.col("h1").alias("id"), "n", F.explode("keys").alias("key"))
     hubs = members.groupBy("key").agg(F.min(F.struct("id", "n")).alias("hub"), F.count("*").alias("times")).filter("times > 1").drop("times")
-    members = cut(members.join(hubs, "key"))
+    members = stash(members.join(hubs, "key"))
+    release(spark)
 
     # the shingles of the texts that share a key
-    wanted = members.select("id").distinct()
+    wanted = members.select("id").distinct().join(first.select(F.col("h1").alias("id"), F.col("first").alias("key")), "id")
 
     def shingles(batches):
         let_go()
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t.as_py(), shingle).tobytes() for t in b.column(1)], pa.binary())], ["id", "s"])
 
-    sets = stash(texts.join(wanted, "id", "left_semi").mapInArrow(shingles, "id long, s binary"))
+    texts = body.select("key", F.col("h1").alias("id"), "t").join(wanted, ["key", "id"], "left_semi").select("id", "t")
+    sets = stash(texts.mapInArrow(shingles, "id long, s binary").dropDuplicates(["id"]))
+    release(spark)
 
     def verify(batches):
         let_go()
@@ -202,8 +208,8 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
     near = checked(first_pairs(members, similarity))
     near = near.unionAll(checked(other_pairs(members, components(near), similarity)))
     roots = components(near).withColumnRenamed("node", "h1")
-    known = first.join(roots, "h1", "left").select("h1", "h2", "n", F.coalesce("component", "h1").alias("root"), F.struct(F.col("first").alias("key"), "h1").alias("own"))
-    groups = known.groupBy("root").agg(F.min("own").alias("least"), F.sum("n").alias("size")).filter("size > 1").drop("size")
+    known = first.join(roots, "h1", "left").select("h1", "h2", F.expr("if(first = last, 1, 2)").alias("size"), F.coalesce("component", "h1").alias("root"), F.struct(F.col("first").alias("key"), "h1").alias("own"))
+    groups = known.groupBy("root").agg(F.min("own").alias("least"), F.sum("size").alias("size")).filter("size > 1").drop("size")
     known = known.join(groups, "root").select("h1", "h2", "least")
     return same.distinct().join(known, ["h1", "h2"]).select("h1", "h2", F.col("key").alias(key), F.col("least.key").alias("component"), F.expr("h1 = least.h1 and key = least.key").alias("keeper"))
 
