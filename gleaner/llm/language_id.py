@@ -35,6 +35,8 @@ BLOCK = 1 << 13
 SHARPNESS = 60.0
 #: Characters that are hashed at a time.
 CHUNK = 1 << 17
+#: Rows whose texts are held at a time.
+ROWS = 512
 
 
 @lru_cache(maxsize=1)
@@ -88,7 +90,7 @@ def train(rows: DataFrame, lang: str = "lang", text: str = "text", alpha: float
         let_go()
         counts: dict[str, np.ndarray] = {}
         n: dict[str, int] = {}
-        for b in batches:
+        for b in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             parts: dict[str, list[str]] = {}
             for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 parts.setdefault(k, []).append(t)
@@ -175,7 +177,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], key: str = "do
     def run(batches):
         let_go()
         names, table = shared.value
-        for b in batches:
+        for b in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             texts = b.column(1).to_pylist()
             lettered = [bool(names) and t is not None and has_letter(t) for t in texts]
             means, sizes = score_texts([t if ok else "" for t, ok in zip(texts, lettered)], table)

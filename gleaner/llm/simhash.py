@@ -106,6 +106,8 @@ def to_hex(column):
 #: For similarity of sets of shingles: keys of a text, and least hashes in each. A pair at 0.8 has none in common with probability
 #: (1 - 0.8**5)**48 = 5e-9, whatever the number of texts.
 BANDS, BAND_ROWS = 48, 5
+#: Where rounds of comparing a key's least member with the others begin and end.
+ROUNDS = (0, 1, 4, 16, BANDS)
 _MASKS = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * BAND_ROWS), np.uint64, endpoint=False)
 
 
@@ -139,6 +141,14 @@ def first_pairs(members: DataFrame, similarity: float) -> DataFrame:
     return members.filter((F.col("id") != F.col("hub.id")) & like).select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct()
 
 
+def apart(pairs: DataFrame, found: DataFrame | None) -> DataFrame:
+    """pairs (a, b) that ``found`` (node, component) has not joined yet."""
+    if found is None:
+        return pairs
+    group = lambda x: found.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))
+    return pairs.join(group("a"), "a", "left").join(group("b"), "b", "left").filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+
+
 def other_pairs(members: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
     """(a, b): all pairs of a key but those that ``found`` (node, component) has joined already and those of ``first_pairs``."""
     marked = members.join(found.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", F.col("hub.id").alias("hub"), F.coalesce("component", "id").alias("c"))
@@ -176,7 +186,7 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
     same = read.select("key", "h1", "h2")
     first = stash(read.groupBy("h1", "h2").agg(F.min("key").alias("first"), F.max("key").alias("last"), F.first("n").alias("n"), F.first("keys").alias("keys")))
     release(spark)
-    members = first.filter("n > 0").select(F.col("h1").alias("id"), "n", F.explode("keys").alias("key"))
+    members = first.filter("n > 0").select(F.col("h1").alias("id"), "n", F.posexplode("keys").alias("band", "key"))
     hubs = members.groupBy("key").agg(F.min(F.struct("id", "n")).alias("hub"), F.count("*").alias("times")).filter("times > 1").drop("times")
     members = stash(members.join(hubs, "key"))
     release(spark)
@@ -205,8 +215,13 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
 
     side = lambda name: sets.select(F.col("id").alias(name), F.col("s").alias(f"s{name}"))
     checked = lambda pairs: cut(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInArrow(verify, "a long, b long"))
-    near = checked(first_pairs(members, similarity))
-    near = near.unionAll(checked(other_pairs(members, components(near), similarity)))
+    # the first keys join most of a large group, so that the others have little to compare
+    near = found = None
+    for low, high in zip(ROUNDS, ROUNDS[1:]):
+        met = checked(apart(first_pairs(members.filter(F.col("band").between(low, high - 1)), similarity), found))
+        near = met if near is None else near.unionAll(met)
+        found = cut(components(near))
+    near = near.unionAll(checked(other_pairs(members, found, similarity)))
     roots = components(near).withColumnRenamed("node", "h1")
     known = first.join(roots, "h1", "left").select("h1", "h2", F.expr("if(first = last, 1, 2)").alias("size"), F.coalesce("component", "h1").alias("root"), F.struct(F.col("first").alias("key"), "h1").alias("own"))
     groups = known.groupBy("root").agg(F.min("own").alias("least"), F.sum("size").alias("size")).filter("size > 1").drop("size")
