@@ -119,3 +119,11 @@ COMPATIBLE_TYPES = (
 )
 AMBIGUOUS_TERMS = ("这个", "那个", "它们", "something", "things")
 # End of the fixed values.
+
+# Kinds of relations between facts that make one depend on the other, or set them against each other.
+DEPENDS_RELATIONS = ("causes", "depends_on", "supports", "requires")
+CONTRAST_RELATIONS = ("contrasts", "compares", "tradeoff")
+# Lines that hold one of these are no knowledge of a section.
+KNOWLEDGE_NOISE = ("provided proper attribution", "copyright", "permission to make", "journalistic or scholarly works", "google hereby grants permission")
+# Compact labels of events.
+EVENT_LABELS = ("chunk 级问题生成", "概念-事实图构建与事实组合", "fact 的 evidence 支持约束", "structure mapping, extraction, and QA generation", "文档外知识限制")

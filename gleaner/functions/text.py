@@ -1,4 +1,4 @@
-"""Text rules as Spark columns: built-in expressions only, so they stay in generated code.
+"""Text rules as Spark columns: built-in expressions only, no Python at run time (lambdas over arrays are interpreted by the JVM).
 
 Every function takes and gives columns; null text gives null unless said otherwise.
 """
@@ -143,6 +143,68 @@ def is_noise_line(c: Column) -> Column:
     return F.contains(c, F.lit("@")) | _any(F.lower(c), L.NOISE_PHRASES)
 
 
+#: Where Python's splitlines ends a line.
+LINE_ENDS = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
+
+
+def unwrap_lines(c: Column) -> Column:
+    """Hard-wrapped lines as one line for each paragraph; headings, list items and short lines keep their breaks.
+
+    Words that a hyphen cuts at the end of a line are whole again.
+    """
+    whole = F.regexp_replace(F.replace(c, F.lit("\r\n"), F.lit("\n")), r"(?U)(\w)-\n(\w)", "$1$2")
+
+    def joined(block: Column) -> Column:
+        lines = F.filter(F.transform(F.split(block, LINE_ENDS), lambda x: strip(x)), lambda x: x != "")
+        keeps = lambda done, x: x.rlike(r"(?U)^(?:#{1,6}\s+|\d+[.)]\s+)") | (is_upper(x) & (F.length(x) <= 80)) | (F.greatest(F.length(done), F.length(x)) < 40)
+        return F.aggregate(lines, F.lit(""), lambda done, x: F.when(done == "", x).otherwise(F.concat(done, F.when(keeps(done, x), "\n").otherwise(" "), x)))
+
+    blocks = F.split(whole, rf"\n{WS}*\n")
+    return F.array_join(F.filter(F.transform(blocks, joined), lambda x: x != ""), "\n\n")
+
+
+def without_lines(c: Column, phrases: Sequence[str]) -> Column:
+    """The lines of a text without addresses and without those that hold a phrase."""
+    return strip(F.array_join(F.filter(F.split(c, LINE_ENDS), lambda x: ~F.contains(x, F.lit("@")) & ~_any(F.lower(x), phrases)), "\n"))
+
+
+def clean_unit(c: Column) -> Column:
+    """A unit's text for evidence cards; the text itself if nothing would be left."""
+    return let(without_lines(unwrap_lines(c), L.UNIT_NOISE), lambda x: F.when(x != "", x).otherwise(c))
+
+
+def clean_for_knowledge(c: Column) -> Column:
+    """A section's text for concepts and facts: from an early 'Abstract' on, without addresses and notices; never nothing."""
+    at = F.instr(c, F.lit("Abstract"))
+    body = F.when(at.between(1, 2001), F.substring(c, at, F.length(c))).otherwise(c)
+    return unwrap_lines(let(without_lines(body, L.KNOWLEDGE_NOISE), lambda x: F.when(x != "", x).otherwise(c)))
+
+
+def _before(c: Column, pattern: str, flags: str = "") -> Column:
+    """What stands before the first place where the pattern matches; an empty text if nowhere."""
+    return F.regexp_extract(c, rf"(?isU{flags})\A(.*?){pattern}", 1)
+
+
+def trim_matter(c: Column) -> Column:
+    """A paper's text without what comes before its abstract, and without the references if these begin late."""
+    alone = r"(?:^|\n)\s*(?:references|bibliography)\s*(?:\n|$)"
+
+    def cut(t: Column) -> Column:
+        kept = F.when(t.rlike(f"(?iUmd){alone}"), _before(t, alone, "md")).otherwise(_before(t, r"\breferences\b"))
+        return let(kept, lambda x: F.when(F.length(x) > F.greatest(F.lit(2500), F.length(t) * 0.45), x).otherwise(t))
+
+    return let(F.substring(c, F.length(_before(F.substring(c, 1, 6000), r"\babstract\b")) + 1, F.length(c)), cut)
+
+
+def section_title(c: Column, ordinal: Column) -> Column:
+    """The first line if it is a heading, else the beginning of the first sentence, else a number."""
+    line = strip(F.get(F.split(c, LINE_ENDS), F.lit(0)))
+    sentence = strip(F.get(F.split(strip(c), rf"[。！？!?.]{WS}+", 2), F.lit(0)))
+    begun = trim_edges(F.substring(sentence, 1, 72))
+    other = let(begun, lambda x: F.when(x != "", x).otherwise(F.concat(F.lit("Semantic section "), ordinal.cast("string"))))
+    return let(line, lambda x: F.when(is_heading(x), F.substring(x, 1, 80)).otherwise(other))
+
+
 def is_card_sentence(c: Column) -> Column:
     return let(F.length(strip(c)), lambda n: (n <= 500) & F.when(contains_cjk(c), n >= 16).otherwise(n >= 35))
 
@@ -172,11 +234,11 @@ def event_label(c: Column) -> Column:
     raw = lambda t: F.contains(c, F.lit(t))
     return _cases(
         [
-            (has("chunk") & (raw("生成问题") | has("question")), "chunk 级问题生成"),
-            (has("concept") & has("fact") & (has("graph") | raw("图")), "概念-事实图构建与事实组合"),
-            (has("fact") & has("evidence") & (raw("不能") | has("must") | has("cannot")), "fact 的 evidence 支持约束"),
-            (has("pipeline") & has("qa"), "structure mapping, extraction, and QA generation"),
-            (raw("文档外知识"), "文档外知识限制"),
+            (has("chunk") & (raw("生成问题") | has("question")), L.EVENT_LABELS[0]),
+            (has("concept") & has("fact") & (has("graph") | raw("图")), L.EVENT_LABELS[1]),
+            (has("fact") & has("evidence") & (raw("不能") | has("must") | has("cannot")), L.EVENT_LABELS[2]),
+            (has("pipeline") & has("qa"), L.EVENT_LABELS[3]),
+            (raw("文档外知识"), L.EVENT_LABELS[4]),
         ],
         "",
     )
@@ -331,7 +393,8 @@ def json_object(c: Column) -> Column:
 
 def bounded(c: Column, default: float) -> Column:
     """A number in 0 to 1 from whatever was given, else the default."""
-    return F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), c.try_cast("double"))), F.lit(default))
+    number = c.try_cast("double")
+    return F.when(number.isNull() | F.isnan(number), F.lit(default)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), number)))
 
 
 def best_of_scores(centrality: Column, reasoning: Column, evidence: Column, novelty: Column, synthesis: Column) -> Column:

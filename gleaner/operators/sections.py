@@ -112,14 +112,13 @@ def semantic_sections(docs: DataFrame, settings: folds.Sectioning | None = None,
         for b in batches:
             rows = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                text = folds.clean_pages(text or "") if clean else text or ""
-                for i, (a, z, t, n) in enumerate(folds.Sectioner(text, settings).sections(), 1):
-                    title = folds.section_title(t, i)
-                    rows.append({"section_id": folds.stable_id("semsec", f"{doc}:{a}:{z}:{i}"), "doc_id": doc, "title": title, "level": 1, "section_path": [title], "text": t, "char_start": a, "char_end": z, "summary": t[:200].strip(), "keywords": folds.keywords(t), "ordinal": i, "sentence_count": n})
+                for i, (a, z, t, n) in enumerate(folds.Sectioner(text or "", settings).sections(), 1):
+                    rows.append({"section_id": folds.stable_id("semsec", f"{doc}:{a}:{z}:{i}"), "doc_id": doc, "title": None, "level": 1, "section_path": None, "text": t, "char_start": a, "char_end": z, "summary": t[:200].strip(), "keywords": folds.keywords(t), "ordinal": i, "sentence_count": n})
             yield pa.RecordBatch.from_pylist(rows, schema=_arrow_section())
 
     ship(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(run, SECTION)
+    found = (cleaned(docs) if clean else docs).select("doc_id", "text").mapInArrow(run, SECTION)
+    return found.withColumn("title", T.section_title(F.col("text"), F.col("ordinal"))).withColumn("section_path", F.array("title"))
 
 
 def _arrow_section():
@@ -130,25 +129,29 @@ def _arrow_section():
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
+    """docs with the text of their pages as paragraphs, from the abstract up to the references."""
     ship(docs.sparkSession)
-    fold = F.udf(lambda t: folds.clean_pages(t or ""), "string", useArrow=True)
-    return docs.withColumn("text", fold("text"))
+    fold = F.udf(lambda t: folds.pages_to_paragraphs(t or ""), "string", useArrow=True)
+    return docs.withColumn("text", fold("text")).withColumn("text", T.strip(T.trim_matter(F.col("text"))))
 
 
-def units(sections: DataFrame, most: int = 9000, prefix: str = "deep_sec") -> DataFrame:
-    """Sections cut at paragraphs to ``most`` characters, cleaned; each unit is a section of its own (unit_ord from 1)."""
+def units(sections: DataFrame, most: int = 9000, prefix: str = "deep_sec", clean=T.clean_unit) -> DataFrame:
+    """Sections cut at paragraphs to ``most`` characters, cleaned; each unit is a section of its own (unit_ord from 1).
+
+    Parts of a section are numbered in its title, and known by where they begin.
+    """
 
     def run(t: str):
-        return [(i, c, folds.clean_unit(x), len(x)) for i, (c, x) in enumerate(folds.pack_paragraphs(t or "", most), 1)]
+        return [(i, c, x) for i, (c, x) in enumerate(folds.pack_paragraphs(t or "", most), 1)]
 
     ship(sections.sparkSession)
-    cut = F.udf(run, "array<struct<unit_ord:int,cursor:int,text:string,raw_length:int>>", useArrow=True)
+    parts = F.udf(run, "array<struct<unit_ord:int,cursor:int,text:string>>", useArrow=True)
     words = F.udf(lambda t: folds.keywords(t or ""), "array<string>", useArrow=True)
-    rows = sections.withColumn("_u", F.explode(cut("text"))).withColumn("_split", F.length("text") > most)
-    ident = F.concat_ws(":", "section_id", F.col("_u.unit_ord").cast("string"), F.col("_u.cursor").cast("string"))
+    rows = sections.withColumn("_u", F.explode(parts("text"))).withColumn("_split", F.length("text") > most).withColumn("text", clean(F.col("_u.text")))
     start = F.col("char_start") + F.col("_u.cursor")
+    ident = F.concat_ws(":", "section_id", F.col("_u.unit_ord").cast("string"), start.cast("string"))
+    named = F.concat(F.coalesce(F.when(F.col("title") != "", F.col("title")), F.try_element_at("section_path", F.lit(-1)), F.lit("section")), F.lit(" ["), F.col("_u.unit_ord").cast("string"), F.lit("]"))
     return rows.select(
-        F.when(F.col("_split"), T.stable_id(prefix, ident)).otherwise(F.col("section_id")).alias("section_id"), "doc_id", "title", "level", "section_path",
-        F.col("_u.text").alias("text"), start.alias("char_start"), (start + F.length("_u.text")).alias("char_end"),
-        T.strip(F.substring("_u.text", 1, 200)).alias("summary"), words("_u.text").alias("keywords"), "ordinal", F.col("_u.unit_ord").alias("unit_ord"),
+        F.when(F.col("_split"), T.stable_id(prefix, ident)).otherwise(F.col("section_id")).alias("section_id"), "doc_id", F.when(F.col("_split"), named).otherwise(F.col("title")).alias("title"), "level", "section_path",
+        "text", start.alias("char_start"), (start + F.length("text")).alias("char_end"), T.strip(F.substring("text", 1, 200)).alias("summary"), words("text").alias("keywords"), "ordinal", F.col("_u.unit_ord").alias("unit_ord"),
     )

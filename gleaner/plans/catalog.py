@@ -15,7 +15,7 @@ from gleaner.functions import lexicons as L
 from gleaner.functions import text as T
 from gleaner.operators import cards as C
 from gleaner.operators import concepts as K
-from gleaner.operators import provider, qa, sections, similarity
+from gleaner.operators import knowledge, provider, qa, sections, similarity
 from gleaner.plans import deep, legacy
 from gleaner.plans import oracle as O
 from gleaner.session import cut, ensure_checkpoint_dir
@@ -195,11 +195,10 @@ f AS (SELECT doc_id, w, count(DISTINCT i) AS df FROM t GROUP BY doc_id, w)
 SELECT doc_id, count(*) AS n_terms, round(sum(ln((1 + n) / (1 + df)) + 1), 4) AS sum_idf FROM f JOIN n USING (doc_id) GROUP BY doc_id"""
 )
 def sentence_idf(spark, d):
-    s = said(spark, d)
-    total = s.groupBy("doc_id").agg(F.count("*").alias("n"))
-    df = s.select("doc_id", F.explode(F.array_distinct(T.section_tokens(F.col("s")))).alias("w")).groupBy("doc_id", "w").agg(F.count("*").alias("df"))
+    parts = docs(spark, d).select("doc_id", T.sentences(F.col("text")).alias("ss")).select("doc_id", F.size("ss").alias("n"), F.explode("ss").alias("s"))
+    df = parts.select("doc_id", "n", F.explode(F.array_distinct(T.section_tokens(F.col("s")))).alias("w")).groupBy("doc_id", "n", "w").agg(F.count("*").alias("df"))
     idf = F.ln((1 + F.col("n")) / (1 + F.col("df"))) + 1
-    return df.join(total, "doc_id").groupBy("doc_id").agg(F.count("*").alias("n_terms"), F.round(F.sum(idf), 4).alias("sum_idf"))
+    return df.groupBy("doc_id").agg(F.count("*").alias("n_terms"), F.round(F.sum(idf), 4).alias("sum_idf"))
 
 
 @query(
@@ -319,8 +318,8 @@ def planning_batches(spark, d):
 
 
 def _doc_cards(spark, d) -> DataFrame:
-    """The first four candidate sentences of each document as cards of one section."""
-    c = candidates(spark, d).withColumn("k", F.row_number().over(Window.partitionBy("doc_id").orderBy("i"))).filter("k <= 4")
+    """The candidate sentences of each document as cards of one section."""
+    c = candidates(spark, d).withColumn("k", F.row_number().over(Window.partitionBy("doc_id").orderBy("i")))
     none = F.array().cast("array<string>")
     c = c.withColumn("subject", T.infer_subject(F.col("s"), F.lit(""), none))
     return c.select("doc_id", "k", F.concat_ws("-", "doc_id", "k").alias("card_id"), F.col("source").alias("section_id"), "subject", F.col("s").alias("claim"), T.infer_event(F.col("s"), F.col("subject")).alias("event_or_topic"), "card_type")
@@ -328,9 +327,12 @@ def _doc_cards(spark, d) -> DataFrame:
 
 @query()
 def card_clusters(spark, d):
+    """Every five cards of a document in their order, and the first four of these: five are never supported together."""
     cards = cut(_doc_cards(spark, d))
-    groups = cards.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "card_id"))), lambda x: x["card_id"]).alias("card_ids"))
-    return C.supported_clusters(groups, "doc_id", cards.drop("doc_id", "k"))
+    fives = cards.withColumn("cluster", F.concat_ws("-", "doc_id", F.floor((F.col("k") - 1) / 5).cast("string")))
+    groups = fives.groupBy("cluster").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "card_id"))), lambda x: x["card_id"]).alias("card_ids"))
+    groups = groups.unionAll(groups.filter("size(card_ids) = 5").select(F.concat("cluster", F.lit("+")), F.slice("card_ids", 1, 4)))
+    return C.supported_clusters(groups, "cluster", cards.drop("doc_id", "k"))
 
 
 @query(
@@ -383,6 +385,17 @@ def concept_candidates(spark, d):
     return K.concept_candidates(_heads(spark, d)).select("doc_id", "section_id", "pos", "family", "name")
 
 
+_KINDS = {"en": "Encoder", "fr": "Decoder", "de": "Attention", "es": "Embedding"}
+
+
+def _taught(spark, d) -> DataFrame:
+    """Documents as Markdown about a layer named after their language; their text stands under its heading."""
+    kind = F.coalesce(*[F.when(F.col("lang") == k, F.lit(v)) for k, v in _KINDS.items()], F.lit("Network"))
+    name = F.concat(F.lit("GPU "), kind, F.lit(" Layer"))
+    t = F.concat(F.lit("# "), name, F.lit("\n"), name, F.lit(" is what the source "), "source", F.lit(" writes about in text "), F.col("doc_id").cast("string"), F.lit(".\n"), F.col("text"))
+    return sections.documents(docs(spark, d).select("doc_id", t.alias("text"))).withColumn("file_type", F.lit(".md"))
+
+
 @query()
 def section_knowledge(spark, d):
     parts = cut(legacy.knowledge_units(_heads(spark, d)))
@@ -392,7 +405,7 @@ def section_knowledge(spark, d):
 
 @query()
 def canonical_concepts(spark, d):
-    return K.canonical_concepts(cut(K.section_concepts(_heads(spark, d)))).withColumn("aliases", F.array_join("aliases", "|")).withColumn("source_section_ids", F.size("source_section_ids"))
+    return K.canonical_concepts(cut(K.section_concepts(sections.heading_sections(_taught(spark, d))))).withColumn("aliases", F.array_join("aliases", "|")).withColumn("source_section_ids", F.size("source_section_ids"))
 
 
 @query()
@@ -487,17 +500,17 @@ def answer_grounding(spark, d):
 
 @query()
 def question_dedupe(spark, d):
-    """First turns as questions: those at least 0.88 similar to an earlier kept one are duplicates."""
-    t = spark.read.parquet(f"{d}/conversations.parquet").filter("turn = 0 and text is not null")
-    rows = t.select("conv_id", F.col("text").alias("question"), F.col("conv_id").alias("ord"), F.lit(True).alias("sound"))
-    return qa.keep_first_questions(rows).select("conv_id", "duplicate")
+    """The users' turns as questions: those at least 0.88 similar to an earlier kept one are duplicates."""
+    t = spark.read.parquet(f"{d}/conversations.parquet").filter("role = 'user' and text is not null")
+    rows = C.numbered(t, "conv_id", "turn").select("conv_id", "turn", F.col("text").alias("question"), F.col("pos").alias("ord"), F.lit(True).alias("sound"))
+    return qa.keep_first_questions(rows).select("conv_id", "turn", "duplicate")
 
 
 @query("SELECT d.doc_id, b.item_id FROM (SELECT item_id, doc_id, row_number() OVER (PARTITION BY item_id ORDER BY doc_id) AS r FROM benchmark b JOIN documents d ON contains(d.text, b.text)) x JOIN documents d ON d.doc_id = x.doc_id JOIN benchmark b ON b.item_id = x.item_id")
 def span_lookup(spark, d):
-    """Where the benchmark's passages stand in documents: the exact case of span anchoring; the benchmark is a small, fixed table."""
+    """Where the benchmark's passages stand in documents: the exact case of span anchoring."""
     b = spark.read.parquet(f"{d}/benchmark.parquet").select("item_id", F.col("text").alias("passage"))
-    return docs(spark, d).join(F.broadcast(b), F.contains("text", "passage")).select("doc_id", "item_id")
+    return similarity.contained(docs(spark, d).select("doc_id", "text"), "text", b, "passage").select("doc_id", "item_id")
 
 
 @query()
@@ -530,10 +543,29 @@ def deep_pipeline(spark, d):
 
 @query()
 def legacy_pipeline(spark, d):
-    r = legacy.run(_marked(spark, d))
+    r = legacy.run(_taught(spark, d))
     return r.validations.select("qa_id", "is_answerable", "is_faithful", "has_hallucination", F.array_join("issues", ",").alias("issues"), "passed", "ord")
 
 
+@query(
+    f"""WITH u AS (SELECT 'sec_' || doc_id AS section_id, 'The attention head of document ' || doc_id || ' reads language ' || lang || '.' AS statement, 'document ' || doc_id AS said, lang FROM documents)
+SELECT {O.stable_id('fact_raw', "section_id || ':' || statement")} AS fact_id, section_id, 'Attention Head' AS subject, {O.fact_type('statement')} AS fact_type, CAST(1.0 AS DOUBLE) AS confidence, CAST(0.75 AS DOUBLE) AS importance,
+  {O.stable_id('ev', "section_id || ':' || said")} AS evidence_id, {O.stable_id('fact_raw', "section_id || ':' || 'Another fact about the encoder of ' || lang")} AS depends_on FROM u"""
+)
+def model_knowledge(spark, d):
+    """Replies made from each document, read as a model's: the first fact depends on the second, which is named a little differently."""
+    t = docs(spark, d).select("doc_id", F.concat(F.lit("sec_"), F.col("doc_id").cast("string")).alias("section_id"), "lang", "text")
+    statement = F.concat(F.lit("The attention head of document "), F.col("doc_id").cast("string"), F.lit(" reads language "), "lang", F.lit("."))
+    other = F.concat(F.lit("Another fact about the encoder of "), "lang")
+    fact = lambda said, evidence, subject: F.struct(said.alias("statement"), evidence.alias("evidence"), F.lit(subject).alias("subject_concept"), F.lit("1.7").alias("confidence"))
+    facts = F.array(fact(statement, F.concat(F.lit("document "), F.col("doc_id").cast("string")), "Attention Head"), fact(other, other, "Encoder Network"), fact(other, other, "it"))
+    relation = F.struct(statement.alias("source_fact"), F.concat(other, F.lit("!")).alias("target_fact"), F.lit("causes").alias("relation_type"))
+    reply = F.concat(F.lit("Here it is: "), F.to_json(F.struct(F.struct(facts.alias("items")).alias("facts"), F.array(relation).alias("fact_relations"))))
+    told = t.select("section_id", F.col("doc_id").cast("string").alias("doc_id"), F.array(F.lit("x")).alias("section_path"), F.lit("x").alias("title"), F.lit(0).cast("long").alias("char_start"), "text", reply.alias("reply"))
+    found = knowledge.parse_knowledge(cut(told)).facts.filter("subject = 'Attention Head'")
+    return found.select("fact_id", "section_id", "subject", "fact_type", "confidence", "importance", F.col("evidence_ids")[0].alias("evidence_id"), F.col("depends_on_fact_ids")[0].alias("depends_on"))
+
+
 @query()
 def model_requests(spark, d):
     parts = sections.units(sections.semantic_sections(sections.documents(docs(spark, d))))

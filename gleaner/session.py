@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -35,13 +36,29 @@ def ship(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Checkpoints go to the cluster's shared folder, spark.checkpoint.dir; a folder of our own only where it is unset."""
+    """Checkpoints go to the cluster's shared folder, spark.checkpoint.dir; on one machine to a folder of our own where it is unset."""
+    if spark.sparkContext.getCheckpointDir() is not None:
+        return
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="gleaner-checkpoints-"))
+    if not shared:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        shared = tempfile.mkdtemp(prefix="gleaner-checkpoints-")
+    spark.sparkContext.setCheckpointDir(shared)
 
 
 def cut(df):
     """The same rows, written to the shared checkpoint folder: computed once, and independent of any executor."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of any path that Spark can open."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = hadoop_path(spark, path)
+    return fs.exists(p)

@@ -44,10 +44,44 @@ def test_cards_of_the_text_fixture(spark):
         assert r["evidence_ids"] and r["evidence_end"] - r["evidence_start"] == len(r["claim"])
 
 
-def test_clean_pages():
+def test_clean_pages(spark):
     text = "Running Head\nfirst line of a para-\ngraph goes on\nRunning Head\n12\nmail a@b.c\nRunning Head\nThe end.\n\nNext paragraph."
-    assert folds.clean_pages(text) == "first line of a paragraph goes on The end.\n\nNext paragraph."
-    assert folds.clean_pages("") == "" and folds.unwrap_lines("a\r\nb\n\n\nc") == "a\nb\n\nc"
+    late = "x " * 3000
+    rows = [(0, text), (1, ""), (2, None), (3, "Title 😀\n\nAbstract\n\nWe say."), (4, f"{late}\n\nReferences\n\nA paper."), (5, "some references early\n\nReferences\n\nrest")]
+    got = {r["k"]: r["text"] for r in sections.cleaned(spark.createDataFrame(rows, "k int, text string")).collect()}
+    assert got[0] == "first line of a paragraph goes on The end.\n\nNext paragraph."
+    assert got[1] == got[2] == "" and got[3].startswith("Abstract") and got[4] == late.strip() and got[5].endswith("rest")
+
+
+def test_unwrap_and_units_text(spark):
+    rows = [("a\r\nb\n\n\nc", "a\nb\n\nc"), ("", ""), ("a long line that goes on and on for a while to be sure\nand on\n# Head\n1. item that is longer than forty characters, it is\nrest of it", "a long line that goes on and on for a while to be sure and on\n# Head\n1. item that is longer than forty characters, it is rest of it"), ("a hyphen-\nated word", "a hyphenated word")]
+    got = spark.createDataFrame(rows, "t string, want string").select(T.unwrap_lines(F.col("t")).alias("got"), "want").collect()
+    assert [r["got"] for r in got] == [r["want"] for r in got]
+    t = spark.createDataFrame([("keep this\nmail me@x.y\nCopyright 2020",), ("only@this",)], "t string").select(T.clean_unit(F.col("t")).alias("u"), T.clean_for_knowledge(F.concat(F.lit("x\nAbstract\n"), "t")).alias("k")).collect()
+    assert [r["u"] for r in t] == ["keep this", "only@this"] and t[0]["k"] == "Abstract\nkeep this"
+
+
+def test_section_titles(spark):
+    rows = [("# Head\nbody", "# Head"), ("A sentence here. Another one.", "A sentence here"), ("...", "Semantic section 7"), ("x" * 100, "x" * 72)]
+    got = spark.createDataFrame(rows, "t string, want string").select(T.section_title(F.col("t"), F.lit(7)).alias("got"), "want").collect()
+    assert [r["got"] for r in got] == [r["want"] for r in got]
+
+
+def test_boundary_scores_match_mean_vectors():
+    import math
+    from collections import Counter
+
+    rng = random.Random(21)
+    spans = [folds.Span(" ".join(w), 0, 0, w) for w in ([f"token{rng.randrange(12)}" for _ in range(rng.randint(0, 9))] for _ in range(40))]
+    n, df = len(spans), Counter(t for s in spans for t in set(s.tokens))
+    vec = [{t: c * (math.log((1 + n) / (1 + df[t])) + 1) for t, c in Counter(s.tokens).items()} for s in spans]
+    for i, (_, distance, _, _) in enumerate(folds.boundary_scores(spans), 1):
+        sides = []
+        for side in (range(max(0, i - 3), i), range(i, min(n, i + 3))):
+            sides.append({t: sum(vec[k].get(t, 0) for k in side) / len(side) for t in {t for k in side for t in vec[k]}})
+        norm = math.prod(math.sqrt(sum(x * x for x in v.values())) for v in sides)
+        want = 1 - (sum(x * sides[1].get(t, 0) for t, x in sides[0].items()) / norm if norm else 0)
+        assert abs(distance - want) < 1e-4
 
 
 def test_sectioner_covers_long_documents():
@@ -198,3 +232,71 @@ def test_config(tmp_path):
     assert s.target_size == 5 and s.sectioning.least == 300 and s.file_types == [".md", ".txt"]
     with pytest.raises(KeyError):
         config.overlaid(config.Settings(), {"unknown": 1})
+
+
+def test_aliases_are_kept_and_the_last_concept_of_a_name_wins(spark):
+    row = lambda i, name, aliases, imp: (f"c{i}", name, aliases, "term", None, imp, [f"s{i}"], "d", f"s{i}")
+    schema = "concept_id string, canonical_name string, aliases array<string>, concept_type string, definition string, importance double, source_section_ids array<string>, doc_id string, section_id string"
+    rows = [row(1, "GPU Encoder Layer", ["enc alias", "shared"], 0.9), row(2, "gpu encoder layer", [], 0.5), row(3, "GPU Decoder Network", ["shared"], 0.8), row(4, "Decoder", ["dec"], 0.4)]
+    out = concepts.canonical_concepts(spark.createDataFrame(rows, schema))
+    got = {r["canonical_name"]: r["aliases"] for r in out.collect()}
+    assert got == {"GPU Encoder Layer": ["enc alias", "shared"], "GPU Decoder Network": ["Decoder", "dec", "shared"]}
+    facts = spark.createDataFrame([("f1", "shared", ["GPU Encoder  layer", "gpu decoder network", "nothing"]), ("f2", "unknown", [])], "fact_id string, subject string, related_names array<string>")
+    bound = concepts.bind_facts(facts, out).collect()
+    ids = {r["canonical_name"]: r["concept_id"] for r in out.collect()}
+    assert [(r["fact_id"], r["subject_concept_id"], r["related_concept_ids"]) for r in bound] == [("f1", ids["GPU Decoder Network"], [ids["GPU Encoder Layer"]])]
+
+
+def test_knowledge_of_a_model_joins_the_heuristic_one(spark, tmp_path):
+    from gleaner.plans import legacy
+
+    text = "# GPU Attention Layer\nGPU Attention Layer is a part of the network that weighs all of its inputs by what they say.\nIt is short.\n"
+    calls = []
+
+    def call(prompt, system, payload):
+        return {"concepts": ["GPU Attention Layer", {"concept": "GPU Encoder Stack", "aliases": "stack", "importance": "2"}, {"name": "it"}], "facts": [{"fact": "The GPU Encoder Stack reads what the GPU Attention Layer weighs.", "quote": "weighs all of its inputs", "subject_concept": "GPU Encoder Stack", "related_concepts": ["GPU Attention Layer"]}]}
+
+    d = docs(spark, [("a.md", text)])
+    folder = str(tmp_path / "cache")
+    r = legacy.run(d, call=call, cache_folder=folder)
+    names = {x["canonical_name"]: x for x in r.concepts.collect()}
+    assert set(names) == {"GPU Attention Layer", "GPU Encoder Stack"} and "stack" in names["GPU Encoder Stack"]["aliases"] and names["GPU Encoder Stack"]["importance"] == 1.0
+    facts = {x["subject"]: x for x in r.facts.collect()}
+    assert facts["GPU Encoder Stack"]["related_concept_ids"] == [names["GPU Attention Layer"]["concept_id"]] and facts["GPU Attention Layer"]["confidence"] < 0.8
+    assert r.validations.count() > 0
+    # replies are kept: the second run asks nobody
+    again = legacy.run(d, call=lambda *a: 1 / 0, cache_folder=folder)
+    assert {x["canonical_name"] for x in again.concepts.collect()} == set(names) and not calls
+
+
+def test_command_line(spark, tmp_path):
+    import json
+
+    from gleaner import cli
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.md").write_text("# GPU Encoder Layer\nGPU Encoder Layer is a part that reads all of the tokens before the decoder does so.\n")
+    (tmp_path / "in" / "bad.txt").write_bytes(b"\xff\xfe")
+    out = tmp_path / "out"
+    counts = cli.main(["generate", "--input", str(tmp_path / "in"), "--output", str(out), "--target-size", "5", "--dry-run"], spark)
+    assert counts["documents.json"] == 1 and counts["concepts.json"] == 1 and counts["facts.json"] == 1
+    assert len([f for f in out.iterdir() if f.is_file() and f.name[0] != "."]) == 16 and json.loads((out / "concepts.json").read_text())[0]["canonical_name"] == "GPU Encoder Layer"
+    assert json.loads((out / "errors.jsonl").read_text())["error_type"] == "UnicodeDecodeError"
+    assert [json.loads(x)["id"] for x in (out / "dataset.final.jsonl").read_text().splitlines()] or counts["dataset.final.jsonl"] == 0
+    counts = cli.main(["build-structure", "--input", str(tmp_path / "in"), "--output", str(tmp_path / "two"), "--dry-run"], spark)
+    assert set(counts) == {"documents.json", "document_structure.json"}
+    counts = cli.main(["generate-deep", "--input", str(tmp_path / "in"), "--output", str(out), "--force", "--dry-run"], spark)
+    assert len([f for f in out.iterdir() if f.is_file() and f.name[0] != "."]) == 11 and not (out / "concepts.json").exists()
+
+
+def test_contained_passages(spark):
+    rng = random.Random(22)
+    texts = [(i, "".join(rng.choice("ab ") for _ in range(rng.randint(0, 80)))) for i in range(60)] + [(60, None)]
+    some = [(j, texts[rng.randrange(60)][1][rng.randrange(3) : rng.randrange(60)]) for j in range(40)] + [(40, None), (41, "zzz")]
+    got = {(r["doc_id"], r["item_id"]) for r in similarity.contained(spark.createDataFrame(texts, "doc_id int, text string"), "text", spark.createDataFrame(some, "item_id int, passage string"), "passage").collect()}
+    assert got == {(i, j) for i, t in texts for j, p in some if t is not None and p is not None and p in t}
+
+
+def test_bounded_numbers(spark):
+    got = spark.createDataFrame([("1.7",), ("-2",), ("0.3",), (None,), ("x",), ("NaN",)], "s string").select(T.bounded(F.col("s"), 0.5).alias("b")).collect()
+    assert [r["b"] for r in got] == [1.0, 0.0, 0.3, 0.5, 0.5, 0.5]
