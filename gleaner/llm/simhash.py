@@ -20,7 +20,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.llm.common import cut, let_go, release, stash
@@ -136,9 +136,9 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
 
 
 def first_pairs(members: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): the least member of each key with its others; members: (key, id, n, hub), hub the least (id, n) of the key."""
-    like = F.least("n", "hub.n") >= similarity * F.greatest("n", "hub.n")
-    return members.filter((F.col("id") != F.col("hub.id")) & like).select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct()
+    """(a, b): the first member of each key with its others; members: (key, id, n, own, hub), hub the least (own, id, n) of the key."""
+    like = F.least(F.expr("n - own"), F.expr("hub.n - hub.own")) * (1 + similarity) >= similarity * F.expr("n + hub.n") * (1 - 1e-9)
+    return members.filter((F.col("id") != F.col("hub.id")) & like).select(F.least("hub.id", "id").alias("a"), F.greatest("hub.id", "id").alias("b")).distinct()
 
 
 def apart(pairs: DataFrame, found: DataFrame | None) -> DataFrame:
@@ -149,14 +149,24 @@ def apart(pairs: DataFrame, found: DataFrame | None) -> DataFrame:
     return pairs.join(group("a"), "a", "left").join(group("b"), "b", "left").filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
-def other_pairs(members: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): all pairs of a key but those that ``found`` (node, component) has joined already and those of ``first_pairs``."""
-    marked = members.join(found.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", F.col("hub.id").alias("hub"), F.coalesce("component", "id").alias("c"))
+def other_pairs(members: DataFrame, found: DataFrame, shingles: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): pairs that may be alike of members whose keys lie in several groups of ``found`` (node, component), the two in different ones.
+
+    shingles: (id, s). Members meet by their rarest shingles. A shingle that is number i of n in one and number j of m in the other, rarest
+    first and the first that they share, leaves at most the lesser of n - i and m - j in common: a hot shingle late in either brings no pair.
+    """
+    marked = members.join(found.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("c"))
     mixed = marked.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x < y").select("key")
-    rest = cut(marked.join(mixed, "key", "left_semi").filter("id <> hub").select("key", "id", "n", "c"))
-    a, b = (rest.select("key", F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("c").alias(f"c{x}")) for x in "ab")
-    like = F.least("na", "nb") >= similarity * F.greatest("na", "nb")
-    return a.join(b, "key").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & like).select("a", "b").distinct()
+    rest = cut(marked.join(mixed, "key", "left_semi").select("id", "n", "c").distinct())
+    of_rest = shingles.join(rest.select("id"), "id", "left_semi")
+    times = of_rest.groupBy("s").agg(F.count("*").alias("times")).filter("times > 1")
+    by_id = Window.partitionBy("id")
+    ranked = of_rest.join(times, "s").withColumn("at", F.row_number().over(by_id.orderBy("times", "s")) - 1).withColumn("shared", F.count("*").over(by_id)).join(rest, "id")
+    room = F.col("shared") - F.col("at")  # those found nowhere else come first
+    heads = cut(ranked.select("s", "id", "n", "c", room.alias("room")).filter(F.col("room") >= similarity * F.col("n") * (1 - 1e-9)))
+    a, b = (heads.select(F.col("s").alias(f"s{x}"), F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("c").alias(f"c{x}"), F.col("room").alias(f"r{x}")) for x in "ab")
+    like = F.least("ra", "rb") * (1 + similarity) >= similarity * (F.col("na") + F.col("nb")) * (1 - 1e-9)
+    return a.join(b, (F.col("sa") == F.col("sb")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & like).select("a", "b").distinct()
 
 
 def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -165,10 +175,11 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
     Alike: equal, or with a Jaccard similarity of the shingle sets of at least ``similarity``.  h1, h2: hashes of a
     text; component: the least (key, h1) of its group; keeper: whether the row is that one.  Equal texts are one row
     first, known by h1.  Texts meet by keys of least hashes: unlike texts share none by chance, however many there
-    are.  All pairs of a key are compared on their shingles, save those already in one group: its least member with
-    the others first, then all pairs of members that this has left in different groups.  Sizes that rule the
-    similarity out need no comparison.  Texts without words are like equal ones only; null texts, and texts without a
-    key, are like nothing.
+    are.  All pairs of a key are compared on their shingles, save those already in one group: first the member with the
+    fewest shingles of its own (found in no other text that shares a key) with the others, as it is likest to them,
+    then the pairs of members that this has left in different groups and that share a shingle rare enough for both
+    (``other_pairs``).  Neither step leaves out a pair that can reach the similarity.  Texts without words are like
+    equal ones only; null texts, and texts without a key, are like nothing.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -187,8 +198,8 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
     first = stash(read.groupBy("h1", "h2").agg(F.min("key").alias("first"), F.max("key").alias("last"), F.first("n").alias("n"), F.first("keys").alias("keys")))
     release(spark)
     members = first.filter("n > 0").select(F.col("h1").alias("id"), "n", F.posexplode("keys").alias("band", "key"))
-    hubs = members.groupBy("key").agg(F.min(F.struct("id", "n")).alias("hub"), F.count("*").alias("times")).filter("times > 1").drop("times")
-    members = stash(members.join(hubs, "key"))
+    shared = members.groupBy("key").agg(F.count("*").alias("times")).filter("times > 1").select("key")
+    members = stash(members.join(shared, "key"))
     release(spark)
 
     # the shingles of the texts that share a key
@@ -203,6 +214,23 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
     sets = stash(texts.mapInArrow(shingles, "id long, s binary").dropDuplicates(["id"]))
     release(spark)
 
+    def members_of(batches):
+        let_go()
+        for b in batches:
+            for i, s in zip(b.column(0), b.column(1)):
+                one = np.frombuffer(s.as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(one), i.as_py())), pa.array(one)], ["id", "s"])
+
+    # how many of a text's shingles no other text has
+    spread = sets.mapInArrow(members_of, "id long, s long")
+    single = spread.groupBy("s").agg(F.min("id").alias("id"), F.count("*").alias("times")).filter("times = 1")
+    own = single.groupBy("id").agg(F.count("*").alias("own"))
+    members = members.join(own, "id", "left").withColumn("own", F.coalesce("own", F.lit(0))).filter(F.col("n") - F.col("own") >= similarity * F.col("n") * (1 - 1e-9))
+    members = cut(members)
+    hubs = members.groupBy("key").agg(F.min(F.struct("own", "id", "n")).alias("hub"), F.count("*").alias("times")).filter("times > 1").drop("times")
+    members = stash(members.join(hubs, "key"))
+    release(spark)
+
     def verify(batches):
         let_go()
         for b in batches:
@@ -221,7 +249,7 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
         met = checked(apart(first_pairs(members.filter(F.col("band").between(low, high - 1)), similarity), found))
         near = met if near is None else near.unionAll(met)
         found = cut(components(near))
-    near = near.unionAll(checked(other_pairs(members, found, similarity)))
+    near = near.unionAll(checked(other_pairs(members, found, spread, similarity)))
     roots = components(near).withColumnRenamed("node", "h1")
     known = first.join(roots, "h1", "left").select("h1", "h2", F.expr("if(first = last, 1, 2)").alias("size"), F.coalesce("component", "h1").alias("root"), F.struct(F.col("first").alias("key"), "h1").alias("own"))
     groups = known.groupBy("root").agg(F.min("own").alias("least"), F.sum("size").alias("size")).filter("size > 1").drop("size")
