@@ -653,3 +653,36 @@ def test_utf8_stream():
         assert "".join(s.feed(data[i : i + step]) for i in range(0, len(data), step)) + s.close() == "aé中😀z"
     s = byte_bpe.Utf8Stream()
     assert s.feed(b"a\xe4\xb8") + s.close() == "a�"
+
+
+def test_similar_groups_equal_brute_force_where_no_text_is_likest_to_all(spark):
+    """Copies of copies, some without the text they come from: the groups are those of all pairs at 0.8 or more."""
+    rng = np.random.default_rng(5)
+    texts = []
+    for family in range(3):
+        base = [f"w{rng.integers(10**6)}" for _ in range(90)]
+        for _ in range(60):
+            words = list(base)
+            for at in rng.choice(90, rng.integers(1, 7), replace=False):
+                words[at] = f"x{rng.integers(40)}"  # changes that copies share
+            texts.append(" ".join(words))
+    sets = [set(simhash.shingle_set(t, 5).tolist()) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if texts[i] == texts[j] or both >= 0.8 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    groups = [find(i) for i in range(len(texts))]
+    expected = {i: g for i, g in enumerate(groups) if groups.count(g) > 1}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component"] for r in simhash.similar_groups(docs).collect()}
+    assert 0 < len(expected) < len(texts)
+    assert got == expected
