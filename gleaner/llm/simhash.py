@@ -249,6 +249,7 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
         met = checked(apart(first_pairs(members.filter(F.col("band").between(low, high - 1)), similarity), found))
         near = met if near is None else near.unionAll(met)
         found = cut(components(near))
+        release(spark)
     near = near.unionAll(checked(other_pairs(members, found, spread, similarity)))
     roots = components(near).withColumnRenamed("node", "h1")
     known = first.join(roots, "h1", "left").select("h1", "h2", F.expr("if(first = last, 1, 2)").alias("size"), F.coalesce("component", "h1").alias("root"), F.struct(F.col("first").alias("key"), "h1").alias("own"))
