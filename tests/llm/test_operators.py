@@ -363,6 +363,30 @@ def test_vector_audit_sees_what_searches_miss():
     assert all((i, i + 300) in pairs for i in range(300))
 
 
+def test_vectors_ask_only_the_shards_that_may_hold_partners(spark):
+    rng = np.random.default_rng(21)
+    base = vector_graph.units(rng.standard_normal((3000, 64)))[0]
+    v = np.concatenate([base, vector_graph.plant(base[:600], base, 0.9005)]).astype(np.float32)
+    router = vector_graph.Router(base, 16, 0.9)
+    asked = router.visits(v.astype(np.float64))
+    assert len(router.pivots) == 16 and asked.mean() < 0.6  # every shard was asked before
+    assert np.mean(asked[np.arange(3000, 3600), router.home(base[:600])]) >= 0.98
+    got = {r["vec_id"]: r for r in vector_graph.link_vectors(spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>"), min_shards=16, shard_rows=150, block_rows=400).collect()}
+    u = vector_graph.units(v.astype(np.float64))[0]
+    link = u @ u.T >= 0.9
+    np.fill_diagonal(link, False)
+    n = np.array([got[i]["n_links"] for i in range(len(v))])
+    assert link.sum() >= 1200 and (n <= link.sum(1)).all() and n.sum() >= 0.97 * link.sum()
+    want = components_of(len(v), np.argwhere(np.triu(link)).tolist())
+    assert np.mean([got[i]["component_id"] == want[i] for i in range(len(v))]) >= 0.99
+
+
+def test_vector_beam_does_not_grow_where_partners_are_found():
+    _, single = vector_graph.units(np.random.default_rng(22).standard_normal((6000, 64)))
+    graph = vector_graph.Graph(single)
+    assert graph.audit(0.9) == 1.0 and graph.beam == vector_graph.BEAM
+
+
 def test_vectors_alike_take_bounded_memory():
     import tracemalloc
 
