@@ -7,8 +7,9 @@ all but the last return the columns of documents.  Stages:
   rejects: texts that are null or have no letter.  A missing language is filled in.
 - line_dedup removes repeated multi-line chunks; documents that consist of nothing
   else are copies and go.
-- near_dedup keeps the document of least id of each group whose sets of five-word
-  shingles are at least 0.8 similar.
+- near_dedup keeps the document of least id of each group whose SimHash fingerprints
+  are within two bits (op3's, by its ball hashing) or whose sets of five-word shingles
+  are at least 0.8 similar.
 - suffix_dedup removes bytes in 50-byte strings of earlier documents; code points
   cut by that go as a whole, and documents of which nothing is left go.
 - packing puts the tokens of what is left into sequences of 2048.

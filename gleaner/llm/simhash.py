@@ -106,6 +106,8 @@ def to_hex(column):
 #: For similarity of sets of shingles: keys of a text, and least hashes in each. A pair at 0.8 has none in common with probability
 #: (1 - 0.8**5)**48 = 5e-9, whatever the number of texts.
 BANDS, BAND_ROWS = 48, 5
+#: Fingerprints of near-duplicates: words in a shingle and bits that may differ, as in op3_simhash.
+PRINT_WORDS, DISTANCE = 3, 2
 #: Where rounds of comparing a key's least member with the others begin and end.
 ROUNDS = (0, 1, 4, 16, BANDS)
 _MASKS = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * BAND_ROWS), np.uint64, endpoint=False)
@@ -169,11 +171,12 @@ def other_pairs(members: DataFrame, found: DataFrame, shingles: DataFrame, simil
     return a.join(b, (F.col("sa") == F.col("sb")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & like).select("a", "b").distinct()
 
 
-def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8, distance: int | None = None) -> DataFrame:
     """(h1, h2, key, component, keeper) of every text under every key, for texts that are like another's.
 
-    Alike: equal, or with a Jaccard similarity of the shingle sets of at least ``similarity``.  h1, h2: hashes of a
-    text; component: the least (key, h1) of its group; keeper: whether the row is that one.  Equal texts are one row
+    Alike: equal, or with a Jaccard similarity of the shingle sets of at least ``similarity``; with a ``distance`` also those whose
+    SimHash fingerprints (of PRINT_WORDS-word shingles) are within so many bits.  Fingerprints come first: what they have joined is not
+    compared again.  h1, h2: hashes of a text; component: the least (key, h1) of its group; keeper: whether the row is that one.  Equal texts are one row
     first, known by h1.  Texts meet by keys of least hashes: unlike texts share none by chance, however many there
     are.  All pairs of a key are compared on their shingles, save those already in one group: first the member with the
     fewest shingles of its own (found in no other text that shares a key) with the others, as it is likest to them,
@@ -190,13 +193,19 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
         let_go()
         for b in batches:
             sets = [shingle_set(t.as_py(), shingle) for t in b.column(3)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([len(x) for x in sets], pa.int64()), pa.array([band_keys(x) for x in sets], pa.list_(pa.int64()))], ["key", "h1", "h2", "n", "keys"])
+            prints = [fingerprint(t.as_py(), PRINT_WORDS) if distance is not None and len(x) else None for t, x in zip(b.column(3), sets)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([len(x) for x in sets], pa.int64()), pa.array([band_keys(x) for x in sets], pa.list_(pa.int64())), pa.array(prints, pa.int64())], ["key", "h1", "h2", "n", "keys", "fp"])
 
     # texts are read where they lie, for their keys and for the shingles of those that meet: only the second time do they move
-    read = stash(body.mapInArrow(run, f"key {kind}, h1 long, h2 long, n long, keys array<long>"))
+    read = stash(body.mapInArrow(run, f"key {kind}, h1 long, h2 long, n long, keys array<long>, fp long"))
     same = read.select("key", "h1", "h2")
-    first = stash(read.groupBy("h1", "h2").agg(F.min("key").alias("first"), F.max("key").alias("last"), F.first("n").alias("n"), F.first("keys").alias("keys")))
+    first = stash(read.groupBy("h1", "h2").agg(F.min("key").alias("first"), F.max("key").alias("last"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("fp").alias("fp")))
     release(spark)
+    near = None
+    if distance is not None:
+        printed = classes(first.filter("fp is not null").select(F.col("h1").alias("id"), "fp"), "id", distance)
+        near = cut(printed.filter("id <> component").select(F.col("component").alias("a"), F.col("id").alias("b")))
+        release(spark)
     members = first.filter("n > 0").select(F.col("h1").alias("id"), "n", F.posexplode("keys").alias("band", "key"))
     shared = members.groupBy("key").agg(F.count("*").alias("times")).filter("times > 1").select("key")
     members = stash(members.join(shared, "key"))
@@ -244,7 +253,7 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
     side = lambda name: sets.select(F.col("id").alias(name), F.col("s").alias(f"s{name}"))
     checked = lambda pairs: cut(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInArrow(verify, "a long, b long"))
     # the first keys join most of a large group, so that the others have little to compare
-    near = found = None
+    found = None if near is None else cut(components(near))
     for low, high in zip(ROUNDS, ROUNDS[1:]):
         met = checked(apart(first_pairs(members.filter(F.col("band").between(low, high - 1)), similarity), found))
         near = met if near is None else near.unionAll(met)
@@ -263,14 +272,14 @@ def text_hashes(text: str):
     return F.xxhash64(F.col(text)).alias("h1"), F.xxhash64(F.lit(1), F.col(text)).alias("h2")
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """docs without those that are like a document of smaller key in their group; all columns are kept, whatever their names.
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8, distance: int | None = DISTANCE) -> DataFrame:
+    """docs without those that are like a document of smaller key in their group (``similar_groups``); all columns are kept, whatever their names.
 
     Rows that repeat a document (its key and its text) stay or go with it; other texts under its key are documents of
     their own.  Null texts and rows without a key stay, and so does one of several empty texts.
     """
     body = F.col(f"`{text}`")
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.xxhash64(body).alias("h1"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), body.isNull().alias("none"))
-    gone = similar_groups(docs, key, text, shingle, similarity).filter("not keeper").select(F.col(key).alias("of"), F.col("h1").alias("h")).distinct()
+    gone = similar_groups(docs, key, text, shingle, similarity, distance).filter("not keeper").select(F.col(key).alias("of"), F.col("h1").alias("h")).distinct()
     same = (F.col("key") == F.col("of")) & (F.col("h1") == F.col("h")) & ~F.col("none")
     return rows.join(gone, same, "left_anti").select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -213,6 +213,18 @@ def test_similar_groups_find_all_pairs_at_the_threshold(table):
     assert {r["doc_id"] for r in simhash.keep_one(table(texts)).collect()} == set(range(0, len(texts), 2))
 
 
+def test_keep_one_joins_what_fingerprints_join(table):
+    rng, texts = random.Random(14), []
+    often = " ".join(f"w{i}" for i in range(41))
+    for _ in range(2):  # most shingles by number are shared, most by kind are not
+        texts.append(" ".join([often] * 60 + [f"x{rng.randrange(10**6)}" for _ in range(30)]))
+    a, b = (set(simhash.shingle_set(t, 5).tolist()) for t in texts)
+    assert len(a & b) < 0.8 * len(a | b)
+    assert (simhash.fingerprint(texts[0], 3) ^ simhash.fingerprint(texts[1], 3)).bit_count() <= 2
+    texts.append(" ".join(f"y{i}" for i in range(60)))
+    assert sorted(r["doc_id"] for r in simhash.keep_one(table(texts)).collect()) == [0, 2]
+
+
 def test_pairs_behind_an_unlike_least_member_are_compared(spark):
     rows = [(7, i, 10, (1, 10)) for i in (1, 2, 3, 4)] + [(8, 1, 10, (1, 10)), (8, 5, 10, (1, 10))]
     members = spark.createDataFrame(rows, "key long, id long, n long, hub struct<id: long, n: long>")
