@@ -59,9 +59,11 @@ def chunked(rows: DataFrame, modulus: int = MODULUS) -> DataFrame:
 
 
 def identified(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, text, row): what a row is known by, and the whole row."""
+    """(id, text, row): what a row is known by, and its other columns; no row where there are none."""
     body = F.col(f"`{text}`")
-    return docs.select(F.struct(F.col(f"`{key}`").alias("k"), F.xxhash64(body).alias("h")).alias("id"), body.alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in (key, text)]
+    # without others both uses of the rows need the same columns, so that text is shuffled once
+    return docs.select(F.struct(F.col(f"`{key}`").alias("k"), F.xxhash64(body).alias("h")).alias("id"), body.alias("text"), *([F.struct(*others).alias("row")] if others else []))
 
 
 def _lines(first: str, n: str):
@@ -106,7 +108,8 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", modulu
     ]
     for name, column in steps:
         out = out.withColumn(name, column)
-    kept = [F.col("text").alias(text) if c == text else F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in RESULTS or c == text]
+    place = {text: F.col("text"), key: F.col("id.k")}
+    kept = [(place[c] if c in place else F.col(f"row.`{c}`")).alias(c) for c in docs.columns if c not in RESULTS or c == text]
     return out.select(*kept, *[c for c in RESULTS if c != text])
 
 

@@ -299,6 +299,20 @@ def test_line_dedup_matches_brute_force(table):
     assert line_dedup.dedup_lines(table([])).collect() == []
 
 
+def test_line_dedup_shuffles_texts_once(spark, tmp_path):
+    spark.createDataFrame([(i, f"a{i % 3}\nb\nc\nd") for i in range(20)], "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        plan = line_dedup.dedup_lines(spark.read.parquet(f"{tmp_path}/docs"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    moved = re.findall(r" Exchange hashpartitioning\(id#[^\n]*\n[^\n]*Project \[struct\(k", plan)
+    assert len(moved) == 1 and "ReusedExchange" in plan, plan
+
+
 def test_line_dedup_of_rows_with_one_id(spark):
     rng = random.Random(8)
     text = lambda: "\n".join(f"{rng.random()} line" for _ in range(20))
