@@ -254,13 +254,12 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
     checked = lambda pairs: cut(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInArrow(verify, "a long, b long"))
     # the first keys join most of a large group, so that the others have little to compare
     found = None if near is None else cut(components(near))
+    # groups of earlier rounds go on as a star each
+    joined = lambda pairs: components(pairs if found is None else found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(pairs))
     for low, high in zip(ROUNDS, ROUNDS[1:]):
-        met = checked(apart(first_pairs(members.filter(F.col("band").between(low, high - 1)), similarity), found))
-        near = met if near is None else near.unionAll(met)
-        found = cut(components(near))
+        found = cut(joined(checked(apart(first_pairs(members.filter(F.col("band").between(low, high - 1)), similarity), found))))
         release(spark)
-    near = near.unionAll(checked(other_pairs(members, found, spread, similarity)))
-    roots = components(near).withColumnRenamed("node", "h1")
+    roots = joined(checked(other_pairs(members, found, spread, similarity))).withColumnRenamed("node", "h1")
     known = first.join(roots, "h1", "left").select("h1", "h2", F.expr("if(first = last, 1, 2)").alias("size"), F.coalesce("component", "h1").alias("root"), F.struct(F.col("first").alias("key"), "h1").alias("own"))
     groups = known.groupBy("root").agg(F.min("own").alias("least"), F.sum("size").alias("size")).filter("size > 1").drop("size")
     known = known.join(groups, "root").select("h1", "h2", "least")

@@ -202,6 +202,28 @@ def test_components_of_a_chain(spark):
     assert components.components(df.limit(0)).collect() == []
 
 
+def test_rounds_of_components_take_tasks_by_their_edges(spark, monkeypatch):
+    pairs = [(i, i + 1) for i in range(0, 60) if i % 20 != 19]
+    want = {i: i // 20 * 20 for i in range(60)}
+    df = spark.createDataFrame(pairs, "a long, b long").coalesce(1)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    tracker = spark.sparkContext.statusTracker()
+    try:
+        for k, v in zip(before, ("40", "false", "-1")):
+            spark.conf.set(k, v)
+        spark.sparkContext.setJobGroup("rounds", "")
+        assert {r["node"]: r["component"] for r in components.components(df).collect() if r["node"] < 60} == want
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("rounds") for s in tracker.getJobInfo(j).stageIds]
+        # the edges as they come, their number, and the last distinct are dealt out over the session's partitions, rounds are not
+        assert sum(s.numTasks >= 40 for s in stages if s and s.numCompletedTasks) <= 10
+        monkeypatch.setattr(components, "ROWS", 10)
+        assert {r["node"]: r["component"] for r in components.components(df).collect()} == want
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_similar_groups_find_all_pairs_at_the_threshold(table):
     rng, texts = random.Random(8), []
     for _ in range(150):
