@@ -124,12 +124,16 @@ def new_gru(hidden: int = HIDDEN, classes: int = CLASSES, per_class: int = PER_C
     return Gru(r(classes * per_class, hidden), r(hidden, 3 * hidden), r(hidden, 3 * hidden), np.zeros(3 * hidden, np.float32), r(hidden + 1, classes) * np.float32(0.1), r(classes, hidden + 1, per_class) * np.float32(0.1))
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    """By row, in place."""
-    x -= x.max(1, keepdims=True)
+#: Exponentials of values within it, and sums of them, are far from the ends of single precision.
+SAFE = 40
+
+
+def _exp(x: np.ndarray) -> np.ndarray:
+    """Exponentials in place, by row up to a factor; the sums of the rows."""
+    if not x.size or x.max() > SAFE or x.min() < -SAFE:
+        x -= x.max(1, keepdims=True)
     np.exp(x, out=x)
-    x /= (x @ np.ones(x.shape[1], x.dtype))[:, None]
-    return x
+    return x @ np.ones(x.shape[1], x.dtype)
 
 
 def weights(g: Gru) -> tuple[np.ndarray, np.ndarray]:
@@ -182,14 +186,16 @@ def output(g: Gru, states: np.ndarray, targets: np.ndarray, grads: bool = False)
     one[:, -1] = 1
     bounds = np.searchsorted(cls, np.arange(len(g.words) + 1)).tolist()
     parts = [(k, slice(i, j)) for k, (i, j) in enumerate(zip(bounds, bounds[1:])) if i < j]
-    p, q = _softmax(one @ g.classes), np.empty((len(states), g.per_class), states.dtype)
+    p, q = one @ g.classes, np.empty((len(states), g.per_class), states.dtype)
     for k, part in parts:
         np.matmul(one[part], g.words[k], out=q[part])
-    q = _softmax(q)
+    p_sum, q_sum = _exp(p), _exp(q)
     logp = np.empty(len(states))
-    logp[order] = np.log(p[rows, cls] + 1e-30) + np.log(q[rows, within] + 1e-30)
+    logp[order] = np.log(p[rows, cls] / p_sum + 1e-30) + np.log(q[rows, within] / q_sum + 1e-30)
     if not grads:
         return logp
+    p /= p_sum[:, None]
+    q /= q_sum[:, None]
     p[rows, cls] -= 1
     q[rows, within] -= 1
     d_one, d_words = p @ g.classes.T, np.zeros_like(g.words)
@@ -409,23 +415,25 @@ class Vocabulary:
         self.known: dict[bytes, int] = {}
 
     def ids(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
+        import xxhash
+
+        known, rank, digest, at = self.known, self.rank, xxhash.xxh64_intdigest, -1
         out = list(map(known.get, words))
-        if None in out:
-            if len(known) > self.max_cached:
-                known.clear()
-            for i, x in enumerate(out):
-                if x is None:
-                    w = words[i]
-                    x = known.get(w)
-                    if x is None:
-                        h = word_hash(w)
-                        x = self.rank.get(h, -1)
-                        if x < 0:
-                            x = self.n + h
-                        if len(w) <= 64:
-                            known[w] = x
-                    out[i] = x
+        missing = out.count(None)
+        if missing and len(known) > self.max_cached:
+            known.clear()
+        for _ in range(missing):
+            at = out.index(None, at + 1)
+            w = words[at]
+            x = known.get(w)
+            if x is None:
+                h = digest(w) >> 2  # word_hash
+                x = rank.get(h, -1)
+                if x < 0:
+                    x = self.n + h
+                if len(w) <= 64:
+                    known[w] = x
+            out[at] = x
         return np.array(out, np.int64)
 
 

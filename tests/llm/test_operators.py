@@ -685,6 +685,38 @@ def test_lanes_carry_the_state():
     assert together == pytest.approx(alone, rel=1e-4)
 
 
+def test_known_words_are_not_gone_through_for_a_new_one():
+    import sys
+
+    v, words = lm_scoring.Vocabulary(np.array([lm_scoring.word_hash(b"a"), lm_scoring.word_hash(b"b")])), [b"a", b"b"] * 5000
+    v.ids(words)
+    words, lines = [*words, b"new", b"a", b"new"], [0]
+
+    def trace(frame, event, arg):
+        lines[0] += event == "line" and frame.f_code.co_name == "ids"
+        return trace
+
+    before = sys.gettrace()
+    sys.settrace(trace)
+    try:
+        got = v.ids(words).tolist()
+    finally:
+        sys.settrace(before)
+    assert got == [0, 1] * 5000 + [2 + lm_scoring.word_hash(b"new"), 0, 2 + lm_scoring.word_hash(b"new")]
+    assert lines[0] < 100
+
+
+@pytest.mark.parametrize("scale", [1, 500])
+def test_output_is_a_distribution_whatever_its_weights(scale):
+    g, rng = lm_scoring.new_gru(6, 4, 3), np.random.default_rng(3)
+    g.classes *= scale
+    g.words *= scale
+    state = rng.standard_normal((1, 6)).astype(np.float32)
+    logp = [lm_scoring.output(g, state, np.array([i]))[0] for i in range(12)]
+    assert abs(np.exp(logp).sum() - 1) < 1e-5
+    assert np.allclose(logp, [lm_scoring.output(g, state, np.array([i]), True)[0][0] for i in range(12)])
+
+
 # --- 10 byte BPE ------------------------------------------------------------------------------
 
 
