@@ -16,41 +16,76 @@ equal doc_ids are packed row by row.  Other columns of the input are not read.
 from __future__ import annotations
 
 import bisect
+import re
+import struct
+import unicodedata
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.llm.common import cut, held, shuffle_partitions
+from gleaner.llm.lm_scoring import small_enough
 from gleaner.session import ship
 
 CAPACITY = 2048
 END = 0
+#: Bytes of text whose words are looked up together; characters of the longest word that is kept.
+BATCH_BYTES, LONGEST_KEPT = 16 << 20, 64
+
+
+#: Characters that one case of the byte-level pattern holds in every version of Unicode: the line feed, printed ASCII, Latin letters and signs.
+COMMON = "\n" + "".join(map(chr, [*range(0x21, 0x7F), *range(0xA1, 0x180)]))
+
+
+def _common_pattern() -> re.Pattern:
+    """The byte-level pattern over COMMON characters and the space."""
+    letters, numbers = ("".join(c for c in COMMON if unicodedata.category(c)[0] == x) for x in "LN")
+    return re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{numbers}]+| ?[^ \n{letters}{numbers}]+|[ \n]+(?![^ \n])|[ \n]+")
+
+
+def _byte_names() -> dict[int, str]:
+    """How byte-level vocabularies spell a byte: printed Latin-1 characters stand for themselves, the others from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [x for x in range(256) if x not in plain]
+    return {x: chr(x) for x in plain} | {x: chr(256 + i) for i, x in enumerate(rest)}
 
 
 class Tokens:
-    """A tokenizers file's ids as little-endian 32-bit bytes, by segments (white space and what follows it) that are kept.
+    """A tokenizers file's ids as little-endian 32-bit bytes, by words (a space and what follows it) that are kept.
 
     The vocabulary's pattern never matches across the start of white space, so a
-    text's ids are those of its segments; ``max_cached`` bounds the kept
-    ones, in two generations: what was used lately stays.
+    text's ids are those of its words; ``max_cached`` bounds the kept
+    ones, in two generations: what was used lately stays.  A new word of COMMON
+    characters goes to the file's model by its matches of the byte-level
+    pattern, and these are kept: "word," is put together of " word" and ",".
+    Any other word goes to the whole tokenizer.
     """
 
-    def __init__(self, path: str, max_cached: int = 500_000):
+    def __init__(self, path: str, max_cached: int = 1_000_000):
+        import json
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.feed = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
+        parts = json.loads(self.tokenizer.to_str())
+        pre = parts["pre_tokenizer"] or {}
+        byte_level = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre["add_prefix_space"] and not parts["normalizer"]
+        self.is_common = re.compile(f"[{re.escape(COMMON)}]+").fullmatch if byte_level else lambda word: None
+        self.matches = _common_pattern().findall
+        self.names = _byte_names()
         self.max_cached = max_cached
         self.kept: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.first: dict[str, bytes] = {}  # by what a text begins with, which has no space before
+        self.bare: dict[str, bytes] = {}  # matches with no space before
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -72,39 +107,89 @@ class Tokens:
             out = {}
         return out | dict(zip(rest, self._ids(rest), strict=True))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Texts are cut at spaces; one in which white space or a special token touches a space goes to the tokenizer whole."""
-        out: list[bytes] = [b""] * len(texts)
+    def _match(self, match: str) -> bytes:
+        """The ids of one match of the pattern, by the file's model."""
+        if match.isascii() and match.isprintable():
+            name = match.replace(" ", self.names[32])
+        else:
+            name = match.encode().decode("latin-1").translate(self.names)
+        ids = [x.id for x in self.model.tokenize(name)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _spaced(self, word: str) -> bytes:
+        """The ids of a space and a word that are one match."""
+        if (ids := self.kept.get(word)) is None:
+            ids = self.older.get(word) or self._match(" " + word)
+            if len(word) <= LONGEST_KEPT:
+                self.kept[word] = ids
+        return ids
+
+    def _bare(self, match: str) -> bytes:
+        if (ids := self.bare.get(match)) is None:
+            ids = self._match(match)
+            if len(match) <= LONGEST_KEPT:
+                self.bare[match] = ids
+        return ids
+
+    def _word(self, word: str) -> bytes:
+        """The ids of a space and a word of COMMON characters."""
+        if word.isalpha():
+            return self._spaced(word)
+        head, *rest = self.matches(" " + word)
+        return (self._spaced(head[1:]) if len(head) > 1 else self._bare(" ")) + b"".join(map(self._bare, rest))
+
+    def _head(self, word: str) -> bytes:
+        """The ids of what a text begins with."""
+        if self.is_common(word):
+            return b"".join(map(self._bare, self.matches(word)))
+        return self._segments([word])[word]
+
+    def encode(self, texts) -> list[bytes]:
+        """Of a list or an Arrow array of texts; each is cut at its spaces. One in which white space or a special token touches a space goes to the tokenizer whole."""
+        if not len(texts):
+            return []
+        if isinstance(texts, list):
+            texts = pa.array(texts, pa.string())
         if len(self.kept) > self.max_cached // 2:
             self.older, self.kept = self.kept, {}
-            self.first.clear()
-        kept, older, first = self.kept, self.older, self.first
-        parts: dict[int, list[str]] = {}
-        whole: list[int] = []
-        missing: dict[str, None] = {}
-        for i, t in enumerate(texts):
-            if not t:
-                continue
-            p = t.split(" ")
-            new = set(p).difference(kept)  # kept ones have been looked at
-            if new and any(not x or x[0].isspace() or x[-1].isspace() or "<|" in x for x in new):
-                whole.append(i)
-                continue
-            parts[i] = p
-            for x in new:
-                if x in older:
-                    kept[x] = older[x]
-                else:
-                    missing[x] = None
-        for i, ids in zip(whole, self._ids([texts[i] for i in whole]), strict=True):
+        if len(self.bare) > self.max_cached // 4:
+            self.bare = {}
+        texts = pc.fill_null(texts, "")
+        parts = pc.split_pattern(texts, " ")
+        ends = np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64))
+        begins = np.r_[0, ends[:-1]]
+        coded = pc.list_flatten(parts).dictionary_encode()
+        # every distinct word of these texts is looked up once
+        words, codes = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(zero_copy_only=False)
+        table = list(map(self.kept.get, words))
+        new = [k for k, ids in enumerate(table) if ids is None]  # kept ones have been looked at
+        odd = [k for k in new if not (x := words[k]) or x[0].isspace() or x[-1].isspace() or "<|" in x]
+        whole = np.zeros(len(texts), bool)
+        if odd:
+            flags, needed = np.zeros(len(words), bool), np.zeros(len(words), bool)
+            flags[odd] = True
+            whole = np.logical_or.reduceat(flags[codes], begins)
+            needed[codes[~np.repeat(whole, ends - begins)]] = True
+            new = [k for k in new if needed[k]]
+        others = []
+        for k in new:
+            if self.is_common(words[k]):
+                table[k] = self._word(words[k])
+            elif (ids := self.older.get(words[k])) is not None:
+                table[k] = self.kept[words[k]] = ids
+            else:
+                others.append(k)
+        found = self._segments([" " + words[k] for k in others])
+        for k in others:
+            table[k] = found[" " + words[k]]
+            if len(words[k]) <= LONGEST_KEPT:
+                self.kept[words[k]] = table[k]
+        get, out = table.__getitem__, []
+        for i, (a, b) in enumerate(zip(begins.tolist(), ends.tolist())):
+            out.append(b"" if whole[i] else self._head(words[codes[a]]) + b"".join(map(get, codes[a + 1 : b].tolist())))
+        at = np.flatnonzero(whole).tolist()
+        for i, ids in zip(at, self._ids([texts[i].as_py() for i in at]), strict=True):
             out[i] = ids
-        for x, ids in self._segments([" " + x for x in missing]).items():
-            kept[x[1:]] = ids
-        heads = [x for x in {p[0] for p in parts.values()} if x not in first]
-        first |= self._segments(heads)
-        get = kept.__getitem__
-        for i, p in parts.items():
-            out[i] = first[p[0]] + b"".join(map(get, p[1:]))
         return out
 
 
@@ -123,23 +208,21 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, key:
 
     def run(batches):
         tokens = worker_tokens(tokenizer_path)
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                rows = []
-                for k, ids in enumerate(tokens.encode([x or "" for x in batch.column(1).to_pylist()])):
-                    ids += end
-                    n = len(ids) // 4
-                    head = n % capacity or capacity
-                    cuts = [0, *range(head, n + 1, capacity)]
-                    rows += [(k, i, a, b - a, zlib.crc32(ids[4 * a : 4 * b]), ids[4 * a : 4 * b]) for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
-                cols = list(zip(*rows)) if rows else [()] * 6
-                out = [batch.column(0).take(pa.array(cols[0], pa.int64())), pa.array(cols[1], pa.int32()), *[pa.array(c, pa.int64()) for c in cols[2:5]]]
-                names = [key, "piece", "start", "length", "ids_crc32"]
-                if with_ids:
-                    out.append(pa.array(cols[5], pa.binary()))
-                    names.append("ids")
-                yield pa.RecordBatch.from_arrays(out, names)
+        for batch in small_enough(batches, 1, BATCH_BYTES):
+            rows = []
+            for k, ids in enumerate(tokens.encode(batch.column(1))):
+                ids += end
+                n = len(ids) // 4
+                head = n % capacity or capacity
+                cuts = [0, *range(head, n + 1, capacity)]
+                rows += [(k, i, a, b - a, zlib.crc32(ids[4 * a : 4 * b]), ids[4 * a : 4 * b] if with_ids else None) for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+            cols = list(zip(*rows)) if rows else [()] * 6
+            out = [batch.column(0).take(pa.array(cols[0], pa.int64())), pa.array(cols[1], pa.int32()), *[pa.array(c, pa.int64()) for c in cols[2:5]]]
+            names = [key, "piece", "start", "length", "ids_crc32"]
+            if with_ids:
+                out.append(pa.array(cols[5], pa.binary()))
+                names.append("ids")
+            yield pa.RecordBatch.from_arrays(out, names)
 
     ship(docs.sparkSession)
     return docs.select(key, text).mapInArrow(run, schema)

@@ -392,13 +392,13 @@ def frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
     return rows["h"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
 
 
-def small_enough(batches, column: int):
-    """The rows of batches in parts of about BATCH_BYTES of text: many documents side by side, and bounded memory."""
+def small_enough(batches, column: int, most: int = BATCH_BYTES):
+    """The rows of batches in parts of about ``most`` bytes of text: many documents side by side, and bounded memory."""
     for b in batches:
         sizes = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         at = 0
         while at < b.num_rows:
-            end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + BATCH_BYTES, side="right")))
+            end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + most, side="right")))
             yield b.slice(at, end - at)
             at = end
 

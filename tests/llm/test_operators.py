@@ -121,6 +121,48 @@ def test_packing_round_trip(table):
     assert best_fit_packing.pack(table([]), public_tokenizers.path("byte_bpe_50k.json")).collect() == []
 
 
+@pytest.mark.parametrize("max_cached", [40, 1_000_000])
+def test_ids_by_words_are_those_of_whole_texts(max_cached):
+    from tokenizers import Tokenizer
+
+    path, rng = public_tokenizers.path("byte_bpe_50k.json"), random.Random(9)
+    t, tokens = Tokenizer.from_file(path), best_fit_packing.Tokens(path, max_cached)
+    odd = ["'s", "'ll", "<|endoftext|>", "<|", *"  \n\n\t\r\x0b\x1c\x7f\x85\xa0\xad\xaaº²½ßéŉſƀʰ\u0301\u2003中Ж٣😀aaabcDEF129.,'!-_|#"]
+    texts = ["".join(rng.choice(odd[rng.choice([0, 0, 20]) :]) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
+    texts += [" ".join(rng.choice(["the", "of,", "it's", "house.\nThe", "Größe", "Москва", "3.14", "a" * 90, "\"I'll"]) for _ in range(rng.randint(1, 20))) for _ in range(300)]
+    want = [want_of(t, x) for x in texts]
+    for step in (7, 1000, 3300):
+        assert [x for i in range(0, len(texts), step) for x in tokens.encode(texts[i : i + step])] == want
+    assert tokens.encode([None, "", "a"]) == [b"", b"", want_of(t, "a")]
+    assert tokens.encode([]) == []
+
+
+def want_of(tokenizer, text):
+    return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_words_reach_the_tokenizer_once_whatever_stands_beside_them():
+    rng, sent = random.Random(4), []
+    words = list(dict.fromkeys("".join(rng.choice("abcdefgh") for _ in range(12)) for _ in range(300)))
+    tokens = best_fit_packing.Tokens(public_tokenizers.path("byte_bpe_50k.json"))
+
+    class Seen:
+        def __init__(self, whose):
+            self.whose = whose
+
+        def encode_batch_fast(self, texts, **how):
+            sent.extend(texts)
+            return self.whose.encode_batch_fast(texts, **how)
+
+        def tokenize(self, name):
+            sent.append(name)
+            return self.whose.tokenize(name)
+
+    tokens.tokenizer, tokens.model = Seen(tokens.tokenizer), Seen(getattr(tokens, "model", None))
+    got = tokens.encode([" ".join(["start", *(w + end for w in words)]) for end in ("", ".", ",", "!?", "...", ":", "'s")])
+    assert len(got) == 7 and sum(map(len, sent)) < 2 * sum(map(len, words))
+
+
 # --- 3 SimHash -------------------------------------------------------------------------------
 
 
