@@ -1,9 +1,11 @@
 """Language-model scoring: corpus counts and a gated recurrent network in numpy.
 
-Counts.  Every task counts its training words in a bounded dictionary; word hashes
+Counts.  Every task counts its training words by parts of WORD_BYTES of text; word hashes
 (62 bits of XXH64) and counts are added up by a shuffle that grows with the corpus.
 The most frequent words, HEAD at most, are broadcast; the other tokens of a text meet
-their counts in a join on the word's hash.
+their counts in a join on the word's hash.  After the counts texts are read once more: the
+network's ids of their words are written to the checkpoint folder, and all rounds of
+training and the scoring read these.
 
 Network.  One GRU layer reads the tokens; the output is factored into classes of
 equal size over the most frequent words, the end and the class of all other words:
@@ -29,7 +31,6 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections import Counter
 from copy import deepcopy
 from dataclasses import dataclass
 
@@ -47,21 +48,16 @@ HEAD = 200_000
 CLASSES, PER_CLASS, HIDDEN = 32, 32, 24
 WINDOW, LANES = 24, 256
 TRAIN_LANES = 256
-#: Bytes of text whose documents run side by side; tokens that one lane takes of a document in training.
+#: Bytes of text whose documents run side by side (of ids a fourth); tokens that one lane takes of a document in training.
 BATCH_BYTES, STRETCH = 32 << 20, 1536
+#: Bytes of text whose distinct words are looked up together.
+WORD_BYTES = 16 << 20
 #: Each round trains on another share of the documents.
 ROUNDS, RATE = 4, 0.01
 #: A task learns from as many tokens as these in a round, where there are so many; fewer in all are gone through again, up to PASSES times.
 TASK_TOKENS, FEW_TOKENS, PASSES = 1_000_000, 2_000_000, 8
 #: Numbers of a network that are averaged as one row.
 BLOCK = 4096
-#: Entries of a task's dictionary before it is put out.
-DICTIONARY = 400_000
-
-
-def words_of(text: str | None) -> list[bytes]:
-    """Lower-case A-Z; split at space and 9 to 13."""
-    return (text or "").encode().lower().split()
 
 
 def word_hash(word: bytes) -> int:
@@ -70,22 +66,36 @@ def word_hash(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word) >> 2
 
 
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    import xxhash
+
+    return (np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)) >> np.uint64(2)).astype(np.int64)
+
+
+def distinct_words(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(the distinct words of all texts, the place among them of each word of each text, where each text's words end). A-Z are lower-cased, texts split at space and 9 to 13."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    ends = np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64))
+    coded = pc.list_flatten(parts).dictionary_encode()
+    words, codes = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(zero_copy_only=False)
+    if b"" in words:  # before leading white space, after trailing white space
+        empty = words.index(b"")
+        real = codes != empty
+        ends = np.r_[0, np.cumsum(real)][ends]
+        codes = codes[real]
+        codes = codes - (codes > empty)
+        words.pop(empty)
+    return words, codes, ends
+
+
 def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
     """(h, n): every word's hash and count over docs."""
 
-    def put_out(seen: Counter):
-        return pa.RecordBatch.from_arrays([pa.array(np.fromiter(map(word_hash, seen), np.int64, len(seen))), pa.array(np.fromiter(seen.values(), np.int64, len(seen)))], ["h", "n"])
-
     def run(batches):
         let_go()
-        seen: Counter = Counter()
-        for b in batches:
-            for t in b.column(0):
-                seen.update(words_of(t.as_py()))
-                if len(seen) > DICTIONARY:
-                    yield put_out(seen)
-                    seen = Counter()
-        yield put_out(seen)
+        for b in small_enough(batches, 0, WORD_BYTES):
+            words, codes, _ = distinct_words(b.column(0))
+            yield pa.RecordBatch.from_arrays([pa.array(hashes_of(words)), pa.array(np.bincount(codes, minlength=len(words)))], ["h", "n"])
 
     ship(docs.sparkSession)
     return docs.select(text).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
@@ -137,9 +147,9 @@ def _exp(x: np.ndarray) -> np.ndarray:
 
 
 def weights(g: Gru) -> tuple[np.ndarray, np.ndarray]:
-    """(rows of the vocabulary x 3 hidden, 3 hidden x hidden): those of the gates with the sign that their exponential takes."""
-    table, u = g.embed @ g.w + g.b, np.ascontiguousarray(g.u.T)
-    table[:, : 2 * g.hidden] *= -1
+    """(3 hidden x vocabulary, 3 hidden x hidden): those of the gates with the sign that their exponential takes."""
+    table, u = np.ascontiguousarray((g.embed @ g.w + g.b).T), np.ascontiguousarray(g.u.T)
+    table[: 2 * g.hidden] *= -1
     u[: 2 * g.hidden] *= -1
     return table, u
 
@@ -151,7 +161,9 @@ def forward(by: tuple[np.ndarray, np.ndarray], inputs: np.ndarray, h: np.ndarray
     """
     table, u = by
     n = u.shape[1]
-    work = np.ascontiguousarray(table[inputs].transpose(0, 2, 1))  # becomes update gate, reset gate, candidate
+    work = np.empty((len(inputs), 3 * n, inputs.shape[1]), table.dtype)  # becomes update gate, reset gate, candidate
+    for x, ids in zip(work, inputs):
+        np.take(table, ids, axis=1, out=x, mode="clip")  # all ids are of the vocabulary
     after = np.empty((len(inputs), n, inputs.shape[1]), table.dtype)
     before, part = (np.empty_like(after), np.empty_like(after)) if keep else (None, None)
     starts = fresh.any(1)
@@ -241,7 +253,8 @@ def train_step(g: Gru, inputs: np.ndarray, targets: np.ndarray, live: np.ndarray
     used = inputs.reshape(-1)
     order = np.argsort(used, kind="stable")
     ids, starts = np.unique(used[order], return_index=True)
-    d_rows = np.add.reduceat(rows(d_m)[order], starts)
+    by_input = np.take(d_m.transpose(1, 0, 2).reshape(3 * n, -1), order, axis=1)
+    d_rows = np.ascontiguousarray(np.add.reduceat(by_input, starts, axis=1).T)
     d_embed = np.zeros_like(g.embed)
     d_embed[ids] = d_rows @ g.w.T
     n = max(1, len(at))
@@ -325,8 +338,8 @@ def train(docs: list[np.ndarray], g: Gru, adam: Adam, rate: float) -> None:
         adam.update(grads, rate)
 
 
-def train_on_all(learning: DataFrame, g: Gru, head, tag: str, total: int, key: str, text: str) -> int:
-    """Trains g on all rows of learning, which have total tokens; the number of tokens seen. head: the broadcast hashes of the head words."""
+def train_on_all(learning: DataFrame, g: Gru, total: int, key: str) -> int:
+    """Trains g on all rows of learning (key, ids), which have total tokens; the number of tokens seen."""
     spark, seen = learning.sparkSession, 0
     tasks, passes = max(1, total // (ROUNDS * TASK_TOKENS)), max(1, min(PASSES, -(-FEW_TOKENS // max(1, total))))
     ship(spark)
@@ -334,10 +347,11 @@ def train_on_all(learning: DataFrame, g: Gru, head, tag: str, total: int, key: s
         now, rate = spark.sparkContext.broadcast(g), RATE * (1 - 0.9 * number / ROUNDS)
 
         def run(batches, now=now, rate=rate):
+            let_go()
             own, n = deepcopy(now.value), 0  # a worker's other tasks read the same value
-            adam, vocabulary = Adam(own), worker_vocabulary(tag, head.value)
-            for texts in small_enough(batches, 0):
-                docs = [model_ids(vocabulary.ids(words_of(t.as_py())), own) for t in texts.column(0)]
+            adam = Adam(own)
+            for some in small_enough(batches, 0, BATCH_BYTES // 4):
+                docs = read_ids(some.column(0), own)
                 n += sum(map(len, docs))
                 for _ in range(passes):
                     train(docs, own, adam, rate)
@@ -351,7 +365,7 @@ def train_on_all(learning: DataFrame, g: Gru, head, tag: str, total: int, key: s
             total = sum(w * np.frombuffer(x.as_buffer(), np.float32).astype(np.float64) for w, x in zip(weights, table["x"]))
             return pa.table({"block": table["block"].slice(0, 1), "n": pa.array([int(weights.sum())], pa.int64()), "x": pa.array([(total / weights.sum()).astype(np.float32).tobytes()], pa.binary())})
 
-        share = learning.filter(F.pmod(F.xxhash64(F.lit("round"), F.col(key)), F.lit(ROUNDS)) == number).select(text).coalesce(tasks)
+        share = learning.filter(F.pmod(F.xxhash64(F.lit("round"), F.col(key)), F.lit(ROUNDS)) == number).select("ids").coalesce(tasks)
         # as many rows as a network has blocks, whatever the number of tasks
         rows = sorted(share.mapInArrow(run, "block int, n long, x binary").groupBy("block").applyInArrow(mean, "block int, n long, x binary").collect(), key=lambda r: r["block"])
         if rows:
@@ -406,40 +420,34 @@ def small_enough(batches, column: int, most: int = BATCH_BYTES):
 class Vocabulary:
     """The head words by hash, as a worker uses them: word -> rank, or HEAD-size + hash for all others."""
 
-    def __init__(self, hashes: np.ndarray, max_cached: int = 400_000):
+    def __init__(self, hashes: np.ndarray):
         self.order = np.argsort(hashes)
         self.sorted = hashes[self.order]
-        self.rank = dict(zip(hashes.tolist(), range(len(hashes))))
         self.n = len(hashes)
-        self.max_cached = max_cached
-        self.known: dict[bytes, int] = {}
 
     def ids(self, words: list[bytes]) -> np.ndarray:
-        import xxhash
-
-        known, rank, digest, at = self.known, self.rank, xxhash.xxh64_intdigest, -1
-        out = list(map(known.get, words))
-        missing = out.count(None)
-        if missing and len(known) > self.max_cached:
-            known.clear()
-        for _ in range(missing):
-            at = out.index(None, at + 1)
-            w = words[at]
-            x = known.get(w)
-            if x is None:
-                h = digest(w) >> 2  # word_hash
-                x = rank.get(h, -1)
-                if x < 0:
-                    x = self.n + h
-                if len(w) <= 64:
-                    known[w] = x
-            out[at] = x
-        return np.array(out, np.int64)
-
-
-def model_ids(ids: np.ndarray, g: Gru) -> np.ndarray:
-    """Ids of the network for one document's tokens, the end included."""
-    return np.append(np.where(ids < g.size - 2, ids, g.size - 1), g.size - 2).astype(np.int32)
+        h = hashes_of(words)
+        if not self.n:
+            return h
+        at = np.minimum(np.searchsorted(self.sorted, h), self.n - 1)
+        return np.where(self.sorted[at] == h, self.order[at], self.n + h)
+
+
+def id_type(g: Gru) -> np.dtype:
+    return np.dtype("<u2" if g.size <= 1 << 16 else "<u4")
+
+
+def write_ids(ids: np.ndarray, ends: np.ndarray, g: Gru) -> pa.Array:
+    """The network's ids of documents as binary values, from their words' ids laid end to end; the end is put after each."""
+    kind, docs = id_type(g), np.arange(len(ends))
+    flat = np.full(len(ids) + len(ends), g.size - 2, kind)
+    flat[np.arange(len(ids)) + np.repeat(docs, np.diff(ends, prepend=0))] = ids
+    cuts = np.r_[0, (ends + docs + 1) * kind.itemsize].astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(cuts), pa.py_buffer(flat)])
+
+
+def read_ids(column: pa.Array, g: Gru) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), id_type(g)).astype(np.int32) for x in column]
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 10, fold: int = 0, head: int = HEAD) -> DataFrame:
@@ -457,41 +465,49 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
         head = max(head, side * side - 2)
     hashes, freq = frequent(counts, head)
     g, tag = new_gru(classes=side, per_class=side), uuid.uuid4().hex
-    shared_hashes = spark.sparkContext.broadcast(hashes)
-    if n_docs:
-        train_on_all(learning, g, shared_hashes, tag, int(total), key, text)
     named = g.size - 2
     # mass of the words that the network has no name for: their counts, smoothed, and one unknown
     others = float(words - freq[:named].sum()) + 0.1 * (distinct - min(named, distinct)) + 0.1
     below = total + 0.1 * (kinds + 1)
-    shared = spark.sparkContext.broadcast((g, np.log10(freq + 0.1)))
+    shared = spark.sparkContext.broadcast((hashes, np.log10(freq + 0.1)))
     end_cost = math.log10((n_docs + 0.1) / below)
     kind = dict(docs.dtypes)[key]
     ln10, n_head = math.log(10), len(hashes)
 
-    def run(batches):
-        g, logs = shared.value
-        vocabulary = worker_vocabulary(tag, shared_hashes.value)
-        for b in small_enough(batches, 1):
-            tokens = [vocabulary.ids(words_of(t.as_py())) for t in b.column(1)]
-            likelihood = log_likelihoods([model_ids(x, g) for x in tokens], g) / ln10
-            rows = {"tokens": [], "heads": [], "base": [], "score": [], "rest": []}
-            for x, ll in zip(tokens, likelihood):
-                of_head = x[x < n_head]
-                rest = x[x >= n_head] - n_head
-                unnamed = of_head[of_head >= named]
-                rows["tokens"].append(len(x) + 1)
-                rows["heads"].append(len(of_head))
-                rows["base"].append(float(logs[of_head].sum()) - (len(x)) * math.log10(below) + end_cost)
-                rows["score"].append(float(ll) + float(logs[unnamed].sum()) - (len(unnamed) + len(rest)) * math.log10(others))
-                rows["rest"].append(rest)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows["tokens"], pa.int64()), pa.array(rows["heads"], pa.int64()), pa.array(rows["base"], pa.float64()), pa.array(rows["score"], pa.float64()), pa.array(rows["rest"], pa.list_(pa.int64()))], [key, "tokens", "heads", "base", "score", "rest"])
+    def read(batches):
+        hashes, logs = shared.value
+        vocabulary, logs = worker_vocabulary(tag, hashes), np.r_[logs, 0.0]
+        for b in small_enough(batches, 1, WORD_BYTES):
+            words, codes, ends = distinct_words(b.column(1))
+            ids, n, rows = vocabulary.ids(words), np.diff(ends, prepend=0), b.num_rows
+            of_head, log = ids < n_head, logs[np.minimum(ids, n_head)]
+            doc = np.repeat(np.arange(rows), n)
+            summed = lambda x: np.bincount(doc, weights=x[codes], minlength=rows)
+            heads = summed(of_head).astype(np.int64)
+            # what the words without a name add to their class's share
+            fixed = summed(np.where(ids >= named, log - math.log10(others), 0.0))
+            rest = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n - heads)], pa.int32()), pa.array((ids - n_head)[codes[~of_head[codes]]]))
+            network = write_ids(np.where(ids < named, ids, named + 1)[codes], ends, g)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n + 1), pa.array(heads), pa.array(summed(log) - n * math.log10(below) + end_cost), pa.array(fixed), rest, network], [key, "tokens", "heads", "base", "fixed", "rest", "ids"])
 
     ship(spark)
-    scored = cut(docs.select(key, text).mapInArrow(run, f"{key} {kind}, tokens long, heads long, base double, score double, rest array<long>")).withColumn("_row", F.monotonically_increasing_id())
-    tail = scored.select("_row", F.explode("rest").alias("h")).join(counts, "h", "left")
+    tokens = cut(docs.select(key, text).mapInArrow(read, f"{key} {kind}, tokens long, heads long, base double, fixed double, rest array<long>, ids binary")).withColumn("_row", F.monotonically_increasing_id())
+    if n_docs:
+        train_on_all(tokens.filter(~out_of).select(key, "ids"), g, int(total), key)
+    trained = spark.sparkContext.broadcast(g)
+
+    def run(batches):
+        let_go()
+        g = trained.value
+        for b in small_enough(batches, 6, BATCH_BYTES // 4):
+            likelihood = log_likelihoods(read_ids(b.column(6), g), g) / ln10
+            score = likelihood + b.column(4).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(score), b.column(5)], [key, "tokens", "heads", "base", "score", "_row"])
+
+    scored = cut(tokens.select(key, "tokens", "heads", "base", "fixed", "_row", "ids").mapInArrow(run, f"{key} {kind}, tokens long, heads long, base double, score double, _row long"))
+    tail = tokens.select("_row", F.explode("rest").alias("h")).join(counts, "h", "left")
     tail = tail.groupBy("_row").agg(F.sum(F.log10(F.coalesce("n", F.lit(0)) + 0.1)).alias("_logs"), F.count("n").alias("_known"))
-    out = scored.drop("rest").join(tail, "_row", "left")
+    out = scored.join(tail, "_row", "left")
     logs, known = F.coalesce("_logs", F.lit(0.0)), F.coalesce("_known", F.lit(0))
     return out.select(
         key,

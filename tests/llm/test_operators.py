@@ -748,6 +748,35 @@ def test_known_words_are_not_gone_through_for_a_new_one():
     assert lines[0] < 100
 
 
+def test_words_and_ids_of_many_texts():
+    import pyarrow as pa
+
+    rng = random.Random(6)
+    texts = [*ODD, " a  B\t", "É ÀB\x0bc\x0c\x1cd\x85e\xa0f\u2003g", *["".join(rng.choice("aB \n\r\té中") for _ in range(rng.randint(0, 20))) for _ in range(500)]]
+    for some in ([], [None], ["a b"], texts):
+        words, codes, ends = lm_scoring.distinct_words(pa.array(some, pa.string()))
+        assert len(set(words)) == len(words)
+        want = [(t or "").encode().lower().split() for t in some]
+        assert [[words[k] for k in codes[a:b]] for a, b in zip([0, *ends], ends)] == want
+        assert lm_scoring.hashes_of(words).tolist() == list(map(lm_scoring.word_hash, words))
+        for side in (3, 300):
+            g = lm_scoring.new_gru(2, side, side)
+            got = lm_scoring.read_ids(lm_scoring.write_ids(codes % (g.size - 2), ends, g), g)
+            assert [x.tolist() for x in got] == [[*(codes[a:b] % (g.size - 2)).tolist(), g.size - 2] for a, b in zip([0, *ends], ends)]
+
+
+def test_lm_training_reads_no_texts(table, monkeypatch):
+    given, train_on_all = [], lm_scoring.train_on_all
+
+    def look(learning, *rest):
+        given.append(dict(learning.dtypes))
+        return train_on_all(learning, *rest)
+
+    monkeypatch.setattr(lm_scoring, "train_on_all", look)
+    assert lm_scoring.score(table(["a b", "b c d"] * 10)).count() == 20
+    assert len(given) == 1 and "string" not in given[0].values()
+
+
 @pytest.mark.parametrize("scale", [1, 500])
 def test_output_is_a_distribution_whatever_its_weights(scale):
     g, rng = lm_scoring.new_gru(6, 4, 3), np.random.default_rng(3)
